@@ -126,8 +126,8 @@ def effective_params(runs: DataFrame) -> DataFrame:
 
 
 def run_summary(runs: DataFrame) -> DataFrame:
-    """One line per run; an ab initio run that continues another reports that run's type."""
-    resolved = effective_params(resolve_runs(runs))
+    """One line per training run; an ab initio run that continues another reports that run's type."""
+    resolved = effective_params(resolve_runs(runs)).filter(F.col("kind").isin(*DEFAULTS))
     text = F.when(
         F.col("kind") == "abinitio",
         F.format_string("Ab initio training (%s), %d epochs", F.col("abinitio_type"), F.col("num_epochs")),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from latentspark.session import broadcast_if_small, cut_lineage, has_rows
+from latentspark.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage, has_rows
 
 
 def anchor_legs(anchors: DataFrame) -> DataFrame:
@@ -31,21 +31,25 @@ def shortest_distances(edges: DataFrame, legs: DataFrame, *, to_targets: bool =
     ``to_targets`` stops following nodes that are already as far as the leg's
     target. Edge weights must not be negative.
     """
-    legs = broadcast_if_small(cut_lineage(legs))
+    legs = cut_lineage(legs)
+    few = legs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     graph = edges.select("src", "dst", "w").repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
     best = F.min(F.struct("dist", "round", "pred")).alias("s")
     start = legs.select(
         "leg", F.col("source").alias("node"), F.lit(0.0).alias("dist"), F.lit(0).alias("round"),
         F.lit(None).cast("bigint").alias("pred"))
+    ends = legs.select("leg", F.col("target").alias("node"))
+    ends = F.broadcast(ends) if few else ends
     frontier = cut_lineage(start)
     known = frontier
     round_number = 0
     while has_rows(frontier):
         round_number += 1
         if to_targets:
-            goal = known.join(legs, (known.leg == legs.leg) & (known.node == legs.target)).groupBy(
-                legs.leg).agg(F.min("dist").alias("_goal"))
-            frontier = frontier.join(broadcast_if_small(goal), "leg", "left").filter(
+            # At most one row per leg.
+            goal = known.join(
+                ends, ["leg", "node"]).groupBy("leg").agg(F.min("dist").alias("_goal"))
+            frontier = frontier.join(F.broadcast(goal) if few else goal, "leg", "left").filter(
                 F.col("_goal").isNull() | (F.col("dist") < F.col("_goal"))).drop("_goal")
         moved = frontier.join(graph, frontier.node == graph.src).select(
             "leg", F.col("dst").alias("node"), (F.col("dist") + F.col("w")).alias("dist"),

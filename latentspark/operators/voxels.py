@@ -111,9 +111,10 @@ def volume_pca(voxels: DataFrame, mask: DataFrame | None = None, dim: int = 20)
     if len(ids) < 2:
         return spark.createDataFrame([], "vol_id int, component int, score double, explained double")
     # One row per voxel holding its value in every volume, less their mean.
-    by_volume = F.map_from_entries(F.collect_list(F.struct("vol_id", "v")))
-    filled = F.transform(
-        F.lit(ids).cast("array<int>"), lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0.0)))
+    by_volume = F.sort_array(F.collect_list(F.struct("vol_id", "v")))
+    found = F.map_from_entries("m")
+    filled = F.when(F.size("m") == len(ids), F.col("m.v")).otherwise(F.transform(
+        F.lit(ids).cast("array<int>"), lambda i: F.coalesce(F.try_element_at(found, i), F.lit(0.0))))
     mean = F.aggregate("f", F.lit(0.0), lambda s, x: s + x) / F.lit(len(ids))
     centred = (
         voxels.select(*VOXEL, F.col("vol_id").cast("int").alias("vol_id"), F.col("v").cast("double"))
