@@ -32,25 +32,26 @@ def shortest_distances(edges: DataFrame, legs: DataFrame, *, to_targets: bool =
     target. Edge weights must not be negative.
     """
     legs = cut_lineage(legs)
-    few = legs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    pruned = to_targets and legs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    ends = legs.select("leg", F.col("target").alias("node"))
     graph = edges.select("src", "dst", "w").repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
     best = F.min(F.struct("dist", "round", "pred")).alias("s")
     start = legs.select(
         "leg", F.col("source").alias("node"), F.lit(0.0).alias("dist"), F.lit(0).alias("round"),
         F.lit(None).cast("bigint").alias("pred"))
-    ends = legs.select("leg", F.col("target").alias("node"))
-    ends = F.broadcast(ends) if few else ends
     frontier = cut_lineage(start)
     known = frontier
+    goals: dict[int, float] = {}
     round_number = 0
     while has_rows(frontier):
         round_number += 1
-        if to_targets:
-            # At most one row per leg.
-            goal = known.join(
-                ends, ["leg", "node"]).groupBy("leg").agg(F.min("dist").alias("_goal"))
-            frontier = frontier.join(F.broadcast(goal) if few else goal, "leg", "left").filter(
-                F.col("_goal").isNull() | (F.col("dist") < F.col("_goal"))).drop("_goal")
+        if pruned:  # one number per leg
+            goals.update(frontier.join(F.broadcast(ends), ["leg", "node"]).select("leg", "dist").collect())
+        if goals:
+            reached = F.broadcast(edges.sparkSession.createDataFrame(
+                list(goals.items()), "leg int, goal double"))
+            frontier = frontier.join(reached, "leg", "left").filter(
+                F.col("goal").isNull() | (F.col("dist") < F.col("goal"))).drop("goal")
         moved = frontier.join(graph, frontier.node == graph.src).select(
             "leg", F.col("dst").alias("node"), (F.col("dist") + F.col("w")).alias("dist"),
             F.lit(round_number).alias("round"), F.col("src").alias("pred"))

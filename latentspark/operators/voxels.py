@@ -115,12 +115,10 @@ def volume_pca(voxels: DataFrame, mask: DataFrame | None = None, dim: int = 20)
     found = F.map_from_entries("m")
     filled = F.when(F.size("m") == len(ids), F.col("m.v")).otherwise(F.transform(
         F.lit(ids).cast("array<int>"), lambda i: F.coalesce(F.try_element_at(found, i), F.lit(0.0))))
-    mean = F.aggregate("f", F.lit(0.0), lambda s, x: s + x) / F.lit(len(ids))
     centred = (
         voxels.select(*VOXEL, F.col("vol_id").cast("int").alias("vol_id"), F.col("v").cast("double"))
-        .groupBy(*VOXEL).agg(by_volume.alias("m"))
-        .select(filled.alias("f")).select("f", mean.alias("mean"))
-        .select(F.transform("f", lambda x: x - F.col("mean")).alias("f"))
+        .groupBy(*VOXEL).agg(by_volume.alias("m"), (F.sum("v") / len(ids)).alias("mean"))
+        .select(F.transform(filled, lambda x: x - F.col("mean")).alias("f"))
     )
     vectors = MLUtils.convertVectorColumnsFromML(centred.select(array_to_vector("f").alias("f")), "f")
     gram = RowMatrix(vectors).computeGramianMatrix().toArray()
