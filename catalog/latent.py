@@ -368,7 +368,7 @@ def latent_distribution(spark, sf):
 
 @query("latent_distribution_ranges", _DISTRIBUTION)
 def latent_distribution_ranges(spark, sf):
-    out = density.latent_distribution(view(spark, sf, "latent1"), _QS, rows_per_bucket=2_000)
+    out = density.latent_distribution(view(spark, sf, "latent1"), _QS, sort_rows=2_000)
     return out.select("q", r6("z").alias("z"))
 
 

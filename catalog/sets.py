@@ -34,7 +34,7 @@ def with_position(spark, sf):
            row_number() OVER (ORDER BY o_orderpriority, o_orderkey) - 1 AS position FROM orders""")
 def with_position_ranges(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    return position.with_position(orders, "o_orderpriority", ["o_orderkey"], rows_per_bucket=2_000)
+    return position.with_position(orders, "o_orderpriority", ["o_orderkey"], rows_per_range=2_000)
 
 
 _LOCATION = """SELECT position, CAST(position % 200 + 1 AS INT) AS idx,

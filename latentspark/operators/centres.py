@@ -159,8 +159,9 @@ def _lloyd_round(latents: DataFrame, table: CentreTable) -> CentreTable:
                 continue
             x = to_matrix(batch.column("z"))
             for rows, centre, _ in nearest_k(x, z, index, 1):
-                np.add.at(total, centre, x[rows])
-                np.add.at(count, centre, 1)
+                count += np.bincount(centre, minlength=len(z))
+                for d in range(z.shape[1]):
+                    total[:, d] += np.bincount(centre, x[rows, d], len(z))
         used = np.flatnonzero(count)
         if len(used):
             yield pa.RecordBatch.from_arrays(

@@ -3,70 +3,71 @@
 from __future__ import annotations
 
 import math
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from latentspark.operators.position import ROWS_PER_BUCKET, bucket_count, bucket_of, cut_points
+
+# Rows one task may sort, and bins of one counting pass.
+SORT_ROWS = 250_000
+_BINS = 4_096
 
 
 def quantiles(
-    df: DataFrame, column: str, qs: Sequence[float], *, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, column: str, qs: Sequence[float], *, sort_rows: int = SORT_ROWS
 ) -> list[float]:
     """Exact quantiles with linear interpolation; NULLs are left out, none for no rows.
 
     ``percentile`` keeps all distinct values of a group in one task, so it serves
-    small inputs only. A large one is counted per value range, and just the ranges
-    that hold a wanted rank are ranked, with equal values counted together first.
+    small inputs only. For a large one, equal-width bins are counted, and the bin
+    that holds a wanted rank is looked at again until it is small enough to sort
+    or holds one value only.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    n = values.count()
+    n, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
     if n == 0:
         return []
-    buckets = bucket_count(n, rows_per_bucket)
-    if buckets == 1:
+    if n <= sort_rows:
         wanted = F.array(*[F.lit(float(q)) for q in qs])
         return list(values.agg(F.percentile("v", wanted).alias("q")).first()["q"])
     places = [q * (n - 1) for q in qs]
-    ranks = sorted({r for p in places for r in (math.floor(p), math.ceil(p))})
-    tagged = values.withColumn("b", bucket_of(values, ["v"], cut_points(values, ["v"], buckets, n)))
-    counts = {r["b"]: r["n"] for r in tagged.groupBy("b").agg(F.count("*").alias("n")).collect()}
-    start, where, before = {}, {}, 0
-    for b in sorted(counts):
-        start[b] = before
-        for rank in ranks:
-            if before <= rank < before + counts[b]:
-                where[rank] = b
-        before += counts[b]
-    needed = sorted(set(where.values()))
-    running = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        tagged.filter(F.col("b").isin(*needed)).groupBy("b", "v").agg(F.count("*").alias("n"))
-        .withColumn("upto", F.sum("n").over(running))
-    )
-    hit = [
-        (F.col("b") == b) & (F.col("upto") - F.col("n") <= rank - start[b]) & (F.col("upto") > rank - start[b])
-        for rank, b in where.items()
-    ]
-    found = {}
-    for row in ranked.filter(_any(hit)).collect():
-        low = start[row["b"]] + row["upto"] - row["n"]
-        for rank in ranks:
-            if where[rank] == row["b"] and low <= rank < low + row["n"]:
-                found[rank] = row["v"]
+    ranks = {r for p in places for r in (math.floor(p), math.ceil(p))}
+    found = _values_at(values, low, high, n, ranks, sort_rows)
     result = []
     for p in places:
-        low, high = found[math.floor(p)], found[math.ceil(p)]
-        result.append(low + (high - low) * (p - math.floor(p)))
+        below, above = found[math.floor(p)], found[math.ceil(p)]
+        result.append(below + (above - below) * (p - math.floor(p)))
     return result
 
 
-def _any(conditions: Sequence[Column]) -> Column:
-    out = conditions[0]
-    for condition in conditions[1:]:
-        out = out | condition
-    return out
+def _values_at(
+    values: DataFrame, low: float, high: float, n: int, ranks: set[int], sort_rows: int
+) -> dict[int, float]:
+    """Values at the 0-based ``ranks`` among the ``n`` values from ``low`` to ``high``."""
+    if low == high:
+        return {rank: low for rank in ranks}
+    inside = values.filter(F.col("v").between(low, high))
+    if n <= sort_rows:
+        running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        counted = inside.groupBy("v").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(running))
+        hits = [(F.col("upto") - F.col("n") <= r) & (F.col("upto") > r) for r in ranks]
+        rows = counted.filter(reduce(operator.or_, hits)).collect()
+        return {r: row["v"] for r in ranks for row in rows if row["upto"] - row["n"] <= r < row["upto"]}
+    width = (high - low) / _BINS
+    place = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(_BINS - 1))
+    bins = inside.groupBy((place if width > 0 else F.col("v")).alias("b")).agg(
+        F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("low").collect()
+    found, before = {}, 0
+    for b in bins:
+        here = {rank - before for rank in ranks if before <= rank < before + b["n"]}
+        if here:
+            inner = _values_at(values, b["low"], b["high"], b["n"], here, sort_rows)
+            found.update({rank + before: v for rank, v in inner.items()})
+        before += b["n"]
+    return found
 
 
 def latent_distribution(

@@ -71,18 +71,25 @@ def invert(df: DataFrame, column: str = "image") -> DataFrame:
 def window_images(df: DataFrame, radius: float = 0.85, column: str = "image") -> DataFrame:
     """Circular window: 1 inside ``radius`` (of the half box), 0 from the half box
     on, a cosine edge between."""
-    image = F.col(column)
-    edge = F.sqrt(F.size(image)).cast("int")
-    half = edge / F.lit(2)
-
-    def weighted(value, i):
-        y = (F.floor(i / edge) - F.floor(half)) / half
-        x = (F.pmod(i, edge) - F.floor(half)) / half
-        r = F.sqrt(x * x + y * y)
-        soft = (F.cos((r - F.lit(radius)) / F.lit(max(1.0 - radius, 1e-12)) * F.pi()) + 1.0) / 2.0
-        return value * F.when(r <= radius, 1.0).when(r >= 1.0, 0.0).otherwise(soft)
-
-    return df.withColumn(column, F.transform(image, weighted))
+    place = df.columns.index(column)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            stack = to_matrix(batch.column(place))
+            columns = list(batch.columns)
+            columns[place] = from_matrix(stack * _window(round(stack.shape[1] ** 0.5), radius).ravel())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return df.mapInArrow(apply, df.schema)
+
+
+def _window(edge: int, radius: float) -> np.ndarray:
+    axis = (np.arange(edge) - edge // 2) / (edge / 2)
+    r = np.sqrt(axis[:, None] ** 2 + axis[None, :] ** 2)
+    soft = (np.cos((r - radius) / max(1.0 - radius, 1e-12) * np.pi) + 1.0) / 2.0
+    return np.where(r <= radius, 1.0, np.where(r >= 1.0, 0.0, soft))
 
 
 def images_to_pixels(df: DataFrame, column: str = "image") -> DataFrame:

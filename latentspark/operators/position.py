@@ -11,49 +11,12 @@ from pyspark.sql import functions as F
 
 from latentspark.functions import names
 from latentspark.functions.scalars import numbered_name, quotient
+from latentspark.session import cut_lineage
 
-# Rows sorted by one task, and number of range buckets at most.
-ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 16_384
-_SAMPLE_PER_BUCKET = 16
-
-
-def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    return max(1, min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket)))
-
-
-def cut_points(df: DataFrame, keys: Sequence[str], buckets: int, rows: int) -> list[tuple]:
-    """Sorted key tuples that split ``df`` into about equal ranges.
-
-    Taken from a sample whose size depends on the number of buckets only. The
-    tie columns belong to the tuple, so one frequent key is split as well.
-    """
-    fraction = min(1.0, buckets * _SAMPLE_PER_BUCKET / max(1, rows))
-    sample = df.select(*keys).sample(fraction, seed=7).orderBy(*keys).collect()
-    if not sample:
-        return []
-    picks = [tuple(sample[len(sample) * i // buckets]) for i in range(1, buckets)]
-    return list(dict.fromkeys(picks))
-
-
-def bucket_of(df: DataFrame, keys: Sequence[str], cuts: Sequence[tuple]) -> Column:
-    """Number of cut points at or below the row's key, found in two steps of
-    about the square root of their number each."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-
-    def literal(cut: tuple) -> Column:
-        return F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, cut)])
-
-    if not cuts:
-        return F.lit(0)
-    key = F.struct(*[F.col(k).alias(k) for k in keys])
-    width = math.isqrt(len(cuts) - 1) + 1
-    groups = [cuts[i:i + width] for i in range(0, len(cuts), width)]
-    heads = F.array(*[literal(g[0]) for g in groups])
-    tails = F.array(*[F.array(*[literal(c) for c in g]) for g in groups])
-    coarse = F.size(F.filter(heads, lambda c: c <= key))
-    fine = F.size(F.filter(F.get(tails, coarse - 1), lambda c: c <= key))
-    return F.when(coarse == 0, F.lit(0)).otherwise((coarse - 1) * width + fine)
+# Rows sorted by one task, and number of ranges at most.
+ROWS_PER_RANGE = 250_000
+MAX_RANGES = 16_384
+_ROW_BITS = 33  # monotonically_increasing_id counts rows in its low 33 bits
 
 
 def with_position(
@@ -62,36 +25,36 @@ def with_position(
     ties: Sequence[str] = (),
     *,
     position: str = "position",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add the dense 0-based rank of ``(key, *ties)``; the ties must make the
     order total. NULL keys come first.
 
-    A set that one task can sort gets a plain window. A larger one is cut into
-    ranges; rows are ranked inside their range and shifted by the number of rows
-    in the ranges before it. The counts come from a pass over the key columns
-    only, and all columns are shuffled once.
+    A set that one task can sort gets a plain window. A larger one is range
+    partitioned by key and ties together, so that one frequent key is spread too,
+    and sorted inside the ranges; a row's rank is its place in its range plus the
+    rows of the ranges before. The ranges come from a sample, so the ranked table
+    is written once before the rows of each range are counted.
     """
     keys = [key, *ties]
-    rows = df.count()
-    buckets = bucket_count(rows, rows_per_bucket)
-    if buckets == 1:
+    ranges = min(MAX_RANGES, math.ceil(df.count() / rows_per_range))
+    if ranges <= 1:
         rank = F.row_number().over(Window.orderBy(*keys))
         return df.withColumn(position, rank.cast("bigint") - 1)
-    cuts = cut_points(df, keys, buckets, rows)
-    bucket = bucket_of(df, keys, cuts)
-    counts = {r["b"]: r["n"] for r in
-              df.select(bucket.alias("b")).groupBy("b").agg(F.count("*").alias("n")).collect()}
-    offsets, before = [], 0
-    for b in range(len(cuts) + 1):
-        offsets.append(before)
-        before += counts.get(b, 0)
-    shift = F.get(F.array(*[F.lit(v).cast("bigint") for v in offsets]), F.col("_bucket"))
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
+    ranked = cut_lineage(
+        df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+        .withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", _ROW_BITS)
+    counts = sorted(ranked.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
+    starts, before = [], 0
+    for p, n in counts:
+        starts.append((p, before))
+        before += n
+    shift = F.broadcast(df.sparkSession.createDataFrame(starts, "_part bigint, _start bigint"))
+    place = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + F.col("_start")
     return (
-        df.withColumn("_bucket", bucket)
-        .withColumn(position, rank.cast("bigint") - 1 + shift)
-        .drop("_bucket")
+        ranked.withColumn("_part", part).join(shift, "_part")
+        .withColumn(position, place).drop("_part", "_id", "_start")
     )
 
 

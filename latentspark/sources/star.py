@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentspark.operators.position import bucket_of, with_position
+from latentspark.operators.position import with_position
 from latentspark.sources.text import LINE_KEYS, read_lines
 
 # STAR labels of the particle columns.
@@ -43,12 +43,11 @@ def read_star(
 
     sections: list[dict] = []
     for row in headers:
-        if row["text"].startswith("data_"):
-            sections.append({"name": row["text"].split()[0], "labels": [], "starts": []})
-        elif sections and row["text"].startswith("_"):
-            sections[-1]["labels"].append(row["text"].split()[0])
-        if sections:
-            sections[-1]["starts"].append(tuple(row[k] for k in LINE_KEYS))
+        word = row["text"].split()[0]
+        if word.startswith("data_"):
+            sections.append({"name": word, "labels": [], "start": tuple(row[k] for k in LINE_KEYS)})
+        elif sections and word.startswith("_"):
+            sections[-1]["labels"].append(word)
     wanted = block or (BLOCK_NAME if any(s["name"] == BLOCK_NAME for s in sections)
                        else sections[-1]["name"] if sections else None)
     layouts = {tuple(s["labels"]) for s in sections if s["name"] == wanted}
@@ -58,18 +57,27 @@ def read_star(
 
     records = lines.filter(~is_header)
     if any(s["name"] != wanted for s in sections):
-        section = bucket_of(records, LINE_KEYS, [s["starts"][0] for s in sections]) - 1
-        inside = [i for i, s in enumerate(sections) if s["name"] == wanted]
-        records = records.filter(section.isin(*inside))
+        records = records.filter(F.get(
+            F.lit([s["name"] == wanted for s in sections]), _section(sections) - 1))
     words = F.split("text", r"\s+")
-    table = with_position(records.withColumn("w", words), LINE_KEYS[0], LINE_KEYS[1:]).select(
-        "position", *[F.get("w", F.lit(i)).alias(label) for i, label in enumerate(labels)])
+    table = records.select(
+        *LINE_KEYS, *[F.get(words, F.lit(i)).alias(label) for i, label in enumerate(labels)])
     if numeric is None:
         checks = table.agg(*[
             F.coalesce(F.bool_and(F.col(c).try_cast("double").isNotNull()), F.lit(False)).alias(c)
             for c in labels]).first()
         numeric = [c for c in labels if checks[c]]
-    return table.withColumns({c: F.col(c).try_cast("double") for c in numeric}) if numeric else table
+    typed = table.withColumns({c: F.col(c).try_cast("double") for c in numeric}) if numeric else table
+    return with_position(typed, LINE_KEYS[0], LINE_KEYS[1:]).select("position", *labels)
+
+
+def _section(sections: list[dict]) -> Column:
+    """How many section starts are at or before the line."""
+    starts = F.array(*[
+        F.struct(F.lit(f).alias("file"), F.lit(b).cast("bigint").alias("block"), F.lit(i).cast("bigint").alias("line"))
+        for f, b, i in (s["start"] for s in sections)])
+    here = F.struct(*[F.col(k).alias(k) for k in LINE_KEYS])
+    return F.size(F.filter(starts, lambda start: start <= here))
 
 
 def particles_from_star(table: DataFrame) -> DataFrame:

@@ -222,7 +222,7 @@ def test_quantiles_are_exact_in_ranges(spark, values):
     qs = [0.0, 0.01, 0.3, 0.5, 0.77, 0.99, 1.0]
     want = list(np.quantile(values, qs))
     assert density.quantiles(df, "v", qs) == pytest.approx(want)
-    assert density.quantiles(df, "v", qs, rows_per_bucket=25) == pytest.approx(want)
+    assert density.quantiles(df, "v", qs, sort_rows=25) == pytest.approx(want)
 
 
 def test_empty_distributions(spark):
@@ -316,27 +316,20 @@ def test_analyze_with_one_dimension(spark):
     assert found.axes is None and found.graph_path is None and found.landscape is None
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10, 37, 1_000_000])
-def test_positions_with_a_crowded_key(spark, rows_per_bucket):
+@pytest.mark.parametrize("rows_per_range", [10, 37, 1_000_000])
+def test_positions_with_a_crowded_key(spark, rows_per_range):
     keys = [None if i % 11 == 0 else (5 if i % 3 else i % 17) for i in range(400)]
     df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key int, id int").repartition(7)
     got = [(r["key"], r["id"]) for r in
-           position.with_position(df, "key", ["id"], rows_per_bucket=rows_per_bucket).orderBy("position").collect()]
+           position.with_position(df, "key", ["id"], rows_per_range=rows_per_range).orderBy("position").collect()]
     want = sorted(zip(keys, range(400)), key=lambda t: (t[0] is not None, t[0] or 0, t[1]))
     assert got == want
-    places = position.with_position(df, "key", ["id"], rows_per_bucket=rows_per_bucket)
+    places = position.with_position(df, "key", ["id"], rows_per_range=rows_per_range)
     assert [r["position"] for r in places.orderBy("position").collect()] == list(range(400))
 
 
-def test_crowded_key_is_cut_into_ranges(spark):
-    df = spark.range(3000).select(F.lit("same").alias("key"), "id")
-    cuts = position.cut_points(df, ["key", "id"], 6, 3000)
-    sizes = df.groupBy(position.bucket_of(df, ["key", "id"], cuts)).count().collect()
-    assert len(sizes) == 6 and max(r["count"] for r in sizes) < 1500
-
-
 def test_string_and_empty_positions(spark):
     df = spark.createDataFrame([(w,) for w in "delta alpha charlie bravo".split()], "w string")
-    out = position.with_position(df, "w", rows_per_bucket=1).orderBy("position").collect()
+    out = position.with_position(df, "w", rows_per_range=1).orderBy("position").collect()
     assert [r["w"] for r in out] == ["alpha", "bravo", "charlie", "delta"]
     assert position.with_position(df.filter("false"), "w").count() == 0
