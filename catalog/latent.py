@@ -425,7 +425,7 @@ def knn_join(spark, sf):
 @query("knn_join_pivots", f"""{LATENTS}, {KNN_SQL}
     SELECT position, neighbour, {sql6('dist')} AS dist FROM near""")
 def knn_join_pivots(spark, sf):
-    return neighbours.knn_join(view(spark, sf, "latents"), 10, block_rows=100).select(
+    return neighbours.knn_join(view(spark, sf, "latents"), 10, block_rows=60, one_cell_rows=50).select(
         "position", "neighbour", r6("dist").alias("dist"))
 
 

@@ -16,7 +16,7 @@ from pyspark.storagelevel import StorageLevel
 from latentspark.functions.matrices import from_matrix, nearest_k, to_matrix
 from latentspark.operators.neighbours import blocked_nearest
 from latentspark.schemas import CENTRES
-from latentspark.session import broadcast_if_small
+from latentspark.session import broadcast_if_small, cut_lineage
 
 # Bytes of a centre table that may be sent to every task.
 MAX_CENTRE_BYTES = 64 * 1024 * 1024
@@ -36,10 +36,11 @@ class CentreTable:
 
 def load_centres(centres: DataFrame) -> CentreTable | None:
     """Bring centres to the driver if their size, measured first, allows it."""
+    centres = cut_lineage(centres.select("centre_id", "z"))
     size = centres.agg(F.coalesce(F.sum(F.size("z")), F.lit(0)).alias("n")).first()["n"]
     if size == 0 or size * 8 > MAX_CENTRE_BYTES:
         return None
-    rows = centres.select("centre_id", "z").orderBy("centre_id").collect()
+    rows = centres.orderBy("centre_id").collect()
     return CentreTable(np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows]))
 
 

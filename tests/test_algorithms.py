@@ -39,11 +39,11 @@ def brute_knn(x, k):
     return out
 
 
-@pytest.mark.parametrize("block_rows", [20, 75, 20_000])
+@pytest.mark.parametrize("block_rows, one_cell_rows", [(20, 50), (1000, 50), (20, 4_000), (20_000, 4_000)])
 @pytest.mark.parametrize("make", [lambda: RNG.normal(size=(260, 4)), crowded], ids=["distinct", "crowded"])
-def test_knn_join_is_exact(spark, make, block_rows):
+def test_knn_join_is_exact(spark, make, block_rows, one_cell_rows):
     x = make()
-    out = neighbours.knn_join(table(spark, x), 4, block_rows=block_rows)
+    out = neighbours.knn_join(table(spark, x), 4, block_rows=block_rows, one_cell_rows=one_cell_rows)
     rows = out.collect()
     assert {(r["position"], r["neighbour"]) for r in rows} == brute_knn(x, 4)
     assert len(rows) == 4 * len(x)
