@@ -176,4 +176,4 @@ def missing_volumes(expected: DataFrame, found: DataFrame) -> DataFrame:
     """
     wanted = expected.filter(F.col("n") > 0).select(
         "run_id", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("vol_id"))
-    return wanted.join(found.select("run_id", "vol_id"), ["run_id", "vol_id"], "left_anti")
+    return wanted.join(found.select("run_id", "vol_id").distinct(), ["run_id", "vol_id"], "left_anti")

@@ -8,6 +8,9 @@ from pyspark.storagelevel import StorageLevel
 
 from latentspark.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage, has_rows
 
+# Edges of one node that stay together; a node with more is split.
+HUB_EDGES = 100_000
+
 
 def anchor_legs(anchors: DataFrame) -> DataFrame:
     """Successive anchor pairs ``(leg, source, target)`` in anchor order.
@@ -34,7 +37,8 @@ def shortest_distances(edges: DataFrame, legs: DataFrame, *, to_targets: bool =
     legs = cut_lineage(legs)
     pruned = to_targets and legs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     ends = legs.select("leg", F.col("target").alias("node"))
-    graph = edges.select("src", "dst", "w").repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
+    edges, hubs = _split_hubs(edges)
+    graph = edges.repartition("src", "share").persist(StorageLevel.MEMORY_AND_DISK)
     best = F.min(F.struct("dist", "round", "pred")).alias("s")
     start = legs.select(
         "leg", F.col("source").alias("node"), F.lit(0.0).alias("dist"), F.lit(0).alias("round"),
@@ -52,7 +56,7 @@ def shortest_distances(edges: DataFrame, legs: DataFrame, *, to_targets: bool =
                 list(goals.items()), "leg int, goal double"))
             frontier = frontier.join(reached, "leg", "left").filter(
                 F.col("goal").isNull() | (F.col("dist") < F.col("goal"))).drop("goal")
-        moved = frontier.join(graph, frontier.node == graph.src).select(
+        moved = _to_shares(frontier, hubs).join(graph, ["src", "share"]).select(
             "leg", F.col("dst").alias("node"), (F.col("dist") + F.col("w")).alias("dist"),
             F.lit(round_number).alias("round"), F.col("src").alias("pred"))
         merged = known.unionByName(moved).groupBy("leg", "node").agg(best)
@@ -63,6 +67,29 @@ def shortest_distances(edges: DataFrame, legs: DataFrame, *, to_targets: bool =
     return known.groupBy("leg", "node").agg(best).select("leg", "node", "s.*")
 
 
+def _split_hubs(edges: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Edges with a ``share`` that cuts the edges of a crowded node into equal parts,
+    and the table of those nodes: one row per ``HUB_EDGES`` edges at most."""
+    edges = edges.select("src", "dst", "w")
+    degree = edges.groupBy("src").agg(F.count("*").alias("n")).filter(F.col("n") > HUB_EDGES)
+    hubs = cut_lineage(degree.select("src", F.ceil(F.col("n") / HUB_EDGES).cast("int").alias("shares")))
+    if not has_rows(hubs):
+        return edges.withColumn("share", F.lit(0)), None
+    hubs = broadcast_if_small(hubs)
+    share = F.pmod(F.xxhash64("dst"), F.coalesce("shares", F.lit(1))).cast("int")
+    return edges.join(hubs, "src", "left").select("src", "dst", "w", share.alias("share")), hubs
+
+
+def _to_shares(frontier: DataFrame, hubs: DataFrame | None) -> DataFrame:
+    """Frontier rows, once per share of their node's edges."""
+    nodes = frontier.withColumnRenamed("node", "src")
+    if hubs is None:
+        return nodes.withColumn("share", F.lit(0))
+    last = F.coalesce(F.col("shares"), F.lit(1)) - 1
+    return nodes.join(hubs, "src", "left").withColumn(
+        "share", F.explode(F.sequence(F.lit(0), last))).drop("shares")
+
+
 def graph_traversal(edges: DataFrame, anchors: DataFrame) -> DataFrame:
     """Shortest path of every leg as ``(leg, step, position, dist)``; ``dist`` is the
     way from the leg's source. An unreachable leg is one row with NULL position."""

@@ -51,6 +51,10 @@ def test_knn_join_is_exact(spark, make, block_rows, one_cell_rows):
         assert r["dist"] == pytest.approx(np.linalg.norm(x[r["position"]] - x[r["neighbour"]]), abs=1e-12)
 
 
+def test_knn_of_nothing(spark):
+    assert neighbours.knn_join(table(spark, np.empty((0, 2))), 3).count() == 0
+
+
 def test_knn_with_fewer_points_than_neighbours(spark):
     out = neighbours.knn_join(table(spark, np.arange(3.0)[:, None]), 5)
     assert out.count() == 6
@@ -183,6 +187,18 @@ def test_shortest_paths_equal_dijkstra(spark):
         assert sum(weight[s] for s in zip(steps, steps[1:])) == pytest.approx(dijkstra(edges, source)[target])
 
 
+def test_crowded_nodes_are_split(spark, monkeypatch):
+    monkeypatch.setattr(traversal, "HUB_EDGES", 7)
+    spokes = [(0, i, float(i)) for i in range(1, 60)] + [(i, 100 + i, 0.5) for i in range(1, 60)]
+    edges = spokes + [(b, a, w) for a, b, w in spokes]
+    graph = spark.createDataFrame(edges, "src bigint, dst bigint, w double")
+    anchors = spark.createDataFrame([(0, 101), (1, 140)], "centre_id int, position bigint")
+    state = traversal.shortest_distances(graph, traversal.anchor_legs(anchors)).collect()
+    assert {r["node"]: r["dist"] for r in state} == pytest.approx(dijkstra(edges, 101))
+    path = traversal.graph_traversal(graph, anchors).orderBy("step").collect()
+    assert [r["position"] for r in path] == [101, 1, 0, 40, 140]
+
+
 def test_unreachable_leg_is_one_empty_row(spark):
     graph = spark.createDataFrame(
         [(0, 1, 1.0), (1, 0, 1.0), (2, 3, 0.0), (3, 2, 0.0)], "src bigint, dst bigint, w double")
