@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-# Elements of one temporary distance block (8 bytes each).
-BLOCK_ELEMENTS = 4_000_000
+# Numbers in one temporary array (8 bytes each).
+BLOCK_ELEMENTS = 8_000_000
 
 
 def to_matrix(column) -> np.ndarray:
@@ -40,7 +40,8 @@ def nearest_k(x: np.ndarray, y: np.ndarray, y_ids: np.ndarray, k: int):
     """
     k = min(k, len(y))
     y_norm = (y * y).sum(axis=1)
-    step = max(1, BLOCK_ELEMENTS // max(1, len(y)))
+    # Even if all of y ties for every row, their differences stay within one array.
+    step = max(1, BLOCK_ELEMENTS // max(1, y.size))
     for start in range(0, len(x), step):
         part = x[start:start + step]
         x_norm = (part * part).sum(axis=1)

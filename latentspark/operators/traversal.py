@@ -26,7 +26,7 @@ def anchor_legs(anchors: DataFrame) -> DataFrame:
 
 
 def shortest_distances(edges: DataFrame, legs: DataFrame, *, to_targets: bool = False) -> DataFrame:
-    """Distance of every node reached in each leg: ``(leg, node, dist, round, pred)``.
+    """Distance of every node reached in each leg: ``(leg, node, dist, pred)``.
 
     All legs advance together, one edge per round, and only nodes improved in the
     round before are followed. A round writes just its improvements. Among equal
@@ -39,16 +39,13 @@ def shortest_distances(edges: DataFrame, legs: DataFrame, *, to_targets: bool =
     ends = legs.select("leg", F.col("target").alias("node"))
     edges, hubs = _split_hubs(edges)
     graph = edges.repartition("src", "share").persist(StorageLevel.MEMORY_AND_DISK)
-    best = F.min(F.struct("dist", "round", "pred")).alias("s")
+    best = F.min(F.struct("dist", "fresh", "pred")).alias("s")  # what is known wins a tie
     start = legs.select(
-        "leg", F.col("source").alias("node"), F.lit(0.0).alias("dist"), F.lit(0).alias("round"),
-        F.lit(None).cast("bigint").alias("pred"))
+        "leg", F.col("source").alias("node"), F.lit(0.0).alias("dist"), F.lit(None).cast("bigint").alias("pred"))
     frontier = cut_lineage(start)
     known = frontier
     goals: dict[int, float] = {}
-    round_number = 0
     while has_rows(frontier):
-        round_number += 1
         if pruned:  # one number per leg
             goals.update(frontier.join(F.broadcast(ends), ["leg", "node"]).select("leg", "dist").collect())
         if goals:
@@ -58,13 +55,15 @@ def shortest_distances(edges: DataFrame, legs: DataFrame, *, to_targets: bool =
                 F.col("goal").isNull() | (F.col("dist") < F.col("goal"))).drop("goal")
         moved = _to_shares(frontier, hubs).join(graph, ["src", "share"]).select(
             "leg", F.col("dst").alias("node"), (F.col("dist") + F.col("w")).alias("dist"),
-            F.lit(round_number).alias("round"), F.col("src").alias("pred"))
-        merged = known.unionByName(moved).groupBy("leg", "node").agg(best)
+            F.col("src").alias("pred"))
+        both = known.withColumn("fresh", F.lit(False)).unionByName(moved.withColumn("fresh", F.lit(True)))
         frontier = cut_lineage(
-            merged.filter(F.col("s.round") == round_number).select("leg", "node", "s.*"))
+            both.groupBy("leg", "node").agg(best).filter("s.fresh")
+            .select("leg", "node", "s.dist", "s.pred"))
         known = known.unionByName(frontier)
     graph.unpersist()
-    return known.groupBy("leg", "node").agg(best).select("leg", "node", "s.*")
+    latest = F.min(F.struct("dist", "pred")).alias("s")
+    return known.groupBy("leg", "node").agg(latest).select("leg", "node", "s.dist", "s.pred")
 
 
 def _split_hubs(edges: DataFrame) -> tuple[DataFrame, DataFrame | None]:

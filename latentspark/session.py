@@ -15,9 +15,9 @@ _local_dirs: dict[str, str] = {}
 
 
 def build_session(master: str | None = None, app: str = "latentspark", **conf) -> SparkSession:
-    """A session with adaptive execution on and Arrow batches bounded in rows.
+    """A session with adaptive execution on and Arrow batches bounded in rows and bytes.
 
-    ``arrow.maxRecordsPerBatch`` is kept low because one image row may hold a
+    The bounds are low because one image row may hold a
     few megabytes.
     """
     builder = SparkSession.builder.appName(app)
@@ -29,6 +29,7 @@ def build_session(master: str | None = None, app: str = "latentspark", **conf) -
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
+        "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
         "spark.sql.session.timeZone": "UTC",
         **conf,
     }
