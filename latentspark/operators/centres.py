@@ -170,15 +170,11 @@ def _lloyd_round(latents: DataFrame, table: CentreTable) -> CentreTable:
                 names=["c", "n", "s"])
 
     partial = latents.mapInArrow(add_up, "c int, n bigint, s array<double>")
-    sums = (
-        partial.select("c", "n", F.posexplode("s").alias("i", "v"))
-        .groupBy("c", "i").agg((F.sum("v") / F.sum("n")).alias("mean"))
-        .groupBy("c").agg(F.sort_array(F.collect_list(F.struct("i", "mean"))).alias("m"))
-        .select("c", F.col("m.mean").alias("m"))
-    )
+    means = partial.select("c", "n", F.posexplode("s").alias("i", "v")).groupBy("c", "i").agg(
+        (F.sum("v") / F.sum("n")).alias("mean"))
     moved = z.copy()
-    for row in sums.collect():
-        moved[row["c"]] = row["m"]
+    for row in means.collect():
+        moved[row["c"], row["i"]] = row["mean"]
     return CentreTable(table.ids, moved)
 
 

@@ -45,9 +45,17 @@ def shortest_distances(edges: DataFrame, legs: DataFrame, *, to_targets: bool =
     frontier = cut_lineage(start)
     known = frontier
     goals: dict[int, float] = {}
-    while has_rows(frontier):
+    while True:
         if pruned:  # one number per leg
-            goals.update(frontier.join(F.broadcast(ends), ["leg", "node"]).select("leg", "dist").collect())
+            hit = F.collect_list(F.when(F.col("at_end"), F.struct("leg", "dist"))).alias("hits")
+            left, hits = frontier.join(
+                F.broadcast(ends.withColumn("at_end", F.lit(True))), ["leg", "node"], "left"
+            ).agg(F.count("*"), hit).first()
+            goals.update(hits)
+        else:
+            left = has_rows(frontier)
+        if not left:
+            break
         if goals:
             reached = F.broadcast(edges.sparkSession.createDataFrame(
                 list(goals.items()), "leg int, goal double"))
