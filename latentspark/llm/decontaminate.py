@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from latentspark.llm.words import CLASSES, blocks, hash_spans, mix, owners, spans, text_bytes
 
 EDITS = 0.2
-WALKS, SAMPLES, BITS = 4, 24, 3
+WALKS, SAMPLES, BITS = 2, 28, 3
 BLOCK_BYTES = 8 << 20    # of item texts that are searched together
 _ROWS = 4096
 _WORDS = np.where(CLASSES == 1, 1, 0).astype(np.uint8)
@@ -42,17 +42,18 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def embed(words: np.ndarray, bits: np.ndarray, steps: int) -> np.ndarray:
-    """CGK walk of every row of word numbers; the last number of ``bits`` marks the end."""
+    """CGK walk of every row of word numbers.
+
+    ``bits`` has 64 steps' random bits of every word in each row; the last word marks the end, where a walk
+    stays.
+    """
     n, m = words.shape
-    end = len(bits) - 1
-    padded = np.concatenate((words, np.full((n, 1), end, words.dtype)), axis=1)
-    out = np.empty((n, steps), words.dtype)
-    place, row = np.zeros(n, np.int64), np.arange(n)
+    padded = np.concatenate((words, np.full((n, 1), bits.shape[1] - 1, words.dtype)), axis=1).ravel()
+    out = np.empty((steps, n), words.dtype)
+    place = np.arange(n) * (m + 1)
     for j in range(steps):
-        word = padded[row, place]
-        out[:, j] = word
-        place += (bits[word, j >> 6] >> np.uint64(j & 63) & np.uint64(1)).astype(np.int64)
-        np.minimum(place, m, out=place)
+        padded.take(place, out=out[j])
+        place += (bits[j >> 6].take(out[j]) >> np.uint64(j & 63) & np.uint64(1)).view(np.int64)
     return out
 
 
@@ -62,20 +63,19 @@ def best_match(item: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarr
     Gives the distance and the run's start and end, of equal ones the first to end.
     """
     n, width = text.shape
-    cost = np.zeros((n, width + 1), np.int64)
+    text = np.ascontiguousarray(text.T)
     # Distance and start travel together: the smaller distance wins, then the later start.
     scale = width + 2
-    cost[:] = width + 1 - np.arange(width + 1)
+    cost = np.repeat((width + 1 - np.arange(width + 1))[:, None], n, axis=1)
     for word in item.tolist():
         across = np.empty_like(cost)
-        across[:, 0] = cost[:, 0] + scale
-        step = np.minimum(cost[:, 1:] + scale, cost[:, :-1] + np.where(text == word, 0, scale))
+        across[0] = cost[0] + scale
+        np.minimum(cost[1:] + scale, cost[:-1] + np.where(text == word, 0, scale), out=across[1:])
         for k in range(width):
-            across[:, k + 1] = np.minimum(step[:, k], across[:, k] + scale)
+            np.minimum(across[k + 1], across[k] + scale, out=across[k + 1])
         cost = across
-    distance = cost // scale
-    end = distance.argmin(1)
-    best = cost[np.arange(n), end]
+    end = (cost // scale).argmin(0)
+    best = cost[end, np.arange(n)]
     return best // scale, width + 1 - best % scale, end
 
 
@@ -92,7 +92,9 @@ class Index:
         rng = np.random.default_rng(seed)
         longest = max((len(h) for _, h in items), default=1)
         steps = 2 * longest
-        self.bits = [rng.integers(0, 1 << 64, (end + 1, (steps >> 6) + 1), np.uint64) for _ in range(walks)]
+        self.bits = [rng.integers(0, 1 << 64, ((steps >> 6) + 1, end + 1), np.uint64) for _ in range(walks)]
+        for random in self.bits:
+            random[:, end] = 0
         self.classes = {}
         for m in sorted({len(h) for _, h in items}):
             own = [(i, np.searchsorted(self.vocabulary, h)) for i, h in items if len(h) == m]
@@ -105,10 +107,10 @@ class Index:
 
     @staticmethod
     def _keys(embedded: np.ndarray, columns: np.ndarray) -> np.ndarray:
-        """Hash of each row's words at each sample's steps."""
-        key = np.zeros((len(embedded), len(columns)), np.uint64)
+        """Hash of the words at each sample's steps: a row per sample."""
+        key = np.zeros((len(columns), embedded.shape[1]), np.uint64)
         for k in range(columns.shape[1]):
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + embedded[:, columns[:, k]].astype(np.uint64) + np.uint64(1))
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + embedded[columns[:, k]].astype(np.uint64) + np.uint64(1))
         return key
 
     def search(self, h: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int | None, int]]:
@@ -127,7 +129,7 @@ class Index:
             allowed = int(self.edits * m + 1e-9)
             stop = np.minimum(first_of + m, ends)
             starts = np.flatnonzero(total[stop] - total[:-1] >= m - allowed)
-            pairs = set()
+            pairs = []
             for i in range(0, len(starts), _ROWS):
                 s = starts[i:i + _ROWS]
                 place = s[:, None] + np.arange(m)
@@ -135,31 +137,33 @@ class Index:
                 likely = common[window].sum(1) >= m - allowed
                 s, window = s[likely], window[likely]
                 if len(s):
-                    pairs |= self._candidates(s, window, m, columns, keys)
+                    pairs.append(self._candidates(s, window, m, columns, keys))
             if pairs:
-                found += self._verified(pairs, number, ends, ids, matrix, m, allowed)
+                found += self._verified(np.concatenate(pairs), number, ends, ids, matrix, m, allowed)
         return found
 
-    def _candidates(self, s, window, m, columns, keys) -> set[tuple[int, int]]:
-        """(window start, item) that agree in a sample of some walk."""
-        pairs = set()
+    def _candidates(self, s, window, m, columns, keys) -> np.ndarray:
+        """Rows (item, window start) that agree in a sample of some walk."""
+        pairs = [np.zeros((0, 2), np.int64)]
         for bits, chosen, wanted in zip(self.bits, columns, keys):
             got = self._keys(embed(window, bits, int(chosen.max()) + 1), chosen)
-            for k in range(got.shape[1]):
-                order = np.argsort(wanted[:, k], kind="stable")
-                ranked = wanted[order, k]
-                low, high = np.searchsorted(ranked, got[:, k]), np.searchsorted(ranked, got[:, k], side="right")
-                for row in np.flatnonzero(high > low).tolist():
-                    pairs.update((int(s[row]), int(item)) for item in order[low[row]:high[row]])
-        return pairs
+            for k in range(len(got)):
+                order = np.argsort(wanted[k], kind="stable")
+                ranked = wanted[k, order]
+                low, high = np.searchsorted(ranked, got[k]), np.searchsorted(ranked, got[k], side="right")
+                count = high - low
+                if count.any():
+                    row = np.repeat(np.arange(len(s)), count)
+                    rank = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + low[row]
+                    pairs.append(np.stack((order[rank], s[row]), axis=1))
+        return np.unique(np.concatenate(pairs), axis=0)
 
     def _verified(self, pairs, number, ends, ids, matrix, m, allowed):
         """Leaks among the candidates; overlapping ones of an item count once, by the smallest distance."""
-        pairs = np.array(sorted(pairs, key=lambda x: (x[1], x[0])))
         found = []
         begins = np.concatenate(([0], np.flatnonzero(np.diff(ends) != 0) + 1))
-        for item in np.unique(pairs[:, 1]):
-            s = pairs[pairs[:, 1] == item, 0]
+        for item in np.unique(pairs[:, 0]):
+            s = pairs[pairs[:, 0] == item, 1]
             for i in range(0, len(s), _ROWS):
                 part = s[i:i + _ROWS]
                 begin = begins[np.searchsorted(begins, part, side="right") - 1]

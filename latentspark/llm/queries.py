@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentspark.llm import byte_bpe, exact_dedup, line_dedup, quality, simhash, toxicity, url_filter
+from latentspark.llm import (byte_bpe, decontaminate, exact_dedup, licenses, line_dedup, quality, simhash, token_files,
+                             toxicity, url_filter)
 from latentspark.llm.common import fold_is, table
+from latentspark.session import working_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +29,16 @@ def _judged(documents: DataFrame, scored, modulus: int, value: int) -> DataFrame
         "predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
+@query
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document; named is the one of best coverage, then most words."""
+    found = table(spark, sf_dir, "documents").select("doc_id", licenses.matches(F.col("text")).alias("matches"))
+    best = F.get(F.sort_array(F.transform("matches", lambda m: F.struct(
+        (-m["coverage"]).alias("c"), (m["first_word"] - m["end_word"]).alias("length"), m["first_word"].alias("at"), m["license"].alias("license")))), F.lit(0))
+    return found.select("doc_id", best["license"].alias("license"), (-best["c"]).alias("coverage"),
+                        F.size("matches").alias("n_matches"), "matches")
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded; null counts as empty."""
@@ -50,6 +63,24 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(documents, toxicity.score(F.col("text"), spark.sparkContext.broadcast(tuple(model))), 4, 2)
 
 
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to files and read back from them."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    folder = f"{working_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    manifest = token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer, 1, 49_408)
+    return token_files.read(manifest, folder)
+
+
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents leak."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole text; rows with crc32(doc_id) mod 5 = 0 are held out."""
