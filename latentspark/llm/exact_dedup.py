@@ -36,10 +36,13 @@ def _blocks(binary: Column, block_bytes: int, of) -> Column:
 
 
 def numbered(items: DataFrame) -> DataFrame:
-    """Distinct rows in sorted order with an increasing ``name``, written so that names stay fixed."""
+    """Distinct rows with a ``name``: partition and place in its sorted order; written so that names stay fixed.
+
+    The partitions that ``distinct`` leaves are sorted as they are: a range partitioning would send samples of
+    whole blocks to the driver.
+    """
     kinds = items.distinct()
-    return cut_lineage(kinds.repartitionByRange(*kinds.columns).sortWithinPartitions(*kinds.columns).withColumn(
-        "name", F.monotonically_increasing_id()))
+    return cut_lineage(kinds.sortWithinPartitions(*kinds.columns).withColumn("name", F.monotonically_increasing_id()))
 
 
 def exact_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
