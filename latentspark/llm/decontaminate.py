@@ -27,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latentspark.llm.words import CLASSES, blocks, hash_spans, mix, owners, spans, text_bytes
+from latentspark.llm.words import CLASSES, blocks, hash_spans, owners, spans, text_bytes
 
 EDITS = 0.2
 WALKS, SAMPLES, BITS = 2, 28, 3
 BLOCK_BYTES = 8 << 20    # of item texts that are searched together
 _ROWS = 4096
+_TEXT = 1 << 21          # bytes of text searched together
 _WORDS = np.where(CLASSES == 1, 1, 0).astype(np.uint8)
 
 
@@ -67,13 +68,13 @@ def best_match(item: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarr
     # Distance and start travel together: the smaller distance wins, then the later start.
     scale = width + 2
     cost = np.repeat((width + 1 - np.arange(width + 1))[:, None], n, axis=1)
+    ramp = (np.arange(width + 1) * scale)[:, None]
     for word in item.tolist():
         across = np.empty_like(cost)
         across[0] = cost[0] + scale
         np.minimum(cost[1:] + scale, cost[:-1] + np.where(text == word, 0, scale), out=across[1:])
-        for k in range(width):
-            np.minimum(across[k + 1], across[k] + scale, out=across[k + 1])
-        cost = across
+        # Words of the text that match nothing: the running minimum, one step dearer at each place.
+        cost = np.minimum.accumulate(across - ramp, axis=0) + ramp
     end = (cost // scale).argmin(0)
     best = cost[end, np.arange(n)]
     return best // scale, width + 1 - best % scale, end
@@ -90,6 +91,7 @@ class Index:
         self.unknown = len(self.vocabulary)
         end = self.unknown + 1
         rng = np.random.default_rng(seed)
+        self.salt = rng.integers(0, 1 << 64, (bits, end + 1), np.uint64)
         longest = max((len(h) for _, h in items), default=1)
         steps = 2 * longest
         self.bits = [rng.integers(0, 1 << 64, ((steps >> 6) + 1, end + 1), np.uint64) for _ in range(walks)]
@@ -99,47 +101,50 @@ class Index:
         for m in sorted({len(h) for _, h in items}):
             own = [(i, np.searchsorted(self.vocabulary, h)) for i, h in items if len(h) == m]
             matrix = np.array([h for _, h in own])
-            common = np.zeros(end + 1, bool)
-            common[matrix] = True
+            common = np.zeros((len(own), end + 1), bool)
+            common[np.arange(len(own))[:, None], matrix] = True
             columns = [rng.integers(0, 2 * m, (samples, bits)) for _ in range(walks)]
             keys = [self._keys(embed(matrix, b, 2 * m), c) for b, c in zip(self.bits, columns)]
             self.classes[m] = ([i for i, _ in own], matrix, common, columns, keys)
 
-    @staticmethod
-    def _keys(embedded: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    def _keys(self, embedded: np.ndarray, columns: np.ndarray) -> np.ndarray:
         """Hash of the words at each sample's steps: a row per sample."""
         key = np.zeros((len(columns), embedded.shape[1]), np.uint64)
         for k in range(columns.shape[1]):
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + embedded[columns[:, k]].astype(np.uint64) + np.uint64(1))
+            for row, step in zip(key, columns[:, k]):
+                row += self.salt[k].take(embedded[step])
         return key
 
-    def search(self, h: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int | None, int]]:
-        """(first word, last word + 1, distance, item id, item length) of every leak.
+    def search(self, h: np.ndarray, cuts: np.ndarray) -> list[tuple[int, int, int, int, int | None, int]]:
+        """(text, first word, last word + 1, distance, item id, item length) of every leak.
 
-        ``h`` holds the word hashes of texts one after another, ``ends`` for each word where its text ends.
+        ``h`` holds the word hashes of texts one after another, ``cuts`` where each text starts and the end.
         """
         if not len(h) or not self.classes:
             return []
         at = np.minimum(np.searchsorted(self.vocabulary, h), self.unknown - 1)
-        number = np.where(self.vocabulary[at] == h, at, self.unknown)
+        # Between texts stand as many end marks as the longest item has words, so that no window joins two.
+        gap = max(self.classes)
+        owner = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        number = np.full(len(h) + gap * len(cuts), self.unknown + 1)
+        number[np.arange(len(h)) + gap * (owner + 1)] = np.where(self.vocabulary[at] == h, at, self.unknown)
+        begins = cuts + gap * np.arange(1, len(cuts) + 1)
         total = np.concatenate(([0], np.cumsum(number < self.unknown, dtype=np.int32)))
-        first_of = np.arange(len(h))
         found = []
         for m, (ids, matrix, common, columns, keys) in self.classes.items():
             allowed = int(self.edits * m + 1e-9)
-            stop = np.minimum(first_of + m, ends)
-            starts = np.flatnonzero(total[stop] - total[:-1] >= m - allowed)
+            starts = np.flatnonzero(total[m:] - total[:-m] >= m - allowed)
+            windows = np.lib.stride_tricks.sliding_window_view(number, m)
             pairs = []
             for i in range(0, len(starts), _ROWS):
                 s = starts[i:i + _ROWS]
-                place = s[:, None] + np.arange(m)
-                window = np.where(place < ends[s][:, None], number[np.minimum(place, len(h) - 1)], self.unknown + 1)
-                likely = common[window].sum(1) >= m - allowed
+                window = windows[s]
+                likely = common.any(0)[window].sum(1) >= m - allowed
                 s, window = s[likely], window[likely]
                 if len(s):
                     pairs.append(self._candidates(s, window, m, columns, keys))
             if pairs:
-                found += self._verified(np.concatenate(pairs), number, ends, ids, matrix, m, allowed)
+                found += self._verified(np.concatenate(pairs), number, begins, ids, matrix, common, m, allowed)
         return found
 
     def _candidates(self, s, window, m, columns, keys) -> np.ndarray:
@@ -158,22 +163,23 @@ class Index:
                     pairs.append(np.stack((order[rank], s[row]), axis=1))
         return np.unique(np.concatenate(pairs), axis=0)
 
-    def _verified(self, pairs, number, ends, ids, matrix, m, allowed):
-        """Leaks among the candidates; overlapping ones of an item count once, by the smallest distance."""
+    def _verified(self, pairs, number, begins, ids, matrix, common, m, allowed):
+        """Leaks among the candidates, after those that share too few words with the item."""
         found = []
-        begins = np.concatenate(([0], np.flatnonzero(np.diff(ends) != 0) + 1))
         for item in np.unique(pairs[:, 0]):
             s = pairs[pairs[:, 0] == item, 1]
             for i in range(0, len(s), _ROWS):
                 part = s[i:i + _ROWS]
-                begin = begins[np.searchsorted(begins, part, side="right") - 1]
-                place = part[:, None] - allowed + np.arange(m + 2 * allowed)
-                inside = (place >= begin[:, None]) & (place < ends[part][:, None])
-                text = np.where(inside, number[np.clip(place, 0, len(number) - 1)], -1)
+                part = part[common[item][number[part[:, None] + np.arange(m)]].sum(1) >= m - allowed]
+                if not len(part):
+                    continue
+                text = number[np.clip(part[:, None] - allowed + np.arange(m + 2 * allowed), 0, len(number) - 1)]
                 distance, first, last = best_match(matrix[item], text)
                 ok = distance <= allowed
-                found += [(a, b, d, ids[item], m) for a, b, d in zip(
-                    (part - allowed + first)[ok].tolist(), (part - allowed + last)[ok].tolist(), distance[ok].tolist())]
+                a, b = (part - allowed + first)[ok], (part - allowed + last)[ok]
+                owner = np.searchsorted(begins, a, side="right") - 1
+                found += [(t, x, y, d, ids[item], m) for t, x, y, d in zip(
+                    owner.tolist(), (a - begins[owner]).tolist(), (b - begins[owner]).tolist(), distance[ok].tolist())]
         return found
 
 
@@ -188,13 +194,11 @@ def _search_texts(text, index_items, edits, walks, samples, bits):
         for batch in batches:
             data, offsets = text_bytes(batch)
             out: list[dict] = [{} for _ in range(len(batch))]
-            for i, j in blocks(offsets):
+            for i, j in blocks(offsets, _TEXT):
                 own, h = words_of(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                first = np.searchsorted(own, np.arange(j - i + 1))
-                for a, b, distance, item, words in index.search(h, first[own + 1]):
-                    text_no = int(own[a])
-                    start = int(first[text_no])
-                    leak = (distance, a - start, b - start, words)
+                cuts = np.searchsorted(own, np.arange(j - i + 1))
+                for text_no, a, b, distance, item, words in index.search(h, cuts):
+                    leak = (distance, a, b, words)
                     best = out[i + text_no].get(item)
                     out[i + text_no][item] = leak if best is None else min(best, leak)
             yield pa.array([[{"item_id": item, "distance": d, "first_word": a, "end_word": b, "item_words": w}
