@@ -27,6 +27,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +45,10 @@ SAMPLE_BYTES = 65_536
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
 _MAGIC = b"LSTOKEN1"
-_CACHE = 400_000
+_CACHE = 250_000
+# ASCII signs without the apostrophe, which the tokenizer's pattern joins with letters.
+_DIGITS = tuple("0123456789")
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PART = 1 << 20
 
 
@@ -57,22 +61,39 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.end = int(end_id).to_bytes(4, "little")
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {"": b""}
         self.split = re.compile("[ \t\r\n]+").split
 
     def _learn(self, words: set[str]) -> None:
-        missing = list(words - self.known.keys())
-        for i in range(0, len(missing), 20_000):
-            part = missing[i:i + 20_000]
+        """Encode words that are not remembered.
+
+        Signs after an ASCII letter or digit are a match of their own in the tokenizer's pattern, and ASCII
+        letters lose their case, so a word's stem and its last signs are looked up apart.
+        """
+        parts, wanted = [], set()
+        for word in words - self.known.keys():
+            stem = word.rstrip(_SIGNS)
+            # The signs must begin where a letter or digit ends, else they belong to a longer run.
+            if not (stem[-1:].isalpha() or stem[-1:] in _DIGITS):
+                stem = word
+            signs = word[len(stem):]
+            parts.append((word, stem.lower() if stem.isascii() else stem, signs))
+            wanted.update(parts[-1][1:])
+        missing = [w for w in wanted if w not in self.stems]
+        for i in range(0, len(missing), 10_000):
+            part = missing[i:i + 10_000]
             for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+                self.stems[word] = array("I", found.ids).tobytes()
+        for word, stem, signs in parts:
+            self.known[word] = self.stems[stem] + self.stems[signs]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and the end id, as little-endian unsigned 32-bit integers."""
         out, i = [], 0
         while i < len(texts):
             if len(self.known) > _CACHE:
-                self.known = {"": b""}
+                self.known, self.stems = {}, {"": b""}
             cut, size = [], 0
             while i < len(texts) and size < _PART:
                 cut.append(self.split(texts[i] or ""))
@@ -113,14 +134,20 @@ def _dictionary(content: bytes):
     return zstandard.ZstdCompressionDict(content) if content else None
 
 
-def _compressed(ids: Column, dictionary: bytes, width: int) -> Column:
-    @F.arrow_udf("binary")
+def _frames(text: Column, tokenizer_of, end_id: int, dictionary: bytes, width: int) -> Column:
+    """``struct<tokens, frame>`` of each text."""
+    @F.arrow_udf("struct<tokens:bigint,frame:binary>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = WordEncoder(tokenizer_of.value, end_id)
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
         for batch in batches:
-            yield pa.array([packer.compress(np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes())
-                            for x in batch.to_pylist()], pa.binary())
-    return run(ids)
+            tokens, frames = [], []
+            for i in range(0, len(batch), 256):
+                for ids in encoder.encode_all(batch.slice(i, 256).to_pylist()):
+                    tokens.append(len(ids) // 4)
+                    frames.append(packer.compress(np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes()))
+            yield pa.StructArray.from_arrays([pa.array(tokens, pa.int64()), pa.array(frames, pa.binary())], ["tokens", "frame"])
+    return run(text)
 
 
 def _storage(folder: str):
@@ -142,10 +169,8 @@ def write(documents: DataFrame, folder: str, tokenizer_json: str, end_id: int, v
     with store.open_output_stream(f"{base}/{name.hex()}.dictionary") as out:
         out.write(dictionary)
 
-    ids = documents.select("doc_id", encode(F.col("text"), tokenizer_of, end_id).alias("ids"))
-    frames = cut_lineage(ids.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("tokens"), _compressed(F.col("ids"), dictionary, width).alias("frame"))
-        .withColumn("tie", F.xxhash64("frame")))
+    packed = documents.select("doc_id", _frames(F.col("text"), tokenizer_of, end_id, dictionary, width).alias("packed"))
+    frames = cut_lineage(packed.select("doc_id", "packed.*").withColumn("tie", F.xxhash64("frame")))
     ranged = frames.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
