@@ -47,7 +47,6 @@ LEVEL = 3
 _MAGIC = b"LSTOKEN1"
 _CACHE = 250_000
 # ASCII signs without the apostrophe, which the tokenizer's pattern joins with letters.
-_DIGITS = tuple("0123456789")
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PART = 1 << 20
 
@@ -74,11 +73,11 @@ class WordEncoder:
         parts, wanted = [], set()
         for word in words - self.known.keys():
             stem = word.rstrip(_SIGNS)
-            # The signs must begin where a letter or digit ends, else they belong to a longer run.
-            if not (stem[-1:].isalpha() or stem[-1:] in _DIGITS):
-                stem = word
-            signs = word[len(stem):]
-            parts.append((word, stem.lower() if stem.isascii() else stem, signs))
+            # The signs must begin where an ASCII letter or digit ends, else they belong to a longer run.
+            if not word.isascii() or not stem[-1:].isalnum():
+                parts.append((word, word, ""))
+            else:
+                parts.append((word, stem.lower(), word[len(stem):]))
             wanted.update(parts[-1][1:])
         missing = [w for w in wanted if w not in self.stems]
         for i in range(0, len(missing), 10_000):
