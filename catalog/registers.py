@@ -91,7 +91,7 @@ def volume_sampling(spark, sf):
 
 
 @query("has_multi_latent", f"""{RUNS}, {RESOLVED}
-    SELECT run_id, coalesce(zdim > 1, false) AS multi_latent FROM resolved""")
+    SELECT run_id, coalesce(coalesce(zdim, CASE WHEN kind IN ('train', 'abinitio') THEN 8 END) > 1, false) AS multi_latent FROM resolved""")
 def has_multi_latent(spark, sf):
     return runs.has_multi_latent(view(spark, sf, "runs"))
 
@@ -174,7 +174,8 @@ def rule_unaligned(spark, sf):
 @_rule("broken_continuation", f"""{RUNS}
     SELECT r.run_id, 'error' AS level, 'broken_continuation' AS rule FROM runs r LEFT JOIN runs p
       ON p.run_id = r.continue_run
-    WHERE r.do_continue AND (r.continue_run IS NULL OR r.num_epochs <= p.num_epochs)""")
+    WHERE r.do_continue AND (r.continue_run IS NULL OR coalesce(r.num_epochs, CASE r.kind WHEN 'train' THEN 20 WHEN 'abinitio' THEN 30 END)
+           <= coalesce(p.num_epochs, CASE p.kind WHEN 'train' THEN 20 WHEN 'abinitio' THEN 30 END))""")
 def rule_continuation(spark, sf):
     return _plain(rules.broken_continuation(view(spark, sf, "runs")))
 
@@ -244,14 +245,14 @@ def rule_homogeneous(spark, sf):
 @_rule("dimension_of_type", f"""{RUNS}
     SELECT run_id, 'error' AS level, 'dimension_of_type' AS rule FROM runs
     WHERE NOT do_continue AND kind = 'abinitio'
-      AND (abinitio_type = 'homogeneous' AND zdim > 1 OR abinitio_type = 'heterogeneous' AND zdim = 1)""")
+      AND (abinitio_type = 'homogeneous' AND coalesce(zdim, CASE WHEN kind IN ('train', 'abinitio') THEN 8 END) > 1 OR abinitio_type = 'heterogeneous' AND coalesce(zdim, CASE WHEN kind IN ('train', 'abinitio') THEN 8 END) = 1)""")
 def rule_dimension(spark, sf):
     return _plain(rules.dimension_of_type(view(spark, sf, "runs")))
 
 
 @_rule("ignored_settings", f"""{RUNS}, {RESOLVED}
     SELECT run_id, 'warning' AS level, 'ignored_settings' AS rule FROM resolved
-    WHERE NOT coalesce(zdim > 1, false)""")
+    WHERE NOT coalesce(coalesce(zdim, CASE WHEN kind IN ('train', 'abinitio') THEN 8 END) > 1, false)""")
 def rule_ignored(spark, sf):
     return _plain(rules.ignored_settings(view(spark, sf, "runs")))
 

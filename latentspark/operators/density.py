@@ -27,7 +27,12 @@ def quantiles(
     or holds one value only.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    n, low, high = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    infinite = F.abs("v") == float("inf")
+    finite = ~F.isnan("v") & ~infinite
+    low, high, below_all, n_finite, above_all, n = values.agg(
+        F.min(F.when(finite, F.col("v"))), F.max(F.when(finite, F.col("v"))),
+        F.count_if(infinite & (F.col("v") < 0)), F.count_if(finite),
+        F.count_if(infinite & (F.col("v") > 0)), F.count("*")).first()
     if n == 0:
         return []
     if n <= sort_rows:
@@ -35,18 +40,24 @@ def quantiles(
         return list(values.agg(F.percentile("v", wanted).alias("q")).first()["q"])
     places = [q * (n - 1) for q in qs]
     ranks = {r for p in places for r in (math.floor(p), math.ceil(p))}
-    found = _values_at(values, low, high, n, ranks, sort_rows)
+    # In Spark's order: -Infinity, the finite values, Infinity, NaN.
+    found = {r: -math.inf if r < below_all else math.inf if r < below_all + n_finite + above_all else math.nan for r in ranks}
+    inner = {r - below_all for r in ranks if below_all <= r < below_all + n_finite}
+    if inner:
+        hits = _values_at(values.filter(finite), low, high, n_finite, inner, sort_rows)
+        found.update({r + below_all: v for r, v in hits.items()})
     result = []
     for p in places:
         below, above = found[math.floor(p)], found[math.ceil(p)]
-        result.append(below + (above - below) * (p - math.floor(p)))
+        at = p - math.floor(p)
+        result.append(below if at == 0 or below == above else (1 - at) * below + at * above)
     return result
 
 
 def _values_at(
     values: DataFrame, low: float, high: float, n: int, ranks: set[int], sort_rows: int
 ) -> dict[int, float]:
-    """Values at the 0-based ``ranks`` among the ``n`` values from ``low`` to ``high``."""
+    """Values at the 0-based ``ranks`` among the ``n`` finite values from ``low`` to ``high``."""
     if low == high:
         return {rank: low for rank in ranks}
     inside = values.filter(F.col("v").between(low, high))
@@ -56,9 +67,15 @@ def _values_at(
         hits = [(F.col("upto") - F.col("n") <= r) & (F.col("upto") > r) for r in ranks]
         rows = counted.filter(reduce(operator.or_, hits)).collect()
         return {r: row["v"] for r in ranks for row in rows if row["upto"] - row["n"] <= r < row["upto"]}
-    width = (high - low) / _BINS
-    place = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(_BINS - 1))
-    bins = inside.groupBy((place if width > 0 else F.col("v")).alias("b")).agg(
+    # The range itself may be too large for a double, its share is not.
+    width = high / _BINS - low / _BINS
+    if width == 0:  # fewer than _BINS doubles lie between low and high
+        place = F.col("v")
+    elif math.isinf(high - low):
+        place = F.floor(F.col("v") / F.lit(width) - F.lit(low / width))
+    else:
+        place = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(_BINS - 1))
+    bins = inside.groupBy(place.alias("b")).agg(
         F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("low").collect()
     found, before = {}, 0
     for b in bins:

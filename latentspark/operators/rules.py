@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from latentspark.operators.particles import missing_volumes as find_missing_volumes
-from latentspark.operators.runs import last_epoch, resolve_runs
+from latentspark.operators.runs import last_epoch, resolve_runs, with_default
 
 
 def _findings(df: DataFrame, condition: Column, level: str, rule: str, message) -> DataFrame:
@@ -60,12 +60,12 @@ def non_positive_size(runs: DataFrame) -> DataFrame:
 
 def broken_continuation(runs: DataFrame) -> DataFrame:
     previous = runs.select(
-        F.col("run_id").alias("continue_run"), F.col("num_epochs").alias("_done"))
+        F.col("run_id").alias("continue_run"), with_default("num_epochs").alias("_done"))
     continued = runs.filter("do_continue")
     unset = _findings(continued, F.col("continue_run").isNull(), "error", "broken_continuation",
                       "no run to continue is given")
     short = _findings(
-        continued.join(previous, "continue_run"), F.col("num_epochs") <= F.col("_done"), "error",
+        continued.join(previous, "continue_run"), with_default("num_epochs") <= F.col("_done"), "error",
         "broken_continuation",
         F.format_string("epochs must exceed the %d already done", F.col("_done")))
     return unset.unionByName(short)
@@ -73,9 +73,9 @@ def broken_continuation(runs: DataFrame) -> DataFrame:
 
 def dimension_of_type(runs: DataFrame) -> DataFrame:
     fresh = runs.filter(~F.col("do_continue") & (F.col("kind") == "abinitio"))
-    homo = _findings(fresh, (F.col("abinitio_type") == "homogeneous") & (F.col("zdim") > 1), "error",
+    homo = _findings(fresh, (F.col("abinitio_type") == "homogeneous") & (with_default("zdim") > 1), "error",
                      "dimension_of_type", "homogeneous runs need latent dimension 1")
-    het = _findings(fresh, (F.col("abinitio_type") == "heterogeneous") & (F.col("zdim") == 1), "error",
+    het = _findings(fresh, (F.col("abinitio_type") == "heterogeneous") & (with_default("zdim") == 1), "error",
                     "dimension_of_type", "heterogeneous runs need latent dimension above 1")
     return homo.unionByName(het)
 
@@ -131,7 +131,7 @@ def homogeneous_analysis(runs: DataFrame) -> DataFrame:
 
 def ignored_settings(runs: DataFrame) -> DataFrame:
     return _findings(
-        resolve_runs(runs), ~F.coalesce(F.col("zdim") > 1, F.lit(False)), "warning",
+        resolve_runs(runs), ~F.coalesce(with_default("zdim") > 1, F.lit(False)), "warning",
         "ignored_settings",
         "one latent dimension: component, k-means, traversal and landscape settings are ignored")
 

@@ -106,7 +106,7 @@ def volume_sampling(runs: DataFrame) -> DataFrame:
 def has_multi_latent(runs: DataFrame) -> DataFrame:
     """Whether a run's latent space has more than one dimension, seen through a continued run."""
     return resolve_runs(runs).select(
-        "run_id", F.coalesce(F.col("zdim") > 1, F.lit(False)).alias("multi_latent"))
+        "run_id", F.coalesce(with_default("zdim") > 1, F.lit(False)).alias("multi_latent"))
 
 
 def landscape_dim(volumes: DataFrame) -> DataFrame:
@@ -115,14 +115,15 @@ def landscape_dim(volumes: DataFrame) -> DataFrame:
         clamp(F.count("*"), LANDSCAPE_MAX_COMPONENTS).cast("int").alias("pc_dim"))
 
 
+def with_default(name: str) -> Column:
+    """A run's parameter, or the default of the run's kind where it is unset."""
+    pairs = [F.lit(v) for kind, d in DEFAULTS.items() for v in (kind, d[name])]
+    return F.coalesce(F.col(name), F.try_element_at(F.create_map(*pairs), F.col("kind")))
+
+
 def effective_params(runs: DataFrame) -> DataFrame:
     """Run parameters with the defaults of the run's kind filled in."""
-    def default(name: str) -> Column:
-        pairs = [F.lit(v) for kind, d in DEFAULTS.items() for v in (kind, d[name])]
-        return F.try_element_at(F.create_map(*pairs), F.col("kind"))
-
-    return runs.withColumns({
-        name: F.coalesce(F.col(name), default(name)) for name in ("zdim", "num_epochs")})
+    return runs.withColumns({name: with_default(name) for name in ("zdim", "num_epochs")})
 
 
 def run_summary(runs: DataFrame) -> DataFrame:

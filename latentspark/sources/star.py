@@ -33,12 +33,14 @@ def read_star(
     name order. ``block`` defaults to ``data_particles``, or the only block there
     is. Columns become numbers where every value is one, or as named by
     ``numeric``. Only header lines come to the driver; records are split by
-    Spark's text reader.
+    Spark's text reader. A header is ``data_...`` or ``loop_`` alone, or a label alone
+    or with its ``#`` number: a record may begin with ``data_`` or ``_`` as long as it has
+    a second column.
     """
     text = F.trim("value")
     lines = read_lines(spark, path).withColumn("text", text).filter(
         (text != "") & ~F.startswith(text, F.lit("#")))
-    is_header = F.col("text").rlike(r"^(data_|loop_$|_)")
+    is_header = F.col("text").rlike(r"^(data_\S*|loop_|_\S+(\s+#\d+)?)$")
     headers = lines.filter(is_header).orderBy(*LINE_KEYS).collect()
 
     sections: list[dict] = []

@@ -349,3 +349,11 @@ def test_string_and_empty_positions(spark):
     out = position.with_position(df, "w", rows_per_range=1).orderBy("position").collect()
     assert [r["w"] for r in out] == ["alpha", "bravo", "charlie", "delta"]
     assert position.with_position(df.filter("false"), "w").count() == 0
+
+
+@pytest.mark.parametrize("odd", [[float("nan")] * 3, [float("inf"), float("-inf")] * 4, [1.7e308, -1.7e308], [5e-324, 1e-323, 0.0]])
+def test_quantiles_of_odd_values_are_alike_at_every_size(spark, odd):
+    df = spark.createDataFrame([(float(i % 50),) for i in range(200)] + [(v,) for v in odd], "v double")
+    qs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    small, large = density.quantiles(df, "v", qs), density.quantiles(df, "v", qs, sort_rows=20)
+    assert large == pytest.approx(small, nan_ok=True)

@@ -266,3 +266,19 @@ def test_update_items_and_attributes(spark):
 
 def test_abinitio_volume_keeps_pixel_size(spark):
     assert tuple(jobs.abinitio_volume("out", 1.5, set_of(spark, 1)).first()) == (0, "out/reconstruct.mrc", 1.5)
+
+
+RUN_FIELDS = ("run_id bigint, kind string, abinitio_type string, do_continue boolean, continue_run bigint, "
+              "input_set bigint, zdim int, num_epochs int")
+
+
+def test_unset_parameters_have_the_defaults_of_the_kind(spark):
+    table = spark.createDataFrame([
+        (1, "train", None, False, None, 5, None, None),
+        (2, "abinitio", "homogeneous", False, None, 5, None, None),
+        (3, "train", None, True, 1, None, None, 20),
+        (4, "train", None, True, 1, None, None, 21)], RUN_FIELDS)
+    assert {r["run_id"]: r["multi_latent"] for r in runs.has_multi_latent(table).collect()} == dict.fromkeys(range(1, 5), True)
+    assert rules.ignored_settings(table).count() == 0
+    assert [r["run_id"] for r in rules.dimension_of_type(table).collect()] == [2]
+    assert [r["run_id"] for r in rules.broken_continuation(table).collect()] == [3]

@@ -129,3 +129,11 @@ def test_working_dir_follows_the_cluster_setting(spark):
         working_dir(Session)
     assert working_dir(spark)
     assert build_session().sparkContext.applicationId == spark.sparkContext.applicationId
+
+
+@pytest.mark.parametrize("first", ["data_01/m1.mrc", "_m1.mrc"])
+def test_star_records_that_look_like_headers(spark, tmp_path, first):
+    (tmp_path / "p.star").write_text(
+        "data_particles\n\nloop_\n_rlnMicrographName #1\n_rlnAngleRot\n" + "\n".join(f"{first} {i}" for i in range(6)) + "\n")
+    out = star.read_star(spark, str(tmp_path / "p.star")).orderBy("position").collect()
+    assert [(r["_rlnMicrographName"], r["_rlnAngleRot"]) for r in out] == [(first, float(i)) for i in range(6)]
