@@ -13,8 +13,8 @@ the tasks that hold a range of ids, under names of their own, and only the manif
 task that is run again leaves at most a file that nothing refers to.
 
 Texts are encoded by the tokenizers library word by word: its normalizer and pattern never look across a
-space, tab or line end, so a word's ids do not depend on its neighbours, and each distinct word is encoded
-once. The end id follows every document.
+space, tab or line end, so a word's ids do not depend on its neighbours; words are encoded once, many to a
+call, while they are remembered. The end id follows every document.
 
 Null and empty texts have the end id alone. Null ids come first. Rows that repeat an id are stored next to
 each other, ordered by hash of their frames. An empty table gives an empty manifest. Other columns are ignored.
@@ -45,62 +45,93 @@ SAMPLE_BYTES = 65_536
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
 _MAGIC = b"LSTOKEN1"
-_CACHE = 250_000
+_CACHE = 400_000
+_JOINED = 500
+# Letters of ASCII and Latin-1, which no normal form or change of case takes apart.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 # ASCII signs without the apostrophe, which the tokenizer's pattern joins with letters.
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PART = 1 << 20
 
 
 class WordEncoder:
-    """Ids of texts; remembers words, up to a bound."""
+    """Ids of texts; remembers words without case and last signs, up to a bound."""
 
     def __init__(self, tokenizer_json: str, end_id: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.end = int(end_id).to_bytes(4, "little")
-        self.known: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {"": b""}
         self.split = re.compile("[ \t\r\n]+").split
-
-    def _learn(self, words: set[str]) -> None:
-        """Encode words that are not remembered.
-
-        Signs after an ASCII letter or digit are a match of their own in the tokenizer's pattern, and ASCII
-        letters lose their case, so a word's stem and its last signs are looked up apart.
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _each(self, words: list[str]) -> None:
+        for i in range(0, len(words), 1000):
+            part = words[i:i + 1000]
+            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[word] = array("I", found.ids).tobytes()
+
+    def _joined(self, words: list[str]) -> None:
+        """Words of letters only are one match each, so many go in one text and are told apart by their last ids."""
+        for i in range(0, len(words), _JOINED):
+            part = words[i:i + _JOINED]
+            found = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
+            ends = (np.flatnonzero(self.ends_word[found]) + 1).tolist()
+            if len(ends) != len(part) or ends[-1] != len(found):
+                self._each(part)
+                continue
+            data, first = array("I", found).tobytes(), 0
+            for word, last in zip(part, ends):
+                self.known[word] = data[4 * first:4 * last]
+                first = last
+
+    def _ids_of(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of each word.
+
+        Signs after a letter or digit are a match of their own in the tokenizer's pattern, and letters lose
+        their case, so a word's stem and its last signs are looked up apart.
         """
-        parts, wanted = [], set()
-        for word in words - self.known.keys():
+        known, out, parts = self.known, {}, []
+        for word in words:
+            found = known.get(word)
+            if found is not None:
+                out[word] = found
+                continue
             stem = word.rstrip(_SIGNS)
-            # The signs must begin where an ASCII letter or digit ends, else they belong to a longer run.
-            if not word.isascii() or not stem[-1:].isalnum():
-                parts.append((word, word, ""))
-            else:
+            # The signs must begin where a letter or digit ends, else they belong to a longer run.
+            if _LETTERS(stem) or word.isascii() and stem[-1:].isalnum():
                 parts.append((word, stem.lower(), word[len(stem):]))
-            wanted.update(parts[-1][1:])
-        missing = [w for w in wanted if w not in self.stems]
-        for i in range(0, len(missing), 10_000):
-            part = missing[i:i + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.stems[word] = array("I", found.ids).tobytes()
+            else:
+                parts.append((word, word, ""))
+        missing = {x for part in parts for x in part[1:]} - known.keys()
+        self._joined([x for x in missing if _LETTERS(x)])
+        self._each([x for x in missing if not _LETTERS(x)])
         for word, stem, signs in parts:
-            self.known[word] = self.stems[stem] + self.stems[signs]
+            out[word] = known[stem] + known[signs] if signs else known[stem]
+        if len(known) > _CACHE:  # what the latest texts used is likeliest to come again
+            self.known = {"": b""} | {x: known[x] for x in words if x in known} | {
+                x: known[x] for part in parts for x in part[1:]}
+        return out
 
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text and the end id, as little-endian unsigned 32-bit integers."""
-        out, i = [], 0
+        i = 0
         while i < len(texts):
-            if len(self.known) > _CACHE:
-                self.known, self.stems = {}, {"": b""}
             cut, size = [], 0
             while i < len(texts) and size < _PART:
                 cut.append(self.split(texts[i] or ""))
                 size += len(texts[i] or "")
                 i += 1
-            self._learn(set().union(*cut))
-            out += [b"".join(map(self.known.__getitem__, words)) + self.end for words in cut]
-        return out
+            ids_of = self._ids_of(set().union(*cut)).__getitem__
+            for words in cut:
+                yield b"".join(map(ids_of, words)) + self.end
 
 
 def encode(text: Column, tokenizer_of, end_id: int) -> Column:
@@ -109,7 +140,7 @@ def encode(text: Column, tokenizer_of, end_id: int) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = WordEncoder(tokenizer_of.value, end_id)
         for batch in batches:
-            parts = [pa.array(encoder.encode_all(batch.slice(i, 256).to_pylist()), pa.binary())
+            parts = [pa.array(list(encoder.encode_all(batch.slice(i, 256).to_pylist())), pa.binary())
                      for i in range(0, len(batch), 256)]
             yield pa.concat_arrays(parts or [pa.array([], pa.binary())])
     return run(text)
