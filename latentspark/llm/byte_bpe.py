@@ -14,6 +14,7 @@ a run of pieces at a time.
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 from itertools import islice
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 _NONE = np.int64(1) << np.int64(62)
 _CELLS = 1 << 16          # leaves that are merged together at most, so that they stay in cache
-_CACHE = 400_000          # pieces a task remembers
+_CACHE = 250_000          # pieces a task remembers
 _LONG = 1 << 20           # characters beyond which the pieces of a text are taken in runs
 
 
@@ -170,17 +171,39 @@ def encode(text: Column, ranks_of, pattern: str) -> Column:
     return run(text)
 
 
+def _decoder(ranks: dict[bytes, int]):
+    vocabulary = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        vocabulary[rank] = token
+    return lambda ids: b"".join(map(vocabulary.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
 def decode(ids: Column, ranks_of) -> Column:
     """Bytes that the ids stand for; null ids give no bytes."""
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ranks = ranks_of.value
-        size = max(ranks.values()) + 1
-        vocabulary = [b""] * size
-        for token, rank in ranks.items():
-            vocabulary[rank] = token
+        decoded = _decoder(ranks_of.value)
         for batch in batches:
-            yield pa.array([
-                b"".join(map(vocabulary.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in
-                batch.to_pylist()], pa.binary())
+            yield pa.array([decoded(x) for x in batch.to_pylist()], pa.binary())
     return run(ids)
+
+
+def digests(text: Column, ranks_of, pattern: str) -> Column:
+    """``struct<n_tokens, ids_sha256, decoded_sha256>`` of each text, encoded and decoded in one call.
+
+    The ids themselves stay in the task, a few texts at a time.
+    """
+    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoded = Encoder(ranks_of.value, pattern), _decoder(ranks_of.value)
+        for batch in batches:
+            tokens, of_ids, of_bytes = [], [], []
+            for i in range(0, len(batch), 64):
+                for ids in encoder.encode_all(batch.slice(i, 64).to_pylist()):
+                    tokens.append(len(ids) // 4)
+                    of_ids.append(hashlib.sha256(ids).hexdigest())
+                    of_bytes.append(hashlib.sha256(decoded(ids)).hexdigest())
+            yield pa.StructArray.from_arrays(
+                [pa.array(tokens, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
+                ["n_tokens", "ids_sha256", "decoded_sha256"])
+    return run(text)

@@ -49,10 +49,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe_digests(documents: DataFrame, ranks, pattern: str) -> DataFrame:
-    ids = documents.select("doc_id", byte_bpe.encode(F.col("text"), ranks, pattern).alias("ids"))
-    return ids.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+    return documents.select("doc_id", byte_bpe.digests(F.col("text"), ranks, pattern).alias("found")).select("doc_id", "found.*")
 
 
 @query
