@@ -51,7 +51,7 @@ _JOINED = 500
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 # ASCII signs without the apostrophe, which the tokenizer's pattern joins with letters.
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_PART = 1 << 20
+_PART = 2 << 20
 
 
 class WordEncoder:
@@ -172,8 +172,8 @@ def _frames(text: Column, tokenizer_of, end_id: int, dictionary: bytes, width: i
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
         for batch in batches:
             tokens, frames = [], []
-            for i in range(0, len(batch), 256):
-                for ids in encoder.encode_all(batch.slice(i, 256).to_pylist()):
+            for i in range(0, len(batch), 1024):
+                for ids in encoder.encode_all(batch.slice(i, 1024).to_pylist()):
                     tokens.append(len(ids) // 4)
                     frames.append(packer.compress(np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes()))
             yield pa.StructArray.from_arrays([pa.array(tokens, pa.int64()), pa.array(frames, pa.binary())], ["tokens", "frame"])
@@ -256,7 +256,8 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     # One row per file: the running sum is over the manifest only.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-    files = files.select("path", "start").repartition(F.col("path"))
+    # A number of its own, so that adaptive execution does not put these few, small rows into one task.
+    files = files.select("path", "start").repartition(max(1, manifest.count()), "path")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _storage(folder)
