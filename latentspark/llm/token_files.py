@@ -14,7 +14,8 @@ task that is run again leaves at most a file that nothing refers to.
 
 Texts are encoded by the tokenizers library word by word: its normalizer and pattern never look across a
 space, tab or line end, so a word's ids do not depend on its neighbours; words are encoded once, many to a
-call, while they are remembered. The end id follows every document.
+call, while they are remembered. Texts of Latin-1 characters only are cut into the pattern's matches, which
+are fewer. The end id follows every document.
 
 Null and empty texts have the end id alone. Null ids come first. Rows that repeat an id are stored next to
 each other, ordered by hash of their frames. An empty table gives an empty manifest. Other columns are ignored.
@@ -53,18 +54,27 @@ _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullma
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PART = 2 << 20
 
+# Latin-1 needs no normal form and each of its letters one step to change case, so such texts are cut as bytes.
+_LATIN = bytes(0x20 if chr(b).isspace() and not 0x1c <= b <= 0x1f else ord(chr(b).lower()) for b in range(256))
+_NO_LETTER = re.compile(rb"[0-9\xb2\xb3\xb9\xbc-\xbe]|'(?:s|t|re|ve|m|ll|d)|[^\x20a-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
+
 
 class WordEncoder:
     """Ids of texts; remembers words without case and last signs, up to a bound."""
 
     def __init__(self, tokenizer_json: str, end_id: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        # The same model for lower-case Latin-1 words, which need no normal form and are cut at spaces.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.end = int(end_id).to_bytes(4, "little")
         self.known: dict[str, bytes] = {"": b""}
+        self.pieces: dict[bytes, bytes] = {}
         self.split = re.compile("[ \t\r\n]+").split
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
@@ -78,11 +88,11 @@ class WordEncoder:
             for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 self.known[word] = array("I", found.ids).tobytes()
 
-    def _joined(self, words: list[str]) -> None:
+    def _joined(self, words: list[str], tokenizer) -> None:
         """Words of letters only are one match each, so many go in one text and are told apart by their last ids."""
         for i in range(0, len(words), _JOINED):
             part = words[i:i + _JOINED]
-            found = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
+            found = tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
             ends = (np.flatnonzero(self.ends_word[found]) + 1).tolist()
             if len(ends) != len(part) or ends[-1] != len(found):
                 self._each(part)
@@ -111,7 +121,7 @@ class WordEncoder:
             else:
                 parts.append((word, word, ""))
         missing = {x for part in parts for x in part[1:]} - known.keys()
-        self._joined([x for x in missing if _LETTERS(x)])
+        self._joined([x for x in missing if _LETTERS(x)], self.tokenizer)
         self._each([x for x in missing if not _LETTERS(x)])
         for word, stem, signs in parts:
             out[word] = known[stem] + known[signs] if signs else known[stem]
@@ -120,18 +130,39 @@ class WordEncoder:
                 x: known[x] for part in parts for x in part[1:]}
         return out
 
+    def _ids_of_pieces(self, pieces: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of lower-case Latin-1 matches of the tokenizer's pattern."""
+        missing = pieces - self.pieces.keys()
+        if len(self.pieces) + len(missing) > _CACHE:
+            self.pieces = {x: self.pieces[x] for x in pieces - missing}
+        words = [x.decode("latin-1") for x in missing]
+        own, self.known = self.known, {}
+        self._joined([x for x in words if _LETTERS(x)], self.plain)
+        self._each([x for x in words if not _LETTERS(x)])
+        found, self.known = self.known, own
+        self.pieces.update(zip(missing, map(found.__getitem__, words)))
+        return self.pieces
+
     def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text and the end id, as little-endian unsigned 32-bit integers."""
         i = 0
         while i < len(texts):
-            cut, size = [], 0
+            cut, words, pieces, size = [], set(), set(), 0
             while i < len(texts) and size < _PART:
-                cut.append(self.split(texts[i] or ""))
-                size += len(texts[i] or "")
+                text = texts[i] or ""
+                try:
+                    found = _NO_LETTER.sub(rb" \g<0> ", text.encode("latin-1").translate(_LATIN)).split()
+                    pieces.update(found)
+                    cut.append((True, found))
+                except UnicodeEncodeError:
+                    found = self.split(text)
+                    words.update(found)
+                    cut.append((False, found))
+                size += len(text)
                 i += 1
-            ids_of = self._ids_of(set().union(*cut)).__getitem__
-            for words in cut:
-                yield b"".join(map(ids_of, words)) + self.end
+            of_piece, of_word = self._ids_of_pieces(pieces).__getitem__, self._ids_of(words).__getitem__
+            for latin, found in cut:
+                yield b"".join(map(of_piece if latin else of_word, found)) + self.end
 
 
 def encode(text: Column, tokenizer_of, end_id: int) -> Column:
@@ -151,7 +182,7 @@ def train_dictionary(documents: DataFrame, tokenizer_of, end_id: int, width: int
     """Shared dictionary from a bounded sample; with too few samples their plain concatenation."""
     fits = F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes)
     ids = documents.where(fits).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    texts = documents.where(fits).join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select("doc_id", "text").limit(2 * rows)
+    texts = documents.where(fits).join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select("doc_id", "text").limit(2 * rows).repartition(4)
     found = texts.select("doc_id", encode(F.col("text"), tokenizer_of, end_id).alias("ids")).toArrow().sort_by("doc_id")
     samples = [np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() for x in found["ids"].to_pylist()]
     try:
