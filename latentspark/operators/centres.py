@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,17 +15,18 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from latentspark.functions.matrices import from_matrix, nearest_k, to_matrix
-from latentspark.operators.neighbours import blocked_nearest
 from latentspark.schemas import CENTRES
 from latentspark.session import broadcast_if_small, cut_lineage
 
-# Bytes of a centre table that may be sent to every task.
+# Bytes of centres that are sent to every task at a time.
 MAX_CENTRE_BYTES = 64 * 1024 * 1024
+# Blocks of centres that one pass over the particles compares.
+_CHAIN = 4
 
 
 @dataclass(frozen=True)
 class CentreTable:
-    """Centres on the driver; only built when they fit ``MAX_CENTRE_BYTES``."""
+    """Centres on the driver: a whole table, or one block of it, within ``MAX_CENTRE_BYTES``."""
 
     ids: np.ndarray
     z: np.ndarray
@@ -34,30 +36,65 @@ class CentreTable:
         return spark.createDataFrame(rows, CENTRES)
 
 
-def load_centres(centres: DataFrame) -> CentreTable | None:
-    """Bring centres to the driver if their size, measured first, allows it."""
-    centres = cut_lineage(centres.select("centre_id", "z"))
-    size = centres.agg(F.coalesce(F.sum(F.size("z")), F.lit(0)).alias("n")).first()["n"]
-    if size == 0 or size * 8 > MAX_CENTRE_BYTES:
-        return None
-    rows = centres.orderBy("centre_id").collect()
-    return CentreTable(np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows]))
+def store_centres(centres: DataFrame) -> tuple[DataFrame, int]:
+    """The centres as a written table, and the number of blocks that fit ``MAX_CENTRE_BYTES``.
+
+    Several blocks are planned at half that size, as ids are spread by hash.
+    """
+    stored = cut_lineage(centres.select("centre_id", "z"))
+    size = 8 * (stored.agg(F.sum(F.size("z"))).first()[0] or 0)
+    return stored, -(-size // MAX_CENTRE_BYTES) if size <= MAX_CENTRE_BYTES else -(-2 * size // MAX_CENTRE_BYTES)
+
+
+def centre_blocks(centres: DataFrame) -> Iterator[CentreTable]:
+    """The centres block by block; one block at a time is on the driver."""
+    stored, blocks = store_centres(centres)
+    for block in range(blocks):
+        part = stored.where(F.pmod(F.xxhash64("centre_id"), F.lit(blocks)) == block)
+        rows = part.orderBy("centre_id").collect()
+        if rows:
+            yield CentreTable(np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows]))
 
 
 def assign_nearest(latents: DataFrame, centres: DataFrame) -> DataFrame:
     """Nearest centre of each particle as ``(position, centre_id, dist)``; ties go
     to the lowest centre id.
 
-    A centre table within its size limit goes to every task, and the particles are
-    not shuffled. A larger one is compared block by block.
+    Centres go to every task, a larger table block by block with the best so far
+    carried along; the particles are not shuffled.
     """
-    table = load_centres(centres)
-    if table is None:
-        return blocked_nearest(
-            latents.select("position", "z"),
-            centres.select(F.col("centre_id").cast("bigint").alias("position"), "z"), 1,
-        ).select("position", F.col("neighbour").cast("int").alias("centre_id"), "dist")
-    return _assign(latents, table)
+    return _assigned(latents, centre_blocks(centres)).select("position", "centre_id", "dist")
+
+
+def _assigned(latents: DataFrame, tables: Iterator[CentreTable]) -> DataFrame:
+    """``position, centre_id, dist``, and with several tables ``z`` as well."""
+    first, second = next(tables, None), next(tables, None)
+    if first is not None and second is None:
+        return _assign(latents, first)
+    best = latents.select(
+        "position", "z", F.lit(2 ** 31 - 1).alias("centre_id"), F.lit(float("inf")).alias("dist"))
+    for i, table in enumerate(chain([t for t in (first, second) if t is not None], tables)):
+        best = _improve(best if i % _CHAIN or i == 0 else cut_lineage(best), table)
+    return best.where(F.col("dist") < float("inf"))
+
+
+def _improve(best: DataFrame, table: CentreTable) -> DataFrame:
+    ids, z = table.ids, table.z
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            centre = batch.column("centre_id").to_numpy().copy()
+            dist = batch.column("dist").to_numpy().copy()
+            for rows, near, apart in nearest_k(to_matrix(batch.column("z")), z, ids, 1):
+                better = (apart < dist[rows]) | ((apart == dist[rows]) & (near < centre[rows]))
+                centre[rows[better]], dist[rows[better]] = near[better], apart[better]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("position"), batch.column("z"), pa.array(centre, pa.int32()), pa.array(dist)],
+                names=["position", "z", "centre_id", "dist"])
+
+    return best.mapInArrow(compare, "position bigint, z array<double>, centre_id int, dist double")
 
 
 def _assign(latents: DataFrame, table: CentreTable) -> DataFrame:
@@ -79,15 +116,19 @@ def _assign(latents: DataFrame, table: CentreTable) -> DataFrame:
 
 def centre_particles(latents: DataFrame, centres: DataFrame) -> DataFrame:
     """Particle nearest to each centre as ``(centre_id, position, dist, z)``; ties go
-    to the lowest position. Every task reports one row per centre at most."""
-    table = load_centres(centres)
-    if table is None:
-        return blocked_nearest(
-            centres.select(F.col("centre_id").cast("bigint").alias("position"), "z"),
-            latents.select("position", "z"), 1,
-        ).select(F.col("position").cast("int").alias("centre_id"),
-                 F.col("neighbour").alias("position"), "dist").join(
-                     latents.select("position", "z"), "position")
+    to the lowest position. Every task reports one row per centre at most; a large
+    table is taken block by block."""
+    partial = latents.sparkSession.createDataFrame(
+        [], "centre_id int, position bigint, dist double, z array<double>")
+    for table in centre_blocks(centres):
+        partial = partial.union(_closest(latents, table))
+    nearest = F.min_by(F.struct("position", "dist", "z"), F.struct("dist", "position"))
+    return partial.groupBy("centre_id").agg(nearest.alias("n")).select(
+        "centre_id", "n.position", "n.dist", "n.z")
+
+
+def _closest(latents: DataFrame, table: CentreTable) -> DataFrame:
+    """Of each partition the particle nearest to each centre."""
     ids, z = table.ids, table.z
 
     def best_of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,11 +150,8 @@ def centre_particles(latents: DataFrame, centres: DataFrame) -> DataFrame:
                  from_matrix(np.array([best[r][2] for r in rows]))],
                 names=["centre_id", "position", "dist", "z"])
 
-    partial = latents.select("position", "z").mapInArrow(
+    return latents.select("position", "z").mapInArrow(
         best_of_partition, "centre_id int, position bigint, dist double, z array<double>")
-    nearest = F.min_by(F.struct("position", "dist", "z"), F.struct("dist", "position"))
-    return partial.groupBy("centre_id").agg(nearest.alias("n")).select(
-        "centre_id", "n.position", "n.dist", "n.z")
 
 
 def spaced_seeds(latents: DataFrame, k: int) -> DataFrame:
@@ -134,12 +172,18 @@ def kmeans_lloyd(latents: DataFrame, seeds: DataFrame, rounds: int) -> DataFrame
     """Centres after a fixed number of assign-and-average rounds.
 
     Each task adds up its own rows per centre, so one row per centre and task is
-    shuffled whatever the cluster sizes. A centre without particles stays put.
+    shuffled whatever the cluster sizes. A centre without particles stays put. Centres
+    that are too many for one block stay a table.
     """
-    table = load_centres(seeds)
-    if table is None:
-        raise ValueError(f"seeds must be 1 byte to {MAX_CENTRE_BYTES} bytes; draw fewer centres")
     spark = latents.sparkSession
+    stored, blocks = store_centres(seeds)
+    if blocks > 1:
+        for _ in range(rounds):
+            stored = cut_lineage(_lloyd_table(latents, stored))
+        return stored
+    table = next(centre_blocks(stored), None)
+    if table is None:
+        raise ValueError("no seeds")
     kept = latents.select("z").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for _ in range(rounds):
@@ -149,6 +193,17 @@ def kmeans_lloyd(latents: DataFrame, seeds: DataFrame, rounds: int) -> DataFrame
     return table.to_df(spark)
 
 
+def _lloyd_table(latents: DataFrame, centres: DataFrame) -> DataFrame:
+    """One round with the centres as a table; sums are added up before the shuffle."""
+    near = _assigned(latents, centre_blocks(centres))
+    if "z" not in near.columns:
+        near = near.join(latents.select("position", "z"), "position")
+    means = near.select("centre_id", F.posexplode("z").alias("i", "v")).groupBy("centre_id", "i").agg(
+        F.avg("v").alias("mean"))
+    moved = means.groupBy("centre_id").agg(F.sort_array(F.collect_list(F.struct("i", "mean"))).alias("m"))
+    return centres.join(moved, "centre_id", "left").select("centre_id", F.coalesce("m.mean", "z").alias("z"))
+
+
 def _lloyd_round(latents: DataFrame, table: CentreTable) -> CentreTable:
     z = table.z
     index = np.arange(len(z))
@@ -178,10 +233,10 @@ def _lloyd_round(latents: DataFrame, table: CentreTable) -> CentreTable:
     return CentreTable(table.ids, moved)
 
 
-def kmeans(latents: DataFrame, k: int = 20, seed: int = 1) -> DataFrame:
-    """MLlib k-means (k-means|| start); centres numbered in coordinate order."""
+def kmeans(latents: DataFrame, k: int = 20, seed: int = 1, max_rounds: int = 20) -> DataFrame:
+    """MLlib k-means (k-means|| start), ``max_rounds`` rounds at most; centres numbered in coordinate order."""
     prepared = latents.select(array_to_vector("z").alias("features"))
-    model = KMeans(k=k, seed=seed, maxIter=20).fit(prepared)
+    model = KMeans(k=k, seed=seed, maxIter=max_rounds).fit(prepared)
     centres = sorted(tuple(float(v) for v in c) for c in model.clusterCenters())
     return latents.sparkSession.createDataFrame(
         [(i, list(c)) for i, c in enumerate(centres)], CENTRES)

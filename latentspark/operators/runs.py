@@ -71,9 +71,10 @@ def last_epoch(artifacts: DataFrame) -> DataFrame:
 def latest_artifact(artifacts: DataFrame) -> DataFrame:
     """The whole row of the highest weights epoch per run (last path on a repeat)."""
     weights = artifacts.filter((F.col("artifact") == "weights") & F.col("epoch").isNotNull())
-    row, order = F.struct("artifact", "epoch", "path"), F.struct("epoch", "path")
-    return weights.groupBy("run_id").agg(F.max_by(row, order).alias("latest")).select(
-        "run_id", "latest.artifact", "latest.epoch", "latest.path")
+    top = weights.groupBy(F.col("run_id").alias("_run")).agg(F.max("epoch").alias("_last"))
+    last = weights.join(top, F.col("run_id").eqNullSafe(F.col("_run")) & (F.col("epoch") == F.col("_last")), "left_semi")
+    # Only repeats of one epoch are gathered here; numbers and sets are aggregated by hash.
+    return last.groupBy("run_id", "artifact", "epoch").agg(F.array_max(F.collect_set("path")).alias("path"))
 
 
 def can_continue(artifacts: DataFrame) -> DataFrame:

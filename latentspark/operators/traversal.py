@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from latentspark.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage, has_rows
+from latentspark.session import broadcast_if_small, cut_lineage, has_rows
 
 # Edges of one node that stay together; a node with more is split.
 HUB_EDGES = 100_000
 
+# Legs up to which the driver holds one distance per leg to stop early; results do not depend on it.
+PRUNED_LEGS = 200_000
+
 
 def anchor_legs(anchors: DataFrame) -> DataFrame:
     """Successive anchor pairs ``(leg, source, target)`` in anchor order.
@@ -35,7 +38,7 @@ def shortest_distances(edges: DataFrame, legs: DataFrame, *, to_targets: bool =
     target. Edge weights must not be negative.
     """
     legs = cut_lineage(legs)
-    pruned = to_targets and legs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    pruned = to_targets and legs.limit(PRUNED_LEGS + 1).count() <= PRUNED_LEGS
     ends = legs.select("leg", F.col("target").alias("node"))
     edges, hubs = _split_hubs(edges)
     graph = edges.repartition("src", "share").persist(StorageLevel.MEMORY_AND_DISK)

@@ -9,15 +9,11 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latentspark.session import broadcast_if_small
+from latentspark.session import broadcast_if_small, cut_lineage
 
 # Fixed value: a threshold below it means "choose automatically".
 AUTO_THRESHOLD_BELOW = 0.001
 
-# Rows of a mask that may be sent to every task, and volumes of one volume PCA.
-MASK_BROADCAST_ROWS = 1_000_000
-MAX_PCA_VOLUMES = 10_000
-
 VOXEL = ["z", "y", "x"]
 
 
@@ -90,23 +86,21 @@ def dilate_mask(mask: DataFrame, n: int, box: int) -> DataFrame:
 
 def apply_mask(voxels: DataFrame, mask: DataFrame) -> DataFrame:
     """Voxels whose coordinates are in the mask."""
-    kept = broadcast_if_small(mask.select(*VOXEL), MASK_BROADCAST_ROWS)
+    kept = broadcast_if_small(mask.select(*VOXEL))
     return voxels.join(kept, VOXEL, "left_semi")
 
 
 def volume_pca(voxels: DataFrame, mask: DataFrame | None = None, dim: int = 20) -> DataFrame:
     """Scores of each volume on the top components, ``(vol_id, component, score, explained)``.
 
-    Voxels far outnumber volumes, so the volumes-by-volumes Gram matrix is summed
-    over voxels on the executors; the driver only decomposes that. A voxel
-    missing from a volume counts as 0.
+    The largest singular values of the voxels-by-volumes matrix are found by products
+    that stay on the executors; the driver holds ``dim`` vectors of one number per
+    volume. A voxel missing from a volume counts as 0. Components beyond the rank of
+    the data have score 0.
     """
     if mask is not None:
         voxels = apply_mask(voxels, mask)
-    rows = voxels.select("vol_id").distinct().orderBy("vol_id").limit(MAX_PCA_VOLUMES + 1).collect()
-    ids = [r["vol_id"] for r in rows]
-    if len(ids) > MAX_PCA_VOLUMES:
-        raise ValueError(f"volume PCA serves sketches of up to {MAX_PCA_VOLUMES} volumes")
+    ids = [r["vol_id"] for r in voxels.select("vol_id").distinct().orderBy("vol_id").collect()]
     spark = voxels.sparkSession
     if len(ids) < 2:
         return spark.createDataFrame([], "vol_id int, component int, score double, explained double")
@@ -115,20 +109,24 @@ def volume_pca(voxels: DataFrame, mask: DataFrame | None = None, dim: int = 20)
     found = F.map_from_entries("m")
     filled = F.when(F.size("m") == len(ids), F.col("m.v")).otherwise(F.transform(
         F.lit(ids).cast("array<int>"), lambda i: F.coalesce(F.try_element_at(found, i), F.lit(0.0))))
-    centred = (
+    centred = cut_lineage(
         voxels.select(*VOXEL, F.col("vol_id").cast("int").alias("vol_id"), F.col("v").cast("double"))
         .groupBy(*VOXEL).agg(by_volume.alias("m"), (F.sum("v") / len(ids)).alias("mean"))
         .select(F.transform(filled, lambda x: x - F.col("mean")).alias("f"))
     )
-    vectors = MLUtils.convertVectorColumnsFromML(centred.select(array_to_vector("f").alias("f")), "f")
-    gram = RowMatrix(vectors).computeGramianMatrix().toArray()
-    values, vectors = np.linalg.eigh(gram)
-    order = np.argsort(values)[::-1][:min(dim, len(ids))]
-    values, vectors = np.clip(values[order], 0.0, None), vectors[:, order]
-    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(len(order))])
+    squares = F.aggregate("f", F.lit(0.0), lambda total, x: total + x * x)
+    total = centred.agg(F.sum(squares)).first()[0] or 0.0
+    k = min(dim, len(ids))
+    values, vectors = np.zeros(k), np.zeros((len(ids), k))
+    if total > 0.0:
+        rows = MLUtils.convertVectorColumnsFromML(centred.select(array_to_vector("f").alias("f")), "f")
+        found = RowMatrix(rows).computeSVD(k)
+        rank = len(found.s)
+        values[:rank], vectors[:, :rank] = found.s.toArray() ** 2, found.V.toArray()
+    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(k)])
     scores = vectors * np.where(signs == 0, 1.0, signs) * np.sqrt(values)
-    total = max(np.trace(gram), 1e-300)
+    total = max(total, 1e-300)
     return spark.createDataFrame(
         [(int(v), c, float(scores[i, c]), float(values[c] / total))
-         for i, v in enumerate(ids) for c in range(len(order))],
+         for i, v in enumerate(ids) for c in range(k)],
         "vol_id int, component int, score double, explained double")

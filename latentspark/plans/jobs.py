@@ -15,6 +15,7 @@ from latentspark.operators import centres, components, particles, position, trav
 from latentspark.operators.images import downsample_images
 from latentspark.operators.landscape import Landscape, landscape
 from latentspark.operators.neighbours import neighbour_graph
+from latentspark.session import cut_lineage
 
 
 def preprocess(
@@ -85,11 +86,11 @@ def analyze(
                         _volumes(points, file))
     axes = components.pca(latents, pc)
     points = centres.kmeans(latents, k, seed)
-    anchors = centres.centre_particles(latents, points)
+    anchors = cut_lineage(centres.centre_particles(latents, points))
     file = numbered_name(f"{folder}/{names.KMEANS_VOLUME_FILE}", F.lit(k), F.col("centre_id"))
     path = None
     if do_graph_traversal:
-        graph = neighbour_graph(latents, neighbours)
+        graph = cut_lineage(neighbour_graph(latents, neighbours))
         path = traversal.graph_traversal(graph, anchors.select("centre_id", "position"))
     states = landscape(latents, seed=seed, **landscape_options) if do_landscape else None
     return Analysis(axes, components.project(latents, axes), components.pc_traversal(latents, axes),

@@ -5,11 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
-# Rows a broadcast side may have at most; beyond it a shuffled join is used.
-BROADCAST_ROWS = 200_000
+# Bytes a broadcast side may have at most; beyond it a shuffled join is used.
+BROADCAST_BYTES = 64 << 20
 
 _local_dirs: dict[str, str] = {}
 
@@ -71,12 +72,30 @@ def has_rows(df: DataFrame) -> bool:
     return len(df.limit(1).collect()) > 0
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``df`` was counted to be within ``max_rows``.
-
-    The count stops at ``max_rows + 1`` rows. A larger side keeps its shuffled
-    join, which adaptive execution may still split for skew.
+def _bytes(column: Column, kind: DataType) -> Column:
+    """About how many bytes a value takes."""
+    if isinstance(kind, (StringType, BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(kind, ArrayType):
+        nested = isinstance(kind.elementType, (StringType, BinaryType, ArrayType, MapType, StructType))
+        size = F.aggregate(column, F.lit(0).cast("bigint"), lambda n, x: n + _bytes(x, kind.elementType)
+                           ) if nested else F.size(column) * 8
+    elif isinstance(kind, MapType):
+        return _bytes(F.map_keys(column), ArrayType(kind.keyType)) + _bytes(
+            F.map_values(column), ArrayType(kind.valueType))
+    elif isinstance(kind, StructType):
+        return sum((_bytes(column[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    else:
+        return F.lit(8)
+    return F.coalesce(size, F.lit(0)).cast("bigint") + 8
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when ``df`` was measured to be within ``max_bytes``.
+
+    Rows are read until their number alone exceeds the limit. A larger side keeps its
+    shuffled join, which adaptive execution may still split for skew.
     """
-    if df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    row = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(8))
+    found = df.select(row.alias("bytes")).limit(max_bytes // 8 + 1).agg(F.sum("bytes")).first()[0]
+    return F.broadcast(df) if (found or 0) <= max_bytes else df

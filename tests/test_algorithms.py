@@ -101,6 +101,42 @@ def test_lloyd_with_an_empty_cluster(spark):
     assert {r["centre_id"]: r["z"] for r in out.collect()} == {0: [0.5], 1: [10.5], 2: [1000.0]}
 
 
+def test_lloyd_with_centres_in_blocks(spark, monkeypatch):
+    x, c = crowded(), RNG.normal(size=(6, 3))
+    small = centres.kmeans_lloyd(table(spark, x), centre_table(spark, c), 2).collect()
+    monkeypatch.setattr(centres, "MAX_CENTRE_BYTES", 100)
+    blocks = centres.kmeans_lloyd(table(spark, x), centre_table(spark, c), 2).collect()
+    small, blocks = ({r["centre_id"]: r["z"] for r in rows} for rows in (small, blocks))
+    assert sorted(small) == sorted(blocks)
+    for i, z in small.items():
+        assert blocks[i] == pytest.approx(z)
+
+
+def test_assignment_in_blocks_does_not_shuffle_particles(spark, monkeypatch):
+    monkeypatch.setattr(centres, "MAX_CENTRE_BYTES", 100)
+    out = centres.assign_nearest(table(spark, crowded()), centre_table(spark, RNG.normal(size=(6, 3))))
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_broadcast_hint_goes_by_bytes(spark):
+    from latentspark.session import broadcast_if_small
+
+    df = spark.range(10).selectExpr("id", "array_repeat(1.0D, 1000) AS z", "repeat('a', 10) AS s", "map(1, 'b') AS m")
+    hinted = [("hint" in broadcast_if_small(df, n)._jdf.queryExecution().logical().toString().lower())
+              for n in (1 << 20, 1 << 15)]
+    assert hinted == [True, False]
+
+
+def test_latest_artifact_is_hash_aggregated(spark):
+    from latentspark.operators import runs
+
+    rows = [(1, "weights", 2, "b"), (1, "weights", 2, "c"), (1, "weights", 1, "z"), (1, "z", 9, "x"), (2, "weights", 0, "a"),
+            (3, "weights", None, "n")]
+    out = runs.latest_artifact(spark.createDataFrame(rows, "run_id int, artifact string, epoch int, path string"))
+    assert sorted(map(tuple, out.collect())) == [(1, "weights", 2, "c"), (2, "weights", 0, "a")]
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_spaced_seeds(spark):
     out = centres.spaced_seeds(table(spark, np.arange(10.0)[:, None]), 4)
     assert sorted((r["centre_id"], r["z"][0]) for r in out.collect()) == [(0, 0.0), (1, 2.0), (2, 5.0), (3, 7.0)]
@@ -309,6 +345,26 @@ def test_volume_pca_with_missing_voxels(spark):
         assert r["score"] == pytest.approx(axis[r["vol_id"]] * s[c], abs=1e-8)
 
 
+def test_volume_pca_of_more_volumes_than_voxels(spark):
+    data = RNG.normal(size=(120, 8))
+    rows = [(v, i // 4, i // 2 % 2, i % 2, float(data[v, i])) for v in range(120) for i in range(8)]
+    df = spark.createDataFrame(rows, "vol_id int, z int, y int, x int, v double")
+    u, s, _ = np.linalg.svd(data - data.mean(axis=0), full_matrices=False)
+    for dim in (3, 20):
+        out = voxels.volume_pca(df, None, dim).collect()
+        assert len(out) == 120 * dim
+        for r in out:
+            c = r["component"]
+            if c >= 8:
+                assert r["score"] == pytest.approx(0.0, abs=1e-5) and r["explained"] == pytest.approx(0.0, abs=1e-9)
+                continue
+            axis = u[:, c] * np.sign(u[np.abs(u[:, c]).argmax(), c])
+            assert r["score"] == pytest.approx(axis[r["vol_id"]] * s[c], abs=1e-6)
+            assert r["explained"] == pytest.approx(s[c] ** 2 / (s ** 2).sum())
+    flat = voxels.volume_pca(df.withColumn("v", F.lit(2.0)), None, 2).collect()
+    assert {(r["score"], r["explained"]) for r in flat} == {(0.0, 0.0)}
+
+
 def test_landscape_splits_all_particles(spark):
     x = np.vstack([RNG.normal(size=(60, 3)) + 10 * i for i in range(3)])
     found = landscapes.landscape(table(spark, x), n=12, m=3, seed=3)
