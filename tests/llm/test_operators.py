@@ -86,6 +86,20 @@ def test_token_files_round_trip(spark):
     assert token_files.read(empty, folder).count() == 0
 
 
+def test_words_of_latin_and_other_texts():
+    """Every character of Latin-1, and texts beyond it, in one run of the same encoder."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        content = file.read()
+    tokenizer, rng = Tokenizer.from_str(content), random.Random(8)
+    tokenizer.encode_special_tokens = True
+    letters = [chr(c) for c in range(256)] + list("'s't re ve ll ABC  ,,''")
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(2000)]
+    texts += ["".join(rng.choice(letters + list("漢🙂Σİ\u0301")) for _ in range(20)) for _ in range(500)] + [None, ""]
+    found = token_files.WordEncoder(content, 1).encode_all(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [
+        tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+
+
 def _print(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
