@@ -129,7 +129,7 @@ def record_lineage(spark, sf):
         UNION ALL SELECT u.child, l.parent, u.depth + 1 FROM up u JOIN lineage l ON l.child = u.ancestor)
     SELECT child, ancestor, min(depth) AS depth FROM up GROUP BY 1, 2""")
 def ancestors(spark, sf):
-    return runs.ancestors(view(spark, sf, "lineage"))
+    return runs.ancestors(view(spark, sf, "lineage"), every=True)
 
 
 # Data checks: every query gives (run_id, level, rule), the messages are free text

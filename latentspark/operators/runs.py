@@ -144,13 +144,15 @@ def record_lineage(lineage: DataFrame, edges: DataFrame) -> DataFrame:
     return lineage.unionByName(edges.select("child", "parent", checked.alias("kind")))
 
 
-def ancestors(lineage: DataFrame, of: DataFrame | None = None) -> DataFrame:
+def ancestors(lineage: DataFrame, of: DataFrame | None = None, *, every: bool = False) -> DataFrame:
     """All data sets a set derives from, with the shortest number of edges.
 
-    ``of`` holds the ids asked about in ``child``; without it every set is
-    walked. Each round joins only the pairs found in the round before with the
+    ``of`` holds the ids asked about in ``child``. The closure of every set grows
+    with sets times depth, so it is made only when ``every`` asks for it. Each round joins only the pairs found in the round before with the
     edges, and stops when a round finds nothing new, so circles end too.
     """
+    if of is None and not every:
+        raise ValueError("name the sets in of, or ask for every set")
     edges = lineage.select("child", "parent").distinct()
     reached = edges if of is None else edges.join(
         of.select("child").distinct(), "child", "left_semi")

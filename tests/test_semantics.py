@@ -231,6 +231,8 @@ def test_ancestors_of_one_set_in_a_graph_with_a_circle(spark):
     edges = spark.createDataFrame(
         [(4, 3, "source"), (3, 2, "source"), (4, 2, "source"), (2, 4, "source"), (9, 8, "source")],
         "child bigint, parent bigint, kind string")
+    with pytest.raises(ValueError):
+        runs.ancestors(edges)
     out = runs.ancestors(edges, spark.createDataFrame([(4,)], "child bigint"))
     assert rows(out) == [(4, 2, 1), (4, 3, 1), (4, 4, 2)]
 
