@@ -10,8 +10,9 @@ word and moves on or stays, by a random bit of (j, word); edit distance becomes
 ``WALKS`` walks is sampled ``SAMPLES`` times at ``BITS`` steps; windows that agree with an item in one
 sample are candidates, whose edit distance to the text around is then computed in full.
 
-``WALKS``, ``SAMPLES`` and ``BITS`` were chosen for a recall of over 0.95 of leaks at the largest allowed
-distance; exact copies are always found. Items are taken in blocks of bounded size, each block against all
+The samples miss some leaks, the more the longer the item, so an item is also cut into one piece more than
+its allowed edits: a leak holds one of the pieces unchanged, and every place of a piece gives a candidate.
+So no leak within the allowed distance is missed. Items are taken in blocks of bounded size, each block against all
 documents; no document is cut.
 
 Null and empty texts leak nothing; items without words are leaked by nothing. Null ids are values. Repeated
@@ -33,6 +34,8 @@ EDITS = 0.2
 WALKS, SAMPLES, BITS = 2, 28, 3
 BLOCK_BYTES = 8 << 20    # of item texts that are searched together
 _ROWS = 4096
+_HITS = 512
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _TEXT = 1 << 21          # bytes of text searched together
 _WORDS = np.where(CLASSES == 1, 1, 0).astype(np.uint8)
 
@@ -92,6 +95,7 @@ class Index:
         end = self.unknown + 1
         rng = np.random.default_rng(seed)
         self.salt = rng.integers(0, 1 << 64, (bits, end + 1), np.uint64)
+        self.value = np.random.default_rng(seed + 1).integers(0, 1 << 64, end + 1, np.uint64)
         longest = max((len(h) for _, h in items), default=1)
         steps = 2 * longest
         self.bits = [rng.integers(0, 1 << 64, ((steps >> 6) + 1, end + 1), np.uint64) for _ in range(walks)]
@@ -106,6 +110,61 @@ class Index:
             columns = [rng.integers(0, 2 * m, (samples, bits)) for _ in range(walks)]
             keys = [self._keys(embed(matrix, b, 2 * m), c) for b, c in zip(self.bits, columns)]
             self.classes[m] = ([i for i, _ in own], matrix, common, columns, keys)
+        self.pieces = self._pieces()
+
+    def _pieces(self) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By length: sorted hashes of the items' pieces, and each one's item length, item and place.
+
+        An item is cut into one piece more than it may have edits, so a leak holds one piece unchanged; each
+        is cut to the length of the shortest.
+        """
+        found: dict[int, list] = {}
+        for m, (_, matrix, *_) in self.classes.items():
+            count = self._allowed(m) + 1
+            for place in (m * np.arange(count) // count).tolist():
+                h = self._runs(matrix[:, place:place + m // count].ravel(), m // count)[::m // count]
+                found.setdefault(m // count, []).append((h, np.stack(
+                    (np.full(len(h), m), np.arange(len(h)), np.full(len(h), place)), axis=1)))
+        out = {}
+        for length, parts in found.items():
+            h, where = np.concatenate([h for h, _ in parts]), np.concatenate([w for _, w in parts])
+            order = np.argsort(h, kind="stable")
+            out[length] = h[order], where[order]
+        return out
+
+    def _allowed(self, m: int) -> int:
+        return int(self.edits * m + 1e-9)
+
+    def _runs(self, number: np.ndarray, length: int) -> np.ndarray:
+        """Hash of every run of ``length`` word numbers."""
+        out = np.zeros(max(0, len(number) - length + 1), np.uint64)
+        values = self.value[number]
+        for k in range(length):
+            out = out * _STEP + values[k:k + len(out)]
+        return out
+
+    def _held(self, number: np.ndarray, total: np.ndarray) -> dict[int, np.ndarray]:
+        """By item length: rows (item, window start) where the text holds a piece of the item unchanged."""
+        found: dict[int, list] = {}
+        for length, (wanted, where) in self.pieces.items():
+            at = np.flatnonzero(total[length:] - total[:-length] == length)
+            got = self._runs(number, length)[at]
+            low, high = np.searchsorted(wanted, got), np.searchsorted(wanted, got, side="right")
+            hit = np.flatnonzero(high > low)
+            # In parts, so that a piece that many items share does not make all its pairs at once.
+            for i in range(0, len(hit), _HITS):
+                part = hit[i:i + _HITS]
+                count = (high - low)[part]
+                rank = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low[part], count)
+                m, item, place = where[rank].T
+                start = np.repeat(at[part], count) - place
+                allowed = (self.edits * m + 1e-9).astype(np.int64)
+                likely = (start >= 0) & (start + m < len(total))
+                likely[likely] = total[(start + m)[likely]] - total[start[likely]] >= (m - allowed)[likely]
+                for one in np.unique(m[likely]).tolist():
+                    mine = likely & (m == one)
+                    found.setdefault(one, []).append(np.unique(np.stack((item[mine], start[mine]), axis=1), axis=0))
+        return {m: np.concatenate(parts) for m, parts in found.items()}
 
     def _keys(self, embedded: np.ndarray, columns: np.ndarray) -> np.ndarray:
         """Hash of the words at each sample's steps: a row per sample."""
@@ -130,12 +189,12 @@ class Index:
         number[np.arange(len(h)) + gap * (owner + 1)] = np.where(self.vocabulary[at] == h, at, self.unknown)
         begins = cuts + gap * np.arange(1, len(cuts) + 1)
         total = np.concatenate(([0], np.cumsum(number < self.unknown, dtype=np.int32)))
-        found = []
+        found, held = [], self._held(number, total)
         for m, (ids, matrix, common, columns, keys) in self.classes.items():
-            allowed = int(self.edits * m + 1e-9)
+            allowed = self._allowed(m)
             starts = np.flatnonzero(total[m:] - total[:-m] >= m - allowed)
             windows = np.lib.stride_tricks.sliding_window_view(number, m)
-            pairs = []
+            pairs = [held[m]] if m in held else []
             for i in range(0, len(starts), _ROWS):
                 s = starts[i:i + _ROWS]
                 window = windows[s]
@@ -144,7 +203,7 @@ class Index:
                 if len(s):
                     pairs.append(self._candidates(s, window, m, columns, keys))
             if pairs:
-                found += self._verified(np.concatenate(pairs), number, begins, ids, matrix, common, m, allowed)
+                found += self._verified(np.unique(np.concatenate(pairs), axis=0), number, begins, ids, matrix, common, m, allowed)
         return found
 
     def _candidates(self, s, window, m, columns, keys) -> np.ndarray:
@@ -206,15 +265,12 @@ def _search_texts(text, index_items, edits, walks, samples, bits):
     return run(text)
 
 
-def find_leaks(documents: DataFrame, benchmark: DataFrame, edits: float = EDITS, walks: int = WALKS,
-               samples: int = SAMPLES, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, item_id, distance, first_word, end_word, item_words``: the best match of each leaked item."""
-    spark = documents.sparkSession
+def _searches(benchmark: DataFrame, text, edits: float, walks: int, samples: int, bits: int) -> Iterator:
+    """A column of the leaks in ``text`` for every block of items."""
+    spark = benchmark.sparkSession
     items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // BLOCK_BYTES))
-    texts = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    result = None
     for part in range(parts):
         block = items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).toArrow()
         data, offsets = text_bytes(block["text"].combine_chunks()) if block.num_rows else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
@@ -222,7 +278,23 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, edits: float = EDITS,
         cuts = np.searchsorted(own, np.arange(block.num_rows + 1))
         held = spark.sparkContext.broadcast([
             (i, h[a:b].tobytes()) for i, a, b in zip(block["item_id"].to_pylist(), cuts[:-1], cuts[1:])])
-        found = texts.select("doc_id", F.explode(_search_texts(F.col("text"), held, edits, walks, samples, bits)).alias("leak"))
+        yield _search_texts(text, held, edits, walks, samples, bits)
+
+
+def find_leaks(documents: DataFrame, benchmark: DataFrame, edits: float = EDITS, walks: int = WALKS,
+               samples: int = SAMPLES, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, item_id, distance, first_word, end_word, item_words``: the best match of each leaked item."""
+    texts = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    result = None
+    for leaks in _searches(benchmark, F.col("text"), edits, walks, samples, bits):
+        found = texts.select("doc_id", F.explode(leaks).alias("leak"))
         found = found.select("doc_id", "leak.*")
         result = found if result is None else result.union(found)
     return result
+
+
+def without_leaks(documents: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows whose own text leaks no item."""
+    for leaks in _searches(benchmark, F.col(text_col), EDITS, WALKS, SAMPLES, BITS):
+        documents = documents.where(F.size(leaks) == 0)
+    return documents

@@ -170,6 +170,25 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(frame(spark, []), bench).count() == 0
 
 
+@pytest.mark.parametrize("m", [4, 9, 10, 60, 100, 200, 400])
+def test_leaks_at_the_largest_distance(m):
+    """Every leak is found, by deletions, insertions, replacements or all of them."""
+    rng, allowed = random.Random(m), m // 5
+    items = [np.array([rng.getrandbits(62) for _ in range(m)], np.uint64) for _ in range(3)]
+    index = decontaminate.Index(list(enumerate(items)), decontaminate.EDITS, decontaminate.WALKS,
+                                decontaminate.SAMPLES, decontaminate.BITS)
+    for k in range(40):
+        words = items[k % 3].tolist()
+        places = sorted(rng.sample(range(m), allowed), reverse=True)
+        for p in places:
+            kind = k % 4 if k % 4 < 3 else rng.randrange(3)
+            words[p:p + (kind != 1)] = [rng.getrandbits(62)] * (kind != 0)
+        noise = [rng.getrandbits(62) for _ in range(k % 7)]
+        text = np.array(noise + words + noise[:3], np.uint64)
+        found = [x for x in index.search(text, np.array([0, len(text)])) if x[4] == k % 3]
+        assert found and min(x[3] for x in found) <= allowed
+
+
 def test_licenses(spark):
     apache, mit = licenses.TEMPLATES["Apache-2.0"], licenses.TEMPLATES["MIT"]
     rows = ODD + [(40, f"x {apache} y"), (41, f"{mit} {mit} {mit}"), (42, "Licensed under an Apache License, version 2.0"),
