@@ -15,7 +15,8 @@ task that is run again leaves at most a file that nothing refers to.
 Texts are encoded by the tokenizers library word by word: its normalizer and pattern never look across a
 space, tab or line end, so a word's ids do not depend on its neighbours; words are encoded once, many to a
 call, while they are remembered. Texts of Latin-1 characters only are cut into the pattern's matches, which
-are fewer. The end id follows every document.
+are fewer. Texts that hold the name of an added token (``<|endoftext|>``) go to the library whole, which maps
+it to its id. The end id follows every document.
 
 Null and empty texts have the end id alone. Null ids come first. Rows that repeat an id are stored next to
 each other, ordered by hash of their frames. An empty table gives an empty manifest. Other columns are ignored.
@@ -71,7 +72,12 @@ class WordEncoder:
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        # Words come lower-cased, which may make a name that the text does not hold.
+        self.tokenizer.encode_special_tokens = True
+        self.whole = Tokenizer.from_str(tokenizer_json)
+        # Names that the library maps to their ids wherever a text holds them.
+        self.added = [(x.content, x.normalized) for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.normal = any(normalized for _, normalized in self.added)
         self.end = int(end_id).to_bytes(4, "little")
         self.known: dict[str, bytes] = {"": b""}
         self.pieces: dict[bytes, bytes] = {}
@@ -143,6 +149,16 @@ class WordEncoder:
         self.pieces.update(zip(missing, map(found.__getitem__, words)))
         return self.pieces
 
+    def _names_token(self, text: str) -> bool:
+        """Whether the text, or its normal form for names that are sought there, holds an added token's name."""
+        if any(name in text for name, _ in self.added):
+            return True
+        if not self.normal or self.tokenizer.normalizer is None:
+            return False
+        form = self.tokenizer.normalizer.normalize_str
+        plain = form(text)
+        return any(form(name) in plain for name, normalized in self.added if normalized)
+
     def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text and the end id, as little-endian unsigned 32-bit integers."""
         i = 0
@@ -150,6 +166,11 @@ class WordEncoder:
             cut, words, pieces, size = [], set(), set(), 0
             while i < len(texts) and size < _PART:
                 text = texts[i] or ""
+                if self._names_token(text):
+                    cut.append((None, text))
+                    size += len(text)
+                    i += 1
+                    continue
                 try:
                     found = _NO_LETTER.sub(rb" \g<0> ", text.encode("latin-1").translate(_LATIN)).split()
                     pieces.update(found)
@@ -162,6 +183,9 @@ class WordEncoder:
                 i += 1
             of_piece, of_word = self._ids_of_pieces(pieces).__getitem__, self._ids_of(words).__getitem__
             for latin, found in cut:
+                if latin is None:
+                    yield array("I", self.whole.encode(found, add_special_tokens=False).ids).tobytes() + self.end
+                    continue
                 yield b"".join(map(of_piece if latin else of_word, found)) + self.end
 
 

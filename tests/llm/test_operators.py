@@ -100,6 +100,18 @@ def test_words_of_latin_and_other_texts():
         tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
 
 
+def test_names_of_special_tokens():
+    """Names of added tokens get the ids that the library gives them without special tokens added."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        content = file.read()
+    tokenizer, rng = Tokenizer.from_str(content), random.Random(12)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", "|>", " ", "Word", "é", "漢", "'s", "!!", "\n"]
+    texts = ["end of doc<|endoftext|>next"] + ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(500)]
+    found = [np.frombuffer(x, "<u4").tolist() for x in token_files.WordEncoder(content, 1).encode_all(texts)]
+    assert found[0] == [806, 539, 7251, 49407, 1131, 1]
+    assert found == [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+
+
 def _print(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
