@@ -4,7 +4,8 @@ Words are runs of letters and digits, lower-cased (ASCII), compared by 64-bit ha
 with a stretch of text, equal beginnings and ends are matched first; then the words that occur once in
 both become anchors, the longest increasing subsequence of their places is kept, and the gaps between are
 aligned in the same way. Coverage is the share of the template's words that are matched; a stretch with at
-least ``coverage`` is a match.
+least ``coverage`` is a match, if it also holds the words that tell the license from others (``MARKS``: version, ND,
+NC, SA and the like) without a gap and none that make it another (``OTHERS``).
 
 Where to look: a match leaves out at most ``1 - coverage`` of the template's words, so it contains one of
 any larger set of them; of the longest words such a set is taken, and only stretches around its words are
@@ -28,6 +29,20 @@ from pyspark.sql import functions as F
 from latentspark.llm.words import CLASSES, blocks, hash_spans, owners, spans, text_bytes
 
 COVERAGE = 0.8
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+    "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution.")
+
+
+def _gnu(what: str, kind: str, version: str) -> str:
+    return (f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} "
+            f"Public License as published by the Free Software Foundation, either version {version} of the License, "
+            "or (at your option) any later version.")
+
+
 # Public notices by SPDX name, fixed values.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
@@ -37,9 +52,22 @@ TEMPLATES = {
         "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
         "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met"),
+    "BSD-2-Clause": _BSD,
+    "BSD-3-Clause": _BSD + (
+        " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission"),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    "CC0-1.0": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
+    "CC0-1.0-short": "Licensed under CC0 1.0.",
+    "GPL-2.0-only": (
+        "under the terms of the GNU General Public License version 2 as published by the Free Software Foundation"),
+    "GPL-2.0-or-later": _gnu("program", "General", "2"),
+    "LGPL-2.1-or-later": _gnu("library", "Lesser General", "2.1"),
+    "LGPL-3.0-or-later": _gnu("program", "Lesser General", "3"),
+    "AGPL-3.0-or-later": _gnu("program", "Affero General", "3"),
     "GPL-3.0-or-later": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation, either version 3 of the License, "
@@ -54,6 +82,36 @@ TEMPLATES = {
     "CC-BY-NC-4.0-short": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
 }
+_KINDS = {"NC": "NonCommercial", "ND": "NoDerivatives", "NC-SA": "NonCommercial-ShareAlike", "NC-ND": "NonCommercial-NoDerivatives"}
+for _short, _long in _KINDS.items():
+    TEMPLATES[f"CC-BY-{_short}-4.0"] = f"This work is licensed under a Creative Commons Attribution-{_long} 4.0 International License."
+    TEMPLATES[f"CC-BY-{_short}-4.0-short"] = f"Licensed under CC BY-{_short} 4.0."
+# Words that must stand in the text without a gap, for the notices of other licenses differ in them alone.
+MARKS = {
+    "MIT": ["MIT License"],
+    "Apache-2.0": ["Apache License version 2.0"],
+    "BSD-3-Clause": ["Neither the name"],
+    "BSD-2-Clause": ["binary form must reproduce"],
+    "ISC": ["provided that the above copyright notice"],
+    "CC0-1.0": ["waived all copyright"],
+    "CC0-1.0-short": ["CC0 1.0"],
+    "GPL-2.0-only": ["GNU General Public License version 2 as"],
+    "GPL-2.0-or-later": ["GNU General Public License", "version 2 of the License", "any later version"],
+    "LGPL-2.1-or-later": ["GNU Lesser General Public License", "version 2.1 of the License", "any later version"],
+    "LGPL-3.0-or-later": ["GNU Lesser General Public License", "version 3 of the License", "any later version"],
+    "AGPL-3.0-or-later": ["GNU Affero General Public License", "version 3 of the License", "any later version"],
+    "GPL-3.0-or-later": ["GNU General Public License", "version 3 of the License", "any later version"],
+    "GPL-3.0-only": ["GNU General Public License version 3"],
+    "MPL-2.0": ["Mozilla Public License v 2.0"],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0"],
+    "CC-BY-4.0-short": ["CC BY 4.0"],
+    "CC-BY-SA-4.0": ["Creative Commons Attribution ShareAlike 4.0"],
+    "CC-BY-SA-4.0-short": ["CC BY SA 4.0"],
+} | {f"CC-BY-{s}-4.0": [f"Creative Commons Attribution {w} 4.0"] for s, w in _KINDS.items()} | {
+    f"CC-BY-{s}-4.0-short": [f"CC BY {s} 4.0"] for s in _KINDS}
+# Words that make it another license if they stand in the stretch or in the few words after it.
+OTHERS = {"BSD-2-Clause": ["Neither the name"], "GPL-3.0-only": ["or later", "or any later", "any later version"]}
+_AFTER = 12
 _WORDS = np.where(CLASSES == 1, 1, 0).astype(np.uint8)
 
 
@@ -106,6 +164,16 @@ def _once(words: list[int], i: int, j: int) -> dict[int, int]:
     return {w: p for w, p in place.items() if p >= 0}
 
 
+def _hashes(text: str) -> list[int]:
+    data = np.frombuffer(text.encode(), np.uint8)
+    starts, ends = spans(data, np.array([0, len(data)]), _WORDS)
+    return hash_spans(data, starts, ends).tolist()
+
+
+def _stands(phrase: list[int], words: list[int]) -> bool:
+    return any(words[i:i + len(phrase)] == phrase for i, w in enumerate(words) if w == phrase[0])
+
+
 class Templates:
     def __init__(self, texts: dict[str, str], coverage: float):
         self.coverage = coverage
@@ -122,13 +190,14 @@ class Templates:
                 for p, w in enumerate(h.tolist()):
                     if w in h[longest]:
                         places.setdefault(w, []).append(p)
-                self.items.append((name, h.tolist(), places))
-        self.seeds = np.unique(np.array([w for _, _, places in self.items for w in places], np.uint64))
+                marks, others = ([_hashes(x) for x in of.get(name, ())] for of in (MARKS, OTHERS))
+                self.items.append((name, h.tolist(), places, marks, others))
+        self.seeds = np.unique(np.array([w for _, _, places, *_ in self.items for w in places], np.uint64))
 
     def scan(self, words: np.ndarray, at: np.ndarray) -> list[tuple[str, int, int, float]]:
         """Matches ``(template, first word, last word + 1, coverage)``; ``at`` are the places of seeds."""
         found, seeds = [], list(zip(at.tolist(), words[at].tolist()))
-        for name, template, places in self.items:
+        for name, template, places, marks, others in self.items:
             m = len(template)
             begins = sorted({p - q for p, w in seeds for q in places.get(w, ())})
             own, i = [], 0
@@ -144,7 +213,10 @@ class Templates:
                     if pairs and len(pairs) / m > best[0]:
                         best = (len(pairs) / m, low + pairs[0][1], low + pairs[-1][1] + 1)
                 if best[0] >= self.coverage:
-                    own.append(best)
+                    _, a, b = best
+                    held, after = words[a:b].tolist(), words[a:b + _AFTER].tolist()
+                    if all(_stands(x, held) for x in marks) and not any(_stands(x, after) for x in others):
+                        own.append(best)
                 i = j
             taken: list[tuple[float, int, int]] = []
             for c, a, b in sorted(own, key=lambda x: (-x[0], x[1])):

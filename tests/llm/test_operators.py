@@ -212,6 +212,22 @@ def test_licenses(spark):
     assert licenses.align([1, 2, 3, 4, 5], [9, 1, 2, 4, 3, 5]) in ([(0, 1), (1, 2), (2, 4), (4, 5)], [(0, 1), (1, 2), (3, 3), (4, 5)])
 
 
+def test_licenses_are_told_apart():
+    """Each template is found under its own name only, within other words."""
+    known = licenses.Templates(licenses.TEMPLATES, licenses.COVERAGE)
+
+    def names(text):
+        h = np.array(licenses._hashes(text), np.uint64)
+        return {m[0] for m in known.scan(h, np.flatnonzero(np.isin(h, known.seeds)))}
+
+    for name, text in licenses.TEMPLATES.items():
+        assert names(f"some words {text} and more") == {name}
+    assert names("Licensed under CC BY-ND 3.0.") == names("Released under the BSD License.") == set()
+    gpl2 = licenses.TEMPLATES["GPL-3.0-or-later"].replace("version 3", "version 2")
+    assert names(gpl2) == {"GPL-2.0-or-later"}
+    assert names(licenses.TEMPLATES["GPL-3.0-only"][:-1] + " or any later version") == set()
+
+
 def test_exact_groups(spark):
     rows = ODD + [(50, LONG + "x"), (51, LONG + "y"), (52, "a\t b"), (53, "a b"), (54, "b" * 9000), (55, "b" * 9000), (56, "b" * 8999)]
     found = exact_dedup.exact_groups(frame(spark, rows), block_bytes=64).collect()
