@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentspark.llm import (byte_bpe, decontaminate, exact_dedup, licenses, line_dedup, quality, simhash, token_files,
-                             toxicity, url_filter)
+from latentspark.llm import (alignment, byte_bpe, chat, decontaminate, divergence, exact_dedup, licenses, line_dedup, quality,
+                             simhash, token_files, toxicity, url_filter)
 from latentspark.llm.common import fold_is, table
 from latentspark.session import working_dir
 
@@ -116,4 +116,34 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.RULES, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
-ORACLES |= {"op3_line_dedup": line_dedup.SQL, "op8_exact_dedup": exact_dedup.SQL, "op10_url_filter": url_filter.SQL}
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of a language, and the terms that mark a source."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' ids in every document."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as a, open(
+            public_tokenizers.path("piece_bpe_32k.model"), "rb") as b:
+        tokenizers = alignment.Tokenizers(a.read(), b.read())
+    return alignment.link_statistics(table(spark, sf_dir, "documents"), tokenizers)
+
+
+@query
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation, read back from text, tokens and mask."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    saying = "</s>[INST] ok [/INST]"
+    odd = spark.createDataFrame([(-7, 0, "user", saying), (-7, 1, "assistant", saying)], "conv_id bigint, turn bigint, role string, text string")
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_conversations(given.union(odd), tokenizer))
+
+
+ORACLES |= {"op11_source_divergence": divergence.SQL, "op13_chat_format": chat.SQL, "op3_line_dedup": line_dedup.SQL, "op8_exact_dedup": exact_dedup.SQL, "op10_url_filter": url_filter.SQL}
