@@ -5,7 +5,7 @@ A conversation is rendered as one text, turn after turn: a user's is ``[INST]..[
 tokens, inside roles and texts get a backslash after their first character (one more, if some stand there),
 which reading takes out again; so a text never looks like a mark of a turn, and any text comes back as it was.
 
-The rendered text is encoded once, with offsets. Control strings are tokens of their own, so no token holds
+The rendered text is encoded once; offsets are running sums of the tokens' bytes. Control strings are tokens of their own, so no token holds
 part of a text and part of a mark. The spans of the texts to learn and the spans of tokens are both sorted; a
 binary search finds for each token the first span that ends after it begins, and the mask is whether the two
 intersect.
@@ -13,8 +13,8 @@ intersect.
 Rows are brought in order by ranges of conversation, turn and ties, so a conversation of very many turns spreads
 over several tasks. A row of the result is a piece: all of a conversation, or, if it is longer than
 ``PIECE_CHARS`` or lies at a border of ranges, some turns of it; pieces are numbered in order. Reading back
-digests pieces where they are; only conversations of several pieces are brought together, and pass through
-a running digest piece by piece.
+digests whole conversations where they are; only the others are brought together, and pass through a running
+digest piece by piece.
 
 Rows without a role or text have empty ones; a null turn comes first; equal turns are ordered by role, then by
 hash of the text, then text; repeated rows are turns of their own. Rows with a null conversation are one conversation. An
@@ -24,16 +24,17 @@ empty text gives no tokens. An empty table gives no rows. Other columns are igno
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from latentspark.llm.byte_level import ByteLevel
 from latentspark.session import cut_lineage
 
 # Control strings of the template, a fixed value: where a turn of the role begins and ends.
@@ -94,74 +95,82 @@ def masked(starts: np.ndarray, ends: np.ndarray, first: np.ndarray, last: np.nda
     return (at < len(first)) & (first[np.minimum(at, len(first) - 1)] < ends)
 
 
-_PIECES = ("conv_id bigint, piece bigint, n_turns bigint, formatted string, ids array<int>, starts array<bigint>, "
-           "ends array<bigint>, loss array<boolean>")
+_PIECES = ("conv_id bigint, piece bigint, whole boolean, n_turns bigint, formatted string, ids array<int>, "
+           "ends array<int>, loss array<boolean>")
 
 
 class Formatter:
     def __init__(self, tokenizer_json: str, learn: tuple[str, ...]):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import AddedToken, Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.template, self.learn = Template(special), learn
-        self.tokenizer.add_special_tokens([AddedToken(c, normalized=False, special=True) for c in self.template.controls])
+        marks = Template().controls
+        self.tokenizer, self.learn = ByteLevel(tokenizer_json, tuple(marks)), learn
+        self.template = Template(self.tokenizer.special)
 
     def piece(self, turns: list[tuple[str, str]]) -> tuple[str, list[int], list[int]]:
-        """Rendered turns, and where the texts to learn begin and end."""
+        """Rendered turns, and the bytes where the texts to learn begin and end."""
         parts, first, last, at = [], [], [], 0
         for role, text in turns:
             before, body, after = self.template.render(role, text)
-            if role in self.learn and body:
-                first.append(at + len(before))
-                last.append(at + len(before) + len(body))
             parts += (before, body, after)
-            at += len(before) + len(body) + len(after)
+            before, body, after = (len(x.encode()) for x in (before, body, after))
+            if role in self.learn and body:
+                first.append(at + before)
+                last.append(at + before + body)
+            at += before + body + after
         return "".join(parts), first, last
 
     def encoded(self, pieces: list[tuple]) -> pa.RecordBatch:
-        """Rows of ``(conv_id, piece, turns)``."""
-        made = [self.piece(turns) for _, _, turns in pieces]
-        found = self.tokenizer.encode_batch([text for text, _, _ in made], add_special_tokens=False)
-        ids, starts, ends, loss = [], [], [], []
-        for one, (_, first, last) in zip(found, made):
-            spans = np.array(one.offsets, np.int64).reshape(-1, 2)
-            ids.append(np.array(one.ids, np.int32))
-            starts.append(spans[:, 0])
-            ends.append(spans[:, 1])
-            loss.append(masked(spans[:, 0], spans[:, 1], np.array(first, np.int64), np.array(last, np.int64)))
-        columns = [pa.array([p[0] for p in pieces], pa.int64()), pa.array([p[1] for p in pieces], pa.int64()),
-                   pa.array([len(p[2]) for p in pieces], pa.int64()), pa.array([text for text, _, _ in made], pa.string()),
-                   *(pa.array(x, pa.list_(kind)) for x, kind in (
-                       (ids, pa.int32()), (starts, pa.int64()), (ends, pa.int64()), (loss, pa.bool_())))]
-        return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _PIECES.split(", ")])
+        """Rows of ``(conv_id, piece, whole, turns)``."""
+        made = [self.piece(turns) for *_, turns in pieces]
+        ids = [np.frombuffer(x, np.uint32) for x in self.tokenizer.ids([text for text, _, _ in made])]
+        ends, loss = [], []
+        for one, (_, first, last) in zip(ids, made):
+            to = np.cumsum(self.tokenizer.pieces.length[one])
+            ends.append(to)
+            loss.append(masked(np.concatenate(([0], to[:-1])), to, np.array(first, np.int64), np.array(last, np.int64)))
+        begins = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(pa.array(begins), pa.array(np.concatenate(x).astype(kind))) for x, kind in (
+            (ids, np.int32), (ends, np.int32), (loss, bool))]
+        return pa.RecordBatch.from_arrays([
+            pa.array([p[0] for p in pieces], pa.int64()), pa.array([p[1] for p in pieces], pa.int64()),
+            pa.array([p[2] for p in pieces], pa.bool_()), pa.array([len(p[3]) for p in pieces], pa.int64()),
+            pa.array([text for text, _, _ in made], pa.string()), *lists], [c.split()[0] for c in _PIECES.split(", ")])
 
 
 def format_conversations(conversations: DataFrame, tokenizer_json: str, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """Pieces ``conv_id, piece, n_turns, formatted, ids, starts, ends, loss`` of ``conv_id, turn, role, text``.
+    """Pieces ``conv_id, piece, whole, n_turns, formatted, ids, ends, loss`` of ``conv_id, turn, role, text``.
 
-    ``starts`` and ``ends`` are the tokens' offsets in ``formatted`` in code points, ``loss`` says which tokens
-    are text of the roles in ``learn``.
+    ``ends`` are the bytes of ``formatted`` in UTF-8 up to the end of each token, ``loss`` says which tokens are text
+    of the roles in ``learn``. ``whole`` says that the piece is all of its conversation; at the borders of a task
+    that is not known and false.
     """
     held = conversations.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         formatter, number = Formatter(held.value, learn), TaskContext.get().partitionId() << 32
-        ready, turns, conv, chars, waiting = [], [], None, 0, 0
+        ready, turns, conv, chars, waiting, parts = [], [], None, 0, 0, 0
+        first = True  # still in the task's first conversation
+
+        def close(whole: bool) -> None:
+            nonlocal turns, chars, waiting, number
+            ready.append((conv, number, whole, turns))
+            number, waiting, turns, chars = number + 1, waiting + chars, [], 0
+
         for batch in batches:
             for one, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
-                if turns and (one != conv or chars >= PIECE_CHARS):
-                    ready.append((conv, number + len(ready), turns))
-                    waiting, turns, chars = waiting + chars, [], 0
-                    if waiting >= _BATCH_CHARS or len(ready) >= 1024:
-                        yield formatter.encoded(ready)
-                        number, ready, waiting = number + len(ready), [], 0
+                if turns and one != conv:
+                    close(whole=not first and not parts)
+                    first, parts = False, 0
+                elif turns and chars >= PIECE_CHARS:
+                    close(whole=False)
+                    parts += 1
+                if waiting >= _BATCH_CHARS or len(ready) >= 1024:
+                    yield formatter.encoded(ready)
+                    ready, waiting = [], 0
                 conv = one
                 turns.append((role, text))
                 chars += len(role) + len(text)
         if turns:
-            ready.append((conv, number + len(ready), turns))
+            close(whole=False)
         if ready:
             yield formatter.encoded(ready)
 
@@ -173,10 +182,11 @@ def format_conversations(conversations: DataFrame, tokenizer_json: str, learn: t
     rows = rows.withColumns({"hash": F.xxhash64("text"), "tie": F.monotonically_increasing_id()})
     ordered = rows.repartitionByRange("conv_id", "turn", "role", "hash", "tie").sortWithinPartitions(
         "conv_id", "turn", "role", "hash", "text")
-    return cut_lineage(ordered.select("conv_id", "role", "text").mapInArrow(run, _PIECES))
+    return ordered.select("conv_id", "role", "text").mapInArrow(run, _PIECES)
 
 
 _READ = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+_OPEN = "piece bigint, formatted string, ends array<int>, loss array<boolean>"
 
 
 class _Digest:
@@ -186,57 +196,79 @@ class _Digest:
         self.conv_id, self.turns, self.loss = conv_id, hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.formatted_chars = 0
 
-    def add(self, template: Template, formatted: str, starts: np.ndarray, ends: np.ndarray, loss: np.ndarray) -> None:
+    def add(self, template: Template, formatted: str, ends: np.ndarray, loss: np.ndarray) -> "_Digest":
         self.formatted_chars += len(formatted)
         for role, text in template.turns(formatted):
             self.turns.update(f"{role}\n{text}\n".encode())
             self.n_turns += 1
         # Runs of tokens under the mask; between two texts stand tokens that are not.
-        edges = np.flatnonzero(np.diff(np.concatenate(([0], loss.view(np.int8), [0]))))
+        edges, data = np.flatnonzero(np.diff(np.concatenate(([0], loss.view(np.int8), [0])))), formatted.encode()
         for i, j in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            text = template.unescape(formatted[starts[i]:ends[j - 1]])
+            text = template.unescape(data[ends[i - 1] if i else 0:ends[j - 1]].decode())
             self.loss.update(text.encode())
             self.loss_chars += len(text)
+        return self
 
     def row(self) -> tuple:
         return (self.conv_id, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.formatted_chars)
 
 
+def _of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Conversation, formatted text, ends and mask of every row."""
+    ends, loss = batch.column("ends"), batch.column("loss")
+    for k, (conv, formatted) in enumerate(zip(batch.column("conv_id").to_pylist(), batch.column("formatted").to_pylist())):
+        yield conv, formatted, *(x[k].values.to_numpy(zero_copy_only=False) for x in (ends, loss))
+
+
 def read_back(pieces: DataFrame, special: tuple[str, ...] = ("<|endoftext|>",)) -> DataFrame:
     """``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars`` of every conversation, from its pieces.
 
-    ``special`` are the names of the tokenizer's special tokens, by which texts were escaped.
+    ``special`` are the names of the tokenizer's special tokens, by which texts were escaped. Whole conversations are
+    digested as they come; only pieces of others are kept, brought together and digested in their order.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        template = Template(special)
+        for batch in batches:
+            done = batch.filter(batch.column("whole"))
+            rows = [_Digest(conv).add(template, *rest).row() for conv, *rest in _of(done)]
+            if rows:
+                yield _rows(rows, open_piece=True)
+            rest = batch.filter(pc.invert(batch.column("whole")))
+            if rest.num_rows:
+                yield pa.RecordBatch.from_arrays([
+                    rest.column("conv_id") if n == "conv_id" else pa.nulls(rest.num_rows, kind) for n, kind in _KINDS]
+                    + [rest.column(c.split()[0]) for c in _OPEN.split(", ")], _NAMES)
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template, digest = Template(special), None
         for batch in batches:
             done = []
-            formatted = batch.column("formatted").to_pylist()
-            lists = [batch.column(c) for c in ("starts", "ends", "loss")]
-            for k, conv in enumerate(batch.column("conv_id").to_pylist()):
+            for conv, *rest in _of(batch):
                 if digest is None or digest.conv_id != conv:
                     done += [digest.row()] if digest else []
                     digest = _Digest(conv)
-                digest.add(template, formatted[k], *(x[k].values.to_numpy(zero_copy_only=False) for x in lists))
-            yield from _rows(done)
-        yield from _rows([digest.row()] if digest else [])
-
-    read = ["conv_id", "formatted", "starts", "ends", "loss"]
-    counts = pieces.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("conv_id")
-    several = cut_lineage(counts)
-    one = F.col("p.conv_id").eqNullSafe(F.col("s.conv_id"))
-    alone = pieces.alias("p").join(several.alias("s"), one, "left_anti").select(*read)
-    cut = pieces.alias("p").join(several.alias("s"), one, "left_semi").repartition("conv_id").sortWithinPartitions(
-        "conv_id", "piece").select(*read)
-    return alone.mapInArrow(run, _READ).union(cut.mapInArrow(run, _READ))
-
-
-def _rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    if rows:
-        names = [c.split() for c in _READ.split(", ")]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(column, pa.int64() if kind == "bigint" else pa.string()) for column, (_, kind) in zip(zip(*rows), names)],
-            [n for n, _ in names])
+                digest.add(template, *rest)
+            if done:
+                yield _rows(done)
+        if digest:
+            yield _rows([digest.row()])
+
+    found = cut_lineage(pieces.mapInArrow(whole, f"{_READ}, {_OPEN}"))
+    cut = found.where("n_turns is null").repartition("conv_id").sortWithinPartitions("conv_id", "piece")
+    return found.where("n_turns is not null").select(*[n for n, _ in _KINDS]).union(
+        cut.select("conv_id", "formatted", "ends", "loss").mapInArrow(several, _READ))
+
+
+_KINDS = [(c.split()[0], pa.int64() if c.endswith("bigint") else pa.string()) for c in _READ.split(", ")]
+_NAMES = [c.split()[0] for c in f"{_READ}, {_OPEN}".split(", ")]
+_OPEN_KINDS = (pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.bool_()))
+
+
+def _rows(rows: list[tuple], open_piece: bool = False) -> pa.RecordBatch:
+    """Digests, with empty columns of an open piece if asked."""
+    columns = [pa.array(column, kind) for column, (_, kind) in zip(zip(*rows), _KINDS)]
+    empty = [pa.nulls(len(rows), kind) for kind in _OPEN_KINDS] if open_piece else []
+    return pa.RecordBatch.from_arrays(columns + empty, _NAMES[:len(columns) + len(empty)])
 
 
 SQL = r"""

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from latentspark.llm import chat
+from latentspark.session import cut_lineage
 
 PARTS = ["<s>", "</s>", "[INST]", "[/INST]", "[TURN]", "[TEXT]", "[/TURN]", "<\\s>", "[\\\\INST]", "<", "[", "\\", "/", "s>", "INST]",
          "<|endoftext|>", "<\\|endoftext|>", " ", "\n", "é", "漢", "🙂", "a word", "  "]
@@ -72,15 +73,17 @@ def test_round_trip(spark, tokenizer, monkeypatch, size):
     monkeypatch.setattr(chat, "PIECE_CHARS", size)
     frame = spark.createDataFrame(rows(), "conv_id bigint, turn bigint, role string, text string").repartition(5).withColumns(
         {"hash": F.lit("x"), "tie": F.lit(1), "piece": F.lit(None).cast("int")})
-    pieces = chat.format_conversations(frame, tokenizer)
+    pieces = cut_lineage(chat.format_conversations(frame, tokenizer))
     assert sorted(map(tuple, chat.read_back(pieces).collect()), key=str) == wanted(rows())
     if size == 400:
         assert pieces.where("conv_id = 100").count() > 50
     # Every token's text is where its offsets say, and ids decode to the formatted text.
     formatter = chat.Formatter(tokenizer, ("assistant",))
     for r in pieces.where("conv_id < 40").collect():
-        assert formatter.tokenizer.decode(r.ids, skip_special_tokens=False) == r.formatted
-        assert r.starts == sorted(r.starts) and all(a < b for a, b in zip(r.starts, r.ends))
+        library = formatter.tokenizer.tokenizer.encode(r.formatted, add_special_tokens=False)
+        assert library.ids == r.ids and len(r.ends) == len(r.loss) == len(r.ids)
+        data, ends = r.formatted.encode(), [0, *r.ends]
+        assert [data[a:b] for a, b in zip(ends, ends[1:])] == [formatter.tokenizer.pieces.joined(np.array([i]))[0].tobytes() for i in r.ids]
 
 
 def test_empty(spark, tokenizer):
