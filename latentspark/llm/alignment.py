@@ -19,9 +19,6 @@ length are encoded whole, a long one as a slice of its own. Other columns are ig
 from __future__ import annotations
 
 import hashlib
-import json
-import os
-import re
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -35,45 +32,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from latentspark.llm.byte_level import ByteLevel, Pieces
 from latentspark.llm.words import text_bytes
 from latentspark.session import cut_lineage
 
 SLICE_BYTES = 2 << 20
 _SLICE_ROWS = 1 << 15
 _PART = 256
-_RUN = 2000              # characters of a word beyond which a text goes to the tokenizers library
-_BLANKS = re.compile(r"\s{500}").search
-# What the byte-level splitter of the tokenizers library matches, a fixed value.
-_MATCHES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# Beyond these blocks versions of Unicode may differ on what is a letter: such texts go to the tokenizers library.
-_UNSETTLED = re.compile("[^\0-\u024f\u0400-\u045f\u2010-\u2027\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]").search
 _B_BITS = 21             # of a link's number are for B's id
 _NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
 
 
-class _Pieces:
-    """Bytes of every id, in one array."""
-
-    def __init__(self, pieces: list[bytes]):
-        self.length = np.array([len(p) for p in pieces], np.int64)
-        self.first = np.cumsum(self.length) - self.length
-        self.data = np.frombuffer(b"".join(pieces), np.uint8)
-
-    def joined(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of all ids one after another, and where each ends."""
-        length = self.length[ids]
-        ends = np.cumsum(length)
-        at = np.arange(ends[-1] if len(ends) else 0)
-        return self.data[at + np.repeat(self.first[ids] - ends + length, length)], ends
-
-
-def _byte_of_letter() -> dict[str, int]:
-    """Bytes by the letters that byte-level vocabularies write for them: printable ones stand for themselves."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Tokenizers(NamedTuple):
     """What tasks need to load both tokenizers: the JSON of A and the serialized model of B."""
 
@@ -113,20 +82,12 @@ class Groups(NamedTuple):
 
 class Aligner:
     def __init__(self, tokenizers: Tokenizers):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(tokenizers.a)
-        self.a.encode_special_tokens = True
+        self.a = ByteLevel(tokenizers.a)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=tokenizers.b)
-        letters = _byte_of_letter()
-        vocabulary = self.a.get_vocab()
-        pieces = [b""] * (max(vocabulary.values()) + 1)
-        for piece, i in vocabulary.items():
-            pieces[i] = bytes(map(letters.__getitem__, piece)) if all(c in letters for c in piece) else piece.encode()
-        self.bytes_a = _Pieces(pieces)
-        self.bytes_b = _Pieces([
+        self.bytes_a = self.a.pieces
+        self.bytes_b = Pieces([
             bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
             for i, piece in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))])
         # Decimal ids with what follows them in a written group.
@@ -134,40 +95,12 @@ class Aligner:
         self.written = [b"%d%s" % (i, end) for size, ends in zip(sizes, ((b",", b"|"), (b",", b";")))
                         for end in ends for i in range(size)]
 
-        self.fast = self._same_by_ranks(json.loads(tokenizers.a), pieces)
-
-    def _same_by_ranks(self, shape: dict, pieces: list[bytes]):
-        """The same model for the tiktoken library, which is several times as fast, where its merges are in order of id."""
-        import tiktoken
-
-        split, model, vocabulary = shape.get("pre_tokenizer") or {}, shape["model"], shape["model"].get("vocab", {})
-        made = [vocabulary.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model.get("merges", [])]
-        if shape.get("normalizer") or split.get("type") != "ByteLevel" or not split.get("use_regex", True) or split.get(
-                "add_prefix_space") or None in made or made != sorted(made) or len(vocabulary) != 256 + len(set(made)):
-            return None
-        ranks = {pieces[i]: i for i in vocabulary.values() if len(pieces[i])}
-        extra = {x.content for x in self.a.get_added_tokens_decoder().values()}
-        ranks = {piece: i for piece, i in ranks.items() if piece.decode("latin-1") not in extra}
-        return tiktoken.Encoding("same", pat_str=_MATCHES, mergeable_ranks=ranks, special_tokens={})
-
-    def _ids_of_a(self, texts: list[str]) -> list[bytes]:
-        out, rest = [b""] * len(texts), []
-        for k, text in enumerate(texts):
-            if self.fast and not _UNSETTLED(text) and max(map(len, text.split()), default=0) <= _RUN and not _BLANKS(text):
-                out[k] = array("I", self.fast.encode_ordinary(" " + text)).tobytes()
-            else:
-                rest.append(k)
-        found = self.a.encode_batch_fast([" " + texts[k] for k in rest], add_special_tokens=False)
-        for k, one in zip(rest, found):
-            out[k] = array("I", one.ids).tobytes()
-        return out
-
     def _encoded(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
         """Ids of both tokenizers, as unsigned 32-bit integers."""
         a, b = [], []
         for i in range(0, len(texts), _PART):
             part = texts[i:i + _PART]
-            a += self._ids_of_a(part)
+            a += self.a.ids([" " + t for t in part])
             b += [array("I", x).tobytes() for x in self.b.encode(part, num_threads=1)]
         return a, b
 
@@ -185,7 +118,8 @@ class Aligner:
         cut_a, cut_b, groups, list_a, list_b = [], [], [0], end_a.tolist(), end_b.tolist()
         for i, j, k, m in zip(of_a.tolist(), of_a[1:].tolist(), of_b.tolist(), of_b[1:].tolist()):
             index_a, index_b = dict(zip(list_a[i:j], range(i, j))), dict(zip(list_b[k:m], range(k, m)))
-            common = sorted(index_a.keys() & index_b.keys())
+            # The ends of B come in order, so the keys that are in both dictionaries do as well.
+            common = list(filter(index_a.__contains__, index_b))
             cut_a += map(index_a.__getitem__, common)
             cut_b += map(index_b.__getitem__, common)
             groups.append(len(cut_a))
@@ -210,7 +144,7 @@ def _flat(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(ids), np.uint32).astype(np.int64), begins
 
 
-def _gives(ids: list[bytes], pieces: _Pieces, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def _gives(ids: list[bytes], pieces: Pieces, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Which texts the bytes of their tokens give back."""
     flat, begins = _flat(ids)
     joined, ends = pieces.joined(flat)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from latentspark.llm import alignment
+from latentspark.llm.byte_level import ByteLevel, byte_of_letter
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 WORDS = ["The", "retion", "é", "漢字", "🙂👩‍👩‍👧", "<|endoftext|>", "</s>", "<0x41>", "'s", "don't", "x" * 40, "12,345", "\n", "\t\n", "ﬁ", "Ω"]
@@ -35,7 +36,7 @@ def plain(rows):
     """Per document: tokens of A and B, groups of ids, links of ids."""
     a, b = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
     a.encode_special_tokens = True
-    letters = alignment._byte_of_letter()
+    letters = byte_of_letter()
     names = {i: bytes(letters[c] for c in p) for p, i in a.get_vocab().items() if p != "<|endoftext|>"}
 
     def bytes_b(i):
@@ -111,6 +112,17 @@ def test_without_the_fast_way(tokenizers):
     shape = json.loads(tokenizers.a)
     shape["normalizer"] = {"type": "Lowercase"}
     other = alignment.Aligner(alignment.Tokenizers(json.dumps(shape), tokenizers.b))
-    assert other.fast is None and alignment.Aligner(tokenizers).fast
+    assert other.a.fast is None and alignment.Aligner(tokenizers).a.fast
     g = other.align(["Upper case", "lower case", None])
     assert g.of_a.tolist()[1] == 0 and g.of_a[2] > 0 and g.of_a[3] == g.of_a[2]
+
+
+def test_byte_level_is_the_library(tokenizers):
+    """Texts of settled and unsettled characters, long words and blanks."""
+    rng, tokenizer = random.Random(3), Tokenizer.from_str(tokenizers.a)
+    tokenizer.encode_special_tokens = True
+    letters = [chr(c) for c in range(256)] + list("  'sreab  漢🙂\u3000\u200b\u180e\u2003Σ\u0301١²▁<>/") + [
+        chr(c) for c in (*range(0x100, 0x250), *range(0x400, 0x460), 0x3041, 0x3096, 0xac00, 0xd7a3, 0x2010, 0x2027)] + [" "] * 40
+    some = ["".join(rng.choices(letters, k=rng.randint(1, 30))) for _ in range(3000)] + ["a" * 5000, " " * 5000, "<|endoftext|>", ""]
+    found = ByteLevel(tokenizers.a).ids(some)
+    assert [list(memoryview(x).cast("I")) for x in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
