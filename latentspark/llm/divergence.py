@@ -1,14 +1,15 @@
 r"""Source divergence audit by chunk factorization.
 
 A chunk is what ASCII white space separates. Chunks are counted per document; documents are taken in blocks of
-about ``BLOCK_BYTES``, and a block gives one row per language and distinct chunk: the documents that hold it
-(numbers within the block) and its occurrences by source. Every distinct chunk is cut into terms once, for all
-documents. Its terms are joined back to the block rows, where the documents of all chunks with a term are
-united, so that a document that holds a term in several chunks counts once.
+about ``BLOCK_BYTES``, and a block keeps, packed, the distinct chunks of each language, the documents that hold
+them (numbers within the block) and how often. Blocks ask for their chunks: a row per block and distinct chunk is
+exchanged, so that equal chunks meet in order and each is cut into terms once, for all documents. The terms go back
+to the blocks that asked, which unite the documents of all chunks with a term, so that a document that holds a
+term in several chunks counts once, and add up occurrences by source.
 
 No row is exchanged per word or per document, and a chunk that stands in every document has one row per block:
 no key holds more than its share. Terms whose chunks together have fewer than the least number of documents are
-left out before the union; they cannot be kept.
+not told to the blocks; they cannot be kept.
 
 Terms are runs of ASCII letters and characters beyond ASCII; only A-Z are lower-cased. A language keeps the
 terms that stand in at least ``min_docs`` of its documents; every row is a document. With a group's count and
@@ -31,65 +32,84 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from latentspark.llm.words import LOWER, spans, text_bytes
-from latentspark.session import cut_lineage
+from latentspark.session import broadcast_if_small, cut_lineage
 
 MIN_DOCS = 30
 TOP = 50
 WIDTH = 128
 BLOCK_BYTES = 16 << 20
 _BLOCK_ROWS = 1 << 15
+_PART = 1 << 15
 _SALTS = 16
 _LETTERS = np.zeros(256, np.uint8)
 for _first, _last in ((0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
     _LETTERS[_first:_last] = 1
 
-_BLOCKS = pa.schema([
-    ("block", pa.int64()), ("lang", pa.string()), ("chunk", pa.string()), ("docs", pa.list_(pa.int16())),
-    ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
-_TERMS = pa.schema([("chunk", pa.string()), ("term", pa.string()), ("times", pa.int64())])
+_BLOCKS = "block bigint, langs array<string>, rows_of_lang array<int>, chunks binary, holders binary, own binary"
+_ASKED = "block bigint, place int, lang string, chunk string, holders bigint"
+_TOLD = "block bigint, place int, lang string, term string, times bigint, holders bigint"
+_COUNTS = "lang string, source string, term string, n bigint, docs bigint"
 
 
-def _starts(keys: np.ndarray) -> np.ndarray:
-    """Where runs of equal keys start."""
-    return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+def _names(ddl: str) -> list[str]:
+    return [c.split()[0] for c in ddl.split(", ")]
 
 
-def _lists(starts: np.ndarray, values: pa.Array) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), values)
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers below 2^32; equal bytes of them stand together, which packs well."""
+    return zstandard.ZstdCompressor(level=1).compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(content: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(content), np.uint8).reshape(4, -1)
+    return planes.T.copy().view("<u4").ravel().astype(np.int64)
 
 
 def _block(number: int, lang: pa.Array, source: pa.Array, text: pa.Array) -> pa.RecordBatch:
-    """A row per language and distinct chunk of some documents."""
+    """One row of some documents: their chunks in order of language and text, and who holds each how often."""
     lang, source = lang.dictionary_encode(), source.dictionary_encode()
-    # Documents are numbered by source, so that those of one source stand together in every row.
-    order = np.argsort(source.indices, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    source_at, lang_of = np.asarray(source.indices)[order], np.asarray(lang.indices, np.int64)
+    lang_of = np.asarray(lang.indices, np.int64)
     words = pc.ascii_split_whitespace(text)
     doc = np.asarray(pc.list_parent_indices(words), np.int64)
     chunk = pc.list_flatten(words).dictionary_encode()
-    kinds = max(1, len(chunk.dictionary))
-    key, counts = np.unique((lang_of[doc] * kinds + np.asarray(chunk.indices, np.int64)) * _BLOCK_ROWS + place[doc], return_counts=True)
+    kinds = len(chunk.dictionary)
+    order = np.asarray(pc.sort_indices(chunk.dictionary), np.int64)
+    rank = np.empty(kinds, np.int64)
+    rank[order] = np.arange(kinds)
+    chunk_of = rank[np.asarray(chunk.indices, np.int64)]
+    if kinds and chunk.dictionary[int(order[0])].as_py() == "":  # splitting leaves an empty chunk at the ends of a text
+        chunk_of, doc = chunk_of[chunk_of > 0], doc[chunk_of > 0]
+    key, counts = np.unique((lang_of[doc] * kinds + chunk_of) * _BLOCK_ROWS + doc, return_counts=True)
     row, doc = key // _BLOCK_ROWS, key % _BLOCK_ROWS
-    # Splitting leaves an empty chunk at the ends of a text.
-    real = np.asarray(pc.not_equal(chunk.dictionary, ""))[row % kinds] if len(row) else np.zeros(0, bool)
-    row, doc, counts = row[real], doc[real], counts[real]
-    starts = _starts(row)
-    by_source = _starts(row * (len(source.dictionary) + 1) + source_at[doc]) if len(row) else starts
-    sums = np.add.reduceat(counts, by_source) if len(row) else counts
+    starts = np.flatnonzero(np.diff(row, prepend=-1))
     first = row[starts]
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.full(len(starts), number), pa.int64()), lang.dictionary.take(pa.array(first // kinds)),
-        chunk.dictionary.take(pa.array(first % kinds)), _lists(starts, pa.array(doc.astype(np.int16))),
-        _lists(np.searchsorted(by_source, starts), source.dictionary.take(pa.array(source_at[doc[by_source]]))),
-        _lists(np.searchsorted(by_source, starts), pa.array(sums, pa.int64()))], schema=_BLOCKS)
+    holders = np.diff(np.append(starts, len(row)))
+    step = np.diff(doc, prepend=0)
+    step[starts] = doc[starts]
+    texts = chunk.dictionary.take(pa.array(order[first % kinds])).to_pylist() if len(first) else []
+    of_lang = np.bincount(first // kinds, minlength=len(lang.dictionary)) if len(first) else np.zeros(len(lang.dictionary), int)
+    held = _packed(holders)
+    own = pa.RecordBatch.from_pydict({
+        "langs": [lang.dictionary.to_pylist()], "sources": [source.dictionary.to_pylist()], "lang_of": [_packed(lang_of)],
+        "source_of": [_packed(np.asarray(source.indices))], "holders": [held], "links": [_packed(np.concatenate((step, counts)))]})
+    values = (number, lang.dictionary.to_pylist(), of_lang, zstandard.ZstdCompressor(level=3).compress("\n".join(texts).encode()),
+              held, _written(own))
+    kinds = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), *[pa.binary()] * 3)
+    return pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(values, kinds)], _names(_BLOCKS))
+
+
+def _written(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,61 +120,132 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         while i < batch.num_rows:
             j = int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + BLOCK_BYTES, side="right"))
             j = min(max(j, i + 1), i + _BLOCK_ROWS, batch.num_rows)
-            part = batch.slice(i, j - i)
-            found = _block(number, *(part.column(c) for c in ("lang", "source", "text")))
-            # Rows with long lists go on a few thousand at a time.
-            yield from (found.slice(k, 8192) for k in range(0, found.num_rows, 8192))
+            yield _block(number, *(batch.column(c).slice(i, j - i) for c in ("lang", "source", "text")))
             number, i = number + 1, j
 
 
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for every chunk of a block."""
+    for batch in batches:
+        for block, langs, sizes, chunks, holders in zip(*(batch.column(c).to_pylist() for c in (
+                "block", "langs", "rows_of_lang", "chunks", "holders"))):
+            texts, holders = zstandard.ZstdDecompressor().decompress(chunks).decode().split("\n"), _unpacked(holders)
+            lang = np.repeat(np.arange(len(langs)), sizes)
+            for i in range(0, len(holders), _PART):
+                part = slice(i, i + _PART)
+                n = len(holders[part])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block] * n, pa.int64()), pa.array(np.arange(i, i + n), pa.int32()),
+                    pa.array(langs, pa.string()).take(pa.array(lang[part])), pa.array(texts[part], pa.string()),
+                    pa.array(holders[part])], _names(_ASKED))
+
+
+def _terms(chunks: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Which chunk, term, how often, for every term of every chunk."""
+    data, offsets = text_bytes(chunks)
+    first, last = spans(data, offsets, _LETTERS)
+    size = last - first
+    ends = np.cumsum(size)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
+    terms = pa.LargeStringArray.from_buffers(
+        len(ends), pa.py_buffer(np.concatenate(([0], ends)).astype(np.int64)), pa.py_buffer(LOWER[data[at]]))
+    terms = terms.dictionary_encode()
+    kinds = max(1, len(terms.dictionary))
+    own = np.searchsorted(offsets, first, side="right") - 1
+    key, times = np.unique(own * kinds + np.asarray(terms.indices, np.int64), return_counts=True)
+    return key // kinds, terms.dictionary.cast(pa.string()).take(pa.array(key % kinds)), times
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Terms of every chunk, and how often each stands in it."""
+    """Terms of the chunks, which come in order, so that equal ones are cut once."""
     for batch in batches:
-        data, offsets = text_bytes(batch.column("chunk"))
-        first, last = spans(data, offsets, _LETTERS)
-        if not len(first):
-            continue
-        own = np.searchsorted(offsets, first, side="right") - 1
-        ends = np.cumsum(last - first)
-        at = np.arange(ends[-1]) + np.repeat(first - ends + (last - first), last - first)
-        terms = pa.LargeStringArray.from_buffers(
-            len(ends), pa.py_buffer(np.concatenate(([0], ends)).astype(np.int64)), pa.py_buffer(LOWER[data[at]]))
-        terms = terms.dictionary_encode()
-        key, times = np.unique(own * len(terms.dictionary) + np.asarray(terms.indices, np.int64), return_counts=True)
-        yield pa.RecordBatch.from_arrays([
-            batch.column("chunk").take(pa.array(key // len(terms.dictionary))),
-            terms.dictionary.cast(pa.string()).take(pa.array(key % len(terms.dictionary))), pa.array(times, pa.int64())], schema=_TERMS)
+        chunk = batch.column("chunk").dictionary_encode()
+        own, terms, times = _terms(chunk.dictionary)
+        low, high = (np.searchsorted(own, np.asarray(chunk.indices), side) for side in ("left", "right"))
+        count = high - low
+        row = np.repeat(np.arange(batch.num_rows), count)
+        at = np.arange(len(row)) + np.repeat(low - np.cumsum(count) + count, count)
+        if len(row):
+            block, place, lang, holders = (batch.column(c).take(pa.array(row)) for c in ("block", "place", "lang", "holders"))
+            yield pa.RecordBatch.from_arrays([
+                block, place, lang, terms.take(pa.array(at)), pa.array(times[at], pa.int64()), holders], _names(_TOLD))
+
+
+def _summed(block: dict, place: np.ndarray, term: pa.Array, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Occurrences and documents of every term by language and source, for one block and the terms of its chunks."""
+    langs, sources = (pa.array(block[c], pa.string()) for c in ("langs", "sources"))
+    lang_of, source_of = _unpacked(block["lang_of"]), _unpacked(block["source_of"])
+    term = term.dictionary_encode()
+    holders, (step, n) = _unpacked(block["holders"]), _unpacked(block["links"]).reshape(2, -1)
+    ends, sums = np.cumsum(holders), np.concatenate(([0], np.cumsum(step)))
+    # A running sum over all chunks, less what it had where the chunk began.
+    docs = sums[1:] - np.repeat(sums[ends - holders], holders)
+    low, count = (ends - holders)[place], holders[place]
+    at = np.arange(count.sum()) + np.repeat(low - np.cumsum(count) + count, count)
+    key = np.repeat(np.asarray(term.indices, np.int64), count) * len(lang_of) + docs[at]
+    # One row per term and document, however many of its chunks hold the term.
+    key, n = _totals(key, n[at] * np.repeat(times, count))
+    groups = len(langs) * len(sources)
+    group = (lang_of * len(sources) + source_of)[key % len(lang_of)]
+    key = key // len(lang_of) * groups + group
+    (key, n), (_, held) = _totals(key, n), _totals(key, np.ones_like(n))
+    group = key % groups
+    found = pa.RecordBatch.from_arrays([
+        langs.take(pa.array(group // len(sources))), sources.take(pa.array(group % len(sources))),
+        term.dictionary.take(pa.array(key // groups)), pa.array(n), pa.array(held)], _names(_COUNTS))
+    yield from (found.slice(i, _PART) for i in range(0, found.num_rows, _PART))
+
+
+def _totals(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of ``n`` for each key, in order of keys."""
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[starts], np.add.reduceat(n, starts)
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks come in turn: the block's own row, then the terms of its chunks in order of place."""
+    block, told = None, []
 
+    def result() -> Iterator[pa.RecordBatch]:
+        if told:
+            place, term, times = zip(*told)
+            yield from _summed(block, np.concatenate(place), pa.concat_arrays(term), np.concatenate(times))
 
-def _documents(documents: DataFrame) -> DataFrame:
-    return documents.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    for batch in batches:
+        heads = np.flatnonzero(np.asarray(batch.column("place")) < 0).tolist()
+        for i, j in zip([0, *heads], [*heads, batch.num_rows]):
+            if i in heads:
+                yield from result()
+                block, told = pa.ipc.open_stream(batch.column("own")[i].as_buffer()).read_all().to_pylist()[0], []
+                i += 1
+            if j > i:
+                part = batch.slice(i, j - i)
+                told.append((np.asarray(part.column("place"), np.int64), part.column("term"), np.asarray(part.column("times"), np.int64)))
+    yield from result()
 
 
-def _ddl(schema: pa.Schema) -> str:
-    kinds = {"int64": "bigint", "string": "string", "int16": "smallint"}
-    return ", ".join(f"{f.name} " + (f"array<{kinds[str(f.type.value_type)]}>" if pa.types.is_list(f.type) else kinds[str(f.type)])
-                     for f in schema)
+def _documents(documents: DataFrame) -> DataFrame:
+    return documents.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
 
 
 def kept_terms(documents: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
     """``lang, term, docs`` of the kept terms, and ``lang, source, term, n`` of those that a group holds."""
-    blocks = cut_lineage(_documents(documents).mapInArrow(_blocks, _ddl(_BLOCKS)))
-    holders = cut_lineage(blocks.groupBy("lang", "chunk").agg(F.sum(F.size("docs")).alias("docs")))
-    terms = cut_lineage(holders.select("chunk").distinct().mapInArrow(_cut, _ddl(_TERMS)))
-    held = holders.join(terms, "chunk")
-    likely = held.groupBy("lang", "term").agg(F.sum("docs").alias("most")).where(F.col("most") >= min_docs)
-    wanted = held.join(likely, ["lang", "term"], "left_semi").select("lang", "chunk", "term", "times")
-    # One row per block and term: the rows gathered are those of one block.
-    found = blocks.join(wanted, ["lang", "chunk"]).groupBy("lang", "block", "term").agg(
-        F.collect_list("docs").alias("docs"), F.flatten(F.collect_list("sources")).alias("sources"),
-        F.flatten(F.collect_list(F.transform("counts", lambda n: n * F.col("times")))).alias("counts"))
-    found = cut_lineage(found.select(
-        "lang", "term", F.when(F.size("docs") == 1, F.size(F.get("docs", F.lit(0)))).otherwise(
-            F.size(F.array_distinct(F.flatten("docs")))).alias("docs"), "sources", "counts"))
+    blocks = cut_lineage(_documents(documents).mapInArrow(_blocks, _BLOCKS))
+    asked = blocks.select("block", "langs", "rows_of_lang", "chunks", "holders").mapInArrow(_asked, _ASKED)
+    terms = cut_lineage(asked.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_cut, _TOLD))
+    likely = cut_lineage(terms.groupBy("lang", "term").agg(F.sum("holders").alias("most")).where(
+        F.col("most") >= min_docs).select("lang", "term"))
+    told = terms.join(broadcast_if_small(likely), ["lang", "term"], "left_semi").select("block", "place", "term", "times")
+    # A block's own row comes first, then what it is told.
+    rows = blocks.select("block", F.lit(-1).alias("place"), "own").unionByName(told, allowMissingColumns=True)
+    found = rows.repartition("block").sortWithinPartitions("block", "place").select("place", "term", "times", "own").mapInArrow(
+        _united, _COUNTS)
+    found = cut_lineage(found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
     kept = cut_lineage(found.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs))
-    counts = found.select("lang", "term", F.explode(F.arrays_zip("sources", "counts")).alias("x")).groupBy(
-        "lang", F.col("x.sources").alias("source"), "term").agg(F.sum("x.counts").alias("n"))
-    return kept, cut_lineage(counts.join(kept.select("lang", "term"), ["lang", "term"], "left_semi"))
+    return kept, cut_lineage(found.select("lang", "source", "term", "n").join(
+        broadcast_if_small(kept.select("lang", "term")), ["lang", "term"], "left_semi"))
 
 
 def _p(count: Column, total: Column) -> Column:
