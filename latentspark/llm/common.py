@@ -37,5 +37,12 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, train:
     return texts.join(F.broadcast(wanted), "doc_id").select("text", "y", F.xxhash64("doc_id", "text").alias("at"))
 
 
-def set_column(df: DataFrame, name: str, column: Column) -> DataFrame:
-    return df.withColumn(name, column)
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores as keep it apart from the columns of ``df``, whatever their case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

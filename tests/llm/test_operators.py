@@ -41,7 +41,7 @@ def frame(spark, rows):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     ours = QUERIES[name](spark, SF_DIR)
     columns = sorted(ours.columns)
@@ -251,6 +251,33 @@ def test_line_dedup(spark):
     assert line_dedup.drop_repeated_lines(frame(spark, [])).count() == 0
 
 
+def _without_runs(rows, min_lines=3, min_words=50):
+    """Maximal runs of lines that occur before, place by place; rows in order of id."""
+    lines = [[(i, x.strip(" ")) for i, x in enumerate((t or "").split("\n")) if x.strip(" ")] for _, t in rows]
+    gone = [set() for _ in rows]
+    for b, mine in enumerate(lines):
+        for a, theirs in enumerate(lines[:b + 1]):
+            for i in range(len(theirs)):
+                for j in range(i + 1 if a == b else 0, len(mine)):
+                    n = 0
+                    while i + n < len(theirs) and j + n < len(mine) and theirs[i + n][1] == mine[j + n][1]:
+                        n += 1
+                    run = mine[j:j + n]
+                    if n >= min_lines or sum(len(x.split(" ")) for _, x in run) >= min_words:
+                        gone[b].update(range(run[0][0], run[-1][0] + 1))
+    return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in g) for (i, t), g in zip(rows, gone)}
+
+
+def test_maximal_runs(spark):
+    rng, p60 = random.Random(11), " ".join(f"p{i}" for i in range(60))
+    rows = [(1, f"{p60}\nshort a\nshort b\nend one"), (2, f"{p60}\nshort a\nshort b\nend two"), (3, f"x\nshort b\n{p60}\ny")]
+    pool = [" ".join(f"{c}{i}" for i in range(n)) for c, n in zip("abcdefgh", (1, 2, 20, 26, 49, 50, 60, 5))] + [" ", ""]
+    rows += [(10 + i, "\n".join(rng.choices(pool, k=rng.randint(0, 9)))) for i in range(60)]
+    found = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(frame(spark, rows).withColumns(
+        {c: F.lit(c) for c in ("own", "other", "gone", "__gone", "__own", "lines_removed")})).collect()}
+    assert found[2] == "end two" and found == _without_runs(rows)
+
+
 def test_url_filter(spark):
     rows = [(1, None), (2, "no scheme"), (3, "http://Sub.Example.com/en/x?q"), (4, "https://www.example.com/en/"), (5, "http://a.net/es/1#t"),
             (6, "http://bad.org/p/"), (7, "http://www.bad.org/p?utm=1"), (8, "http://good.org/p"), (9, "http://a.com"), (10, "")]
