@@ -14,8 +14,8 @@ task that is run again leaves at most a file that nothing refers to.
 
 Texts are encoded by the tokenizers library word by word: its normalizer and pattern never look across a
 space, tab or line end, so a word's ids do not depend on its neighbours; words are encoded once, many to a
-call, while they are remembered. Texts of Latin-1 characters only are cut into the pattern's matches, which
-are fewer. Texts that hold the name of an added token (``<|endoftext|>``) go to the library whole, which maps
+call, while they are remembered. Texts of Latin-1 characters only are cut into the pattern's matches here and
+merged by the tiktoken library, with the merges in the order of the tokenizer's. Texts that hold the name of an added token (``<|endoftext|>``) go to the library whole, which maps
 it to its id. The end id follows every document.
 
 Null and empty texts have the end id alone. Null ids come first. Rows that repeat an id are stored next to
@@ -25,6 +25,7 @@ each other, ordered by hash of their frames. An empty table gives an empty manif
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import uuid
@@ -40,6 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from latentspark.llm.byte_level import byte_of_letter
 from latentspark.session import cut_lineage
 
 SAMPLE_ROWS = 1000
@@ -49,6 +51,7 @@ LEVEL = 3
 _MAGIC = b"LSTOKEN1"
 _CACHE = 400_000
 _JOINED = 500
+_RUN = 2000              # bytes of a match beyond which a text does not go the fast way
 # Letters of ASCII and Latin-1, which no normal form or change of case takes apart.
 _LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 # ASCII signs without the apostrophe, which the tokenizer's pattern joins with letters.
@@ -65,13 +68,10 @@ class WordEncoder:
 
     def __init__(self, tokenizer_json: str, end_id: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        # The same model for lower-case Latin-1 words, which need no normal form and are cut at spaces.
-        self.plain = Tokenizer(self.tokenizer.model)
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.fast, self.id_of = self._by_ranks(json.loads(tokenizer_json)["model"])
         # Words come lower-cased, which may make a name that the text does not hold.
         self.tokenizer.encode_special_tokens = True
         self.whole = Tokenizer.from_str(tokenizer_json)
@@ -80,7 +80,6 @@ class WordEncoder:
         self.normal = any(normalized for _, normalized in self.added)
         self.end = int(end_id).to_bytes(4, "little")
         self.known: dict[str, bytes] = {"": b""}
-        self.pieces: dict[bytes, bytes] = {}
         self.split = re.compile("[ \t\r\n]+").split
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
@@ -88,17 +87,42 @@ class WordEncoder:
         if suffix:
             self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
+    @staticmethod
+    def _by_ranks(model: dict):
+        """The same model for the tiktoken library, and the id of each of its ranks.
+
+        A word's last character and its end are one symbol in the model. Here the end is a character of its own,
+        NUL, which joins what stands before it first of all; then the merges follow in their order.
+        """
+        import tiktoken
+
+        letters = byte_of_letter()
+        end, vocabulary = model["end_of_word_suffix"], model["vocab"]
+
+        def as_bytes(token: str) -> bytes:
+            last = token.endswith(end) and token != end
+            return bytes(map(letters.__getitem__, token[:-len(end)] if last else token)) + b"\0" * last
+
+        merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        of_byte = {b: letter for letter, b in letters.items()}
+        tokens = [of_byte[b] for b in range(256)] + [of_byte[b] + end for b in range(256)] + merges
+        ranks = {}
+        for rank, token in enumerate(tokens):
+            ranks.setdefault(as_bytes(token), rank)
+        return (tiktoken.Encoding("words", pat_str="[^\0]*\0", mergeable_ranks=ranks, special_tokens={}),
+                np.array([vocabulary[t] for t in tokens], np.uint32))
+
     def _each(self, words: list[str]) -> None:
         for i in range(0, len(words), 1000):
             part = words[i:i + 1000]
             for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 self.known[word] = array("I", found.ids).tobytes()
 
-    def _joined(self, words: list[str], tokenizer) -> None:
+    def _joined(self, words: list[str]) -> None:
         """Words of letters only are one match each, so many go in one text and are told apart by their last ids."""
         for i in range(0, len(words), _JOINED):
             part = words[i:i + _JOINED]
-            found = tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
+            found = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
             ends = (np.flatnonzero(self.ends_word[found]) + 1).tolist()
             if len(ends) != len(part) or ends[-1] != len(found):
                 self._each(part)
@@ -127,7 +151,7 @@ class WordEncoder:
             else:
                 parts.append((word, word, ""))
         missing = {x for part in parts for x in part[1:]} - known.keys()
-        self._joined([x for x in missing if _LETTERS(x)], self.tokenizer)
+        self._joined([x for x in missing if _LETTERS(x)])
         self._each([x for x in missing if not _LETTERS(x)])
         for word, stem, signs in parts:
             out[word] = known[stem] + known[signs] if signs else known[stem]
@@ -136,18 +160,19 @@ class WordEncoder:
                 x: known[x] for part in parts for x in part[1:]}
         return out
 
-    def _ids_of_pieces(self, pieces: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of lower-case Latin-1 matches of the tokenizer's pattern."""
-        missing = pieces - self.pieces.keys()
-        if len(self.pieces) + len(missing) > _CACHE:
-            self.pieces = {x: self.pieces[x] for x in pieces - missing}
-        words = [x.decode("latin-1") for x in missing]
-        own, self.known = self.known, {}
-        self._joined([x for x in words if _LETTERS(x)], self.plain)
-        self._each([x for x in words if not _LETTERS(x)])
-        found, self.known = self.known, own
-        self.pieces.update(zip(missing, map(found.__getitem__, words)))
-        return self.pieces
+    def _of_latin(self, text: str) -> bytes | None:
+        """Ids of a text of Latin-1 characters without NUL and very long matches; None of another."""
+        try:
+            data = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        found = _NO_LETTER.sub(rb" \g<0> ", data.translate(_LATIN)).split()
+        if not found:
+            return b""
+        if b"\0" in data or max(map(len, found)) > _RUN:
+            return None
+        found.append(b"")
+        return self.id_of[self.fast.encode_ordinary(b"\0".join(found).decode("latin-1"))].tobytes()
 
     def _names_token(self, text: str) -> bool:
         """Whether the text, or its normal form for names that are sought there, holds an added token's name."""
@@ -163,30 +188,22 @@ class WordEncoder:
         """Ids of each text and the end id, as little-endian unsigned 32-bit integers."""
         i = 0
         while i < len(texts):
-            cut, words, pieces, size = [], set(), set(), 0
+            done, words, size = [], set(), 0
             while i < len(texts) and size < _PART:
                 text = texts[i] or ""
                 if self._names_token(text):
-                    cut.append((None, text))
-                    size += len(text)
-                    i += 1
-                    continue
-                try:
-                    found = _NO_LETTER.sub(rb" \g<0> ", text.encode("latin-1").translate(_LATIN)).split()
-                    pieces.update(found)
-                    cut.append((True, found))
-                except UnicodeEncodeError:
-                    found = self.split(text)
-                    words.update(found)
-                    cut.append((False, found))
+                    found = array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+                else:
+                    found = self._of_latin(text)
+                    if found is None:
+                        found = self.split(text)
+                        words.update(found)
+                done.append(found)
                 size += len(text)
                 i += 1
-            of_piece, of_word = self._ids_of_pieces(pieces).__getitem__, self._ids_of(words).__getitem__
-            for latin, found in cut:
-                if latin is None:
-                    yield array("I", self.whole.encode(found, add_special_tokens=False).ids).tobytes() + self.end
-                    continue
-                yield b"".join(map(of_piece if latin else of_word, found)) + self.end
+            of_word = self._ids_of(words).__getitem__
+            for found in done:
+                yield (found if isinstance(found, bytes) else b"".join(map(of_word, found))) + self.end
 
 
 def encode(text: Column, tokenizer_of, end_id: int) -> Column:
