@@ -10,35 +10,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latentspark.llm import byte_bpe, decontaminate, line_dedup, near_dedup, quality
-from latentspark.llm.common import fold_is, table
+from latentspark.llm import byte_bpe, decontaminate, line_dedup, quality, simhash
+from latentspark.llm.common import fold_is, fresh, table
 from latentspark.llm.queries import THRESHOLD, byte_bpe_digests
 from latentspark.session import cut_lineage
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, taught on the training fold of ``labels``, does not reject."""
+    """Documents that the classifier, taught on the training fold of ``labels``, does not reject.
+
+    Null and empty texts are judged by the bias alone; rows of any id, repeated ones too, are judged by their text.
+    """
     model = quality.train(docs, table(spark, sf_dir, "labels"), ~fold_is(F.col("doc_id"), 5, 0))
-    score = quality.score(F.col("text"), spark.sparkContext.broadcast(tuple(model)))
-    return docs.withColumn("__score", score).where(F.col("__score") >= THRESHOLD).select(*docs.columns)
+    return docs.where(quality.score(F.col("text"), spark.sparkContext.broadcast(tuple(model))) >= THRESHOLD)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of runs of lines; ``n_chars`` follows the text."""
-    kept = line_dedup.drop_repeated_lines(docs)
+    """Documents without later copies of runs of lines; ``n_chars`` follows the text.
+
+    Null and empty texts stay as they are, a document that loses all lines stays, empty. Null ids come first, so
+    their lines stay; rows that repeat id and text lose the same lines.
+    """
+    removed, = fresh(docs, "removed")
+    # The operator sets a column of its own name, which a document may have as well.
+    own = fresh(docs, "held") if "lines_removed" in docs.columns else []
+    given = docs.withColumnRenamed("lines_removed", own[0]) if own else docs
+    kept = line_dedup.drop_repeated_lines(given).withColumnRenamed("lines_removed", removed)
+    kept = kept.withColumnRenamed(own[0], "lines_removed") if own else kept
     return kept.withColumn("n_chars", F.when(
-        F.col("lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+        F.col(removed) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are near-duplicates by five-word shingles, the one with the smallest id.
+    """Of documents whose SimHash fingerprints are linked, the one with the smallest id.
 
-    Of rows that share that id one stays, the first by hash of the text, then place.
+    Three-word shingles and 2 bits, as ``op9_simhash``. Of rows that share that id one stays, the first by hash of
+    the text, then place. Null ids come last. Empty and null texts are one group; rows of any length count whole.
     """
-    rows = cut_lineage(docs.withColumn("row", F.monotonically_increasing_id()))
-    found = near_dedup.groups(rows.select("row", "doc_id", "text"))
-    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "at", "row")).alias("first"))
-    return rows.join(first.select("first.row").hint("shuffle_hash"), "row", "left_semi").select(*docs.columns)
+    row, fp, group = fresh(docs, "row", "fp", "group")
+    rows = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(fp, simhash.fingerprint(F.col("text"))))
+    prints = rows.select(F.col(row).alias("doc_id"), F.col(fp).alias("fp"))
+    linked = simhash.components(prints).select(F.col("doc_id").alias(row), F.col("component_id").alias(group))
+    at = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), row)
+    first = rows.join(linked, row).groupBy(group).agg(F.min(at).alias("first")).select(F.col(f"first.{row}").alias(row))
+    return rows.join(first, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +72,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", good_quality),
     ("line dedup", without_repeated_lines),
-    ("near-dedup", one_of_each_group),
+    ("SimHash near-dedup", one_of_each_group),
     ("benchmark decontamination", without_benchmark),
     ("byte-level BPE", token_ids),
 ]
