@@ -3,6 +3,8 @@
 import random
 
 import corpus_pipeline
+from latentspark.llm import simhash
+from pyspark.sql import functions as F
 
 
 def test_stages(spark, tmp_path):
@@ -34,23 +36,46 @@ def test_stages(spark, tmp_path):
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
 
 
-def test_near_copies_beyond_two_bits(spark, tmp_path):
-    """Copies at a five-word Jaccard similarity of 0.8 and more are one group, those below are not."""
-    rng = random.Random(9)
-    rows, wanted, near, n = [], set(), lambda t: {tuple(t[i:i + 5]) for i in range(len(t) - 4)}, 0
+def test_one_of_each_group(spark, tmp_path):
+    """Copies whose fingerprints are linked by 2 bits or fewer are one group, whatever the columns are called."""
+    rng, rows = random.Random(9), []
     for i in range(60):
         words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(60, 300))]
-        copy = list(words)
-        for p in range(10, len(words) - 10, 30 + 10 * (i % 6)):
-            copy[p] = "changed"
-        alike = len(near(words) & near(copy)) / len(near(words) | near(copy))
-        n += 0.8 <= alike < 1
-        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
-        wanted |= {2 * i} if alike >= 0.8 else {2 * i, 2 * i + 1}
-    assert n > 20
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    kept = [r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, str(tmp_path)).collect()]
-    assert sorted(kept) == sorted(wanted)
+        for k in range(3):
+            rows.append((3 * i + k, " ".join(words)))
+            words = words + ["more"] * rng.randint(0, 2)
+    rows += [(1000, None), (1001, ""), (1002, " \n"), (1003, "The same"), (1004, "the  same"), (1005, "x " * 50_000), (1006, "x " * 49_000)]
+    prints = {i: simhash._fingerprint((t or "").encode(), 3, 42) % (1 << 64) for i, t in rows}
+    group = {i: i for i in prints}
+    for i in prints:
+        for j in prints:
+            if j < i and (prints[i] ^ prints[j]).bit_count() <= 2:
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = {k: new if v == old else v for k, v in group.items()}
+    wanted = {i for i, g in group.items() if i == g}
+    assert 70 < len(wanted) < 180
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns(
+        {"row": F.col("doc_id") * 2, "fp": F.lit("x"), "group": F.lit(None).cast("int"), "component_id": F.lit(1)})
+    kept = corpus_pipeline.one_of_each_group(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r.row, r.fp) for r in kept.collect()} == {(i, 2 * i, "x") for i in wanted}
+
+
+def test_odd_rows_through_all_stages(spark, tmp_path):
+    rows = [(1, None), (1, None), (2, ""), (None, "same text here"), (None, "same text here"), (3, "long text " * 60_000), (4, "a\n\n\nb"),
+            (5, "some clean words of a usual kind"), (6, "***")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").select(
+        "doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"),
+        F.lit(1).alias("score"), F.lit(2).alias("own"), F.lit(3).alias("h"), F.lit(4).alias("gone"), F.lit(5).alias("lines_removed"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(5, 1, 0), (6, 0, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(None, None), (1, ""), (2, "no one holds these five words")], "item_id bigint, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and {r.gone for r in out.collect()} == {4}
+    found = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert 5 in found and 3 in found
 
 
 def test_repeated_and_null_ids(spark, tmp_path):
