@@ -50,6 +50,16 @@ VIEWS = {
                       CASE WHEN l_quantity < 50 THEN concat('.', CAST(CAST(l_quantity AS INT) AS VARCHAR(20)))
                            ELSE '' END, '.pkl') AS path
         FROM lineitem""",
+    # Artifacts and latents of four runs, twelve epochs and the end.
+    "run_artifacts": """
+        SELECT CAST(l_suppkey % 4 AS BIGINT) AS run_id,
+               CASE WHEN l_returnflag = 'R' AND l_quantity < 45 THEN 'weights' ELSE 'z' END AS artifact,
+               CASE WHEN l_quantity < 48 THEN CAST(l_quantity / 4 AS INT) END AS epoch
+        FROM lineitem""",
+    "run_latents": """
+        SELECT CAST(o_custkey % 4 AS BIGINT) AS run_id, CASE WHEN o_orderkey % 13 < 12 THEN CAST(o_orderkey % 13 AS INT) END AS epoch,
+               CAST(floor(o_orderkey / 13e0) AS BIGINT) AS position, [[o_totalprice / 1000e0, o_orderkey / 7e0]] AS z
+        FROM orders""",
     "runs": """
         SELECT run_id, kind, abinitio_type, do_continue, continue_run,
                CASE WHEN NOT do_continue THEN o_custkey END AS input_set,

@@ -13,7 +13,7 @@ from latentspark.operators import particles as sets
 from latentspark.operators import position
 from latentspark.plans import jobs
 from latentspark.session import working_dir
-from latentspark.sources import star, tables, text
+from latentspark.sources import epochs, star, tables, text
 
 
 def _new_path(spark) -> str:
@@ -297,6 +297,57 @@ def star_round_trip(spark, sf):
                        "coord.x", "coord.y", "transform.*")
 
 
+# Three optics groups, and particles without a pose.
+_OPTICS = """optics AS (
+    SELECT position, CAST(256 + 64 * (position % 3) AS INT) AS box, 1.25e0 + (position % 3) AS apix, defocus_u, defocus_v,
+           defocus_angle, 300e0 - 100 * (position % 2) AS voltage, spherical_aberration, amplitude_contrast,
+           shift_x, shift_y, rot IS NOT NULL AS aligned FROM particles)"""
+
+
+def _with_optics(spark, sf):
+    table = position.stack_location(particles(spark, sf), 64, 500)
+    third = F.col("position") % 3
+    return table.withColumns({
+        "box": (256 + 64 * third).cast("int"), "apix": 1.25 + third, "voltage": 300.0 - 100 * (F.col("position") % 2)})
+
+
+@query("star_optics_ctf", f"""{ctes('particles')}, {_OPTICS}
+    SELECT position, box, apix, {sql6('defocus_u')} AS defocus_u, {sql6('defocus_v')} AS defocus_v, defocus_angle, voltage,
+           spherical_aberration, amplitude_contrast, 0e0 AS phase_shift FROM optics""")
+def star_optics_ctf(spark, sf):
+    """CTF parameters through a document of two blocks, joined by optics group."""
+    path = _new_path(spark)
+    star.write_star(_with_optics(spark, sf), path, with_alignment=False, optics=True)
+    back = sets.parse_ctf(star.particles_from_star(star.read_particles(spark, path)))
+    return back.withColumns({c: r6(c) for c in ("defocus_u", "defocus_v")})
+
+
+@query("star_optics_poses", f"""{ctes('particles')}, {_OPTICS}
+    SELECT position, aligned, {sql6('shift_x')} AS tx, {sql6('shift_y')} AS ty FROM optics""")
+def star_optics_poses(spark, sf):
+    """Shifts written in Å come back in pixels of each particle's group."""
+    path = _new_path(spark)
+    star.write_star(_with_optics(spark, sf), path, with_alignment=True, optics=True)
+    back = star.particles_from_star(star.read_particles(spark, path, range_bytes=1 << 18))
+    return sets.parse_poses(back).select(
+        "position", F.col("translation").isNotNull().alias("aligned"),
+        r6(F.get("translation", F.lit(0))).alias("tx"), r6(F.get("translation", F.lit(1))).alias("ty"))
+
+
+@query("star_optics_groups", f"""{ctes('particles')}, {_OPTICS}
+    SELECT CAST(row_number() OVER (ORDER BY box, apix, voltage) AS DOUBLE) AS optics_group, box, apix, voltage, particles
+    FROM (SELECT CAST(box AS DOUBLE) AS box, apix, voltage, count(*) AS particles FROM optics GROUP BY ALL) g""")
+def star_optics_groups(spark, sf):
+    """Rows of the optics block, and particles of each; the particle block is read for one column."""
+    path = _new_path(spark)
+    star.write_star(_with_optics(spark, sf), path, with_alignment=False, optics=True)
+    groups = star.read_star(spark, path, block=star.OPTICS_BLOCK)
+    counts = star.read_star(spark, path, columns=[star.GROUP_LABEL]).groupBy(star.GROUP_LABEL).agg(F.count("*").alias("particles"))
+    return groups.join(counts, star.GROUP_LABEL).select(
+        F.col(star.GROUP_LABEL).alias("optics_group"), *[
+            F.col(star.OPTICS_LABELS[c]).alias(c) for c in ("box", "apix", "voltage")], "particles")
+
+
 @query("read_latents", f"""{ctes('latents')}
     SELECT position, CAST(i - 1 AS INT) AS i, v
     FROM (SELECT position, generate_subscripts(z, 1) AS i, unnest(z) AS v FROM latents) d""")
@@ -306,6 +357,61 @@ def read_latents(spark, sf):
     return tables.read_latents(spark, path).select("position", F.posexplode("z").alias("i", "v"))
 
 
+@query("attach_stored_latents", f"""{ctes('particles', 'particle_latents')}
+    SELECT position, particle_id, {sql6('z[1]')} AS z0, {sql6('z[3]')} AS z2 FROM particles JOIN particle_latents USING (position)""")
+def attach_stored_latents(spark, sf):
+    """Particles and latents that are stored by position join bucket by bucket."""
+    left, right = _new_path(spark), _new_path(spark)
+    tables.write_by_position(particles(spark, sf), left, 8)
+    tables.write_by_position(view(spark, sf, "particle_latents"), right, 8)
+    out = sets.attach_latents(tables.read_by_position(spark, left), tables.read_by_position(spark, right))
+    return out.select("position", "particle_id", r6(F.get("z", F.lit(0))).alias("z0"), r6(F.get("z", F.lit(2))).alias("z2"))
+
+
+def _epoch_rows(spark, sf, which, number=None):
+    path = _new_path(spark)
+    epochs.write_epoch_latents(view(spark, sf, "run_latents"), path)
+    out = epochs.epoch_latents(epochs.read_epoch_latents(spark, path), view(spark, sf, "run_artifacts"), which, number)
+    return out.select("run_id", "epoch", "position", r6(F.get("z", F.lit(0))).alias("z0"), F.size("z").alias("zdim"))
+
+
+_EPOCHS = f"{ctes('run_artifacts', 'run_latents')}, z AS (SELECT DISTINCT run_id, epoch FROM run_artifacts WHERE artifact = 'z')"
+_EPOCH_ROWS = f"SELECT l.run_id, l.epoch, l.position, {sql6('l.z[1]')} AS z0, CAST(2 AS INT) AS zdim FROM run_latents l JOIN z ON z.run_id = l.run_id"
+
+
+@query("epoch_latents_last", f"""{_EPOCHS}, last AS (
+        SELECT run_id, max(epoch) AS epoch FROM run_artifacts WHERE artifact = 'weights' GROUP BY run_id)
+    {_EPOCH_ROWS} AND z.epoch = l.epoch JOIN last ON last.run_id = l.run_id AND last.epoch = l.epoch""")
+def epoch_latents_last(spark, sf):
+    return _epoch_rows(spark, sf, "last")
+
+
+@query("epoch_latents_selection", f"{_EPOCHS} {_EPOCH_ROWS} AND z.epoch = l.epoch WHERE l.epoch = 6")
+def epoch_latents_selection(spark, sf):
+    return _epoch_rows(spark, sf, "selection", 7)
+
+
+@query("epoch_latents_final", f"{_EPOCHS} {_EPOCH_ROWS} AND z.epoch IS NULL WHERE l.epoch IS NULL")
+def epoch_latents_final(spark, sf):
+    return _epoch_rows(spark, sf, "final")
+
+
+@query("index_bitmap", f"""{ctes('index_list')}
+    SELECT 1 + position // 32768 AS bucket, count(DISTINCT position) AS positions FROM index_list WHERE position >= 0 GROUP BY 1""")
+def index_bitmap(spark, sf):
+    """Different positions of an index list, one bit each."""
+    bitmap = sets.position_bitmap(view(spark, sf, "index_list"))
+    return bitmap.select("bucket", F.bitmap_count("bits").alias("positions"))
+
+
+@query("subset_by_ranges", f"""{ctes('particles', 'index_list')}
+    SELECT position, particle_id FROM particles WHERE position IN (SELECT position FROM index_list)""")
+def subset_by_ranges(spark, sf):
+    """A bitmap over the size limit, taken in ranges of its buckets."""
+    return sets.subset(particles(spark, sf), view(spark, sf, "index_list"), max_bytes=sets.BITMAP_ROW_BYTES).select(
+        "position", "particle_id")
+
+
 @query("z_text_round_trip", f"""{ctes('particle_latents')}
     SELECT position, z[1] AS z0, z[2] AS z1, z[3] AS z2, CAST(len(z) AS INT) AS zdim FROM particle_latents""")
 def z_text_round_trip(spark, sf):

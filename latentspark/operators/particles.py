@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latentspark.session import broadcast_if_small
+from latentspark.session import BROADCAST_BYTES, broadcast_if_small, cut_lineage
+
+# Positions of a bitmap row, and its bytes as broadcast.
+BUCKET = 32_768
+BITMAP_ROW_BYTES = 4_200
 
 
 def _number(value: float | Column) -> Column:
@@ -129,14 +134,56 @@ def attach_latents(particles: DataFrame, latents: DataFrame, *, strict: bool = F
     return particles.join(latents.select("position", "z"), "position", "inner")
 
 
-def subset(particles: DataFrame, index: DataFrame) -> DataFrame:
+def position_bitmap(index: DataFrame) -> DataFrame:
+    """``bucket, bits``: one bit per listed position, 32,768 of them a row.
+
+    Repeats set the same bit; null and negative entries set none.
+    """
+    place = F.col("position").cast("bigint") + 1  # buckets and bits count from 1
+    return index.filter(F.col("position") >= 0).groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+
+
+def bitmap_stats(bitmap: DataFrame) -> DataFrame:
+    """How many different positions a bitmap holds, and its last bucket, in one row."""
+    return bitmap.agg(F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias("positions"), F.max("bucket").alias("last_bucket"))
+
+
+def _words(bits: Column) -> Column:
+    """The 4,096 bytes as 512 numbers of 64 bits, the first byte highest."""
+    return F.transform(F.sequence(F.lit(0), F.lit(511)), lambda i: F.conv(
+        F.hex(F.substring(bits, i * 8 + 1, F.lit(8))), 16, -10).cast("bigint"))
+
+
+def subset(particles: DataFrame, index: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Particles whose position is in the index list.
 
-    The list is reduced to distinct positions first, on the map side already, so
-    a position listed very often costs one row in the join.
+    The list becomes a bitmap, which is sent to all tasks; particles are never shuffled. A bitmap of more than
+    ``max_bytes`` is taken in ranges of buckets, each with the particles of its positions, by a filter that
+    reaches the scan.
     """
-    wanted = index.select(F.col("position").cast("bigint").alias("position")).distinct()
-    return particles.join(wanted, "position", "left_semi")
+    bitmap = cut_lineage(position_bitmap(index))
+    buckets = bitmap.count()
+    if not buckets:
+        return particles.filter(F.lit(False))
+    passes = min(buckets, -(-buckets * BITMAP_ROW_BYTES // max_bytes))
+    cuts = [int(c) for c in bitmap.approxQuantile("bucket", [i / passes for i in range(1, passes)], 0.001)] if passes > 1 else []
+    position = F.col("position").cast("bigint")
+    bit = F.bitmap_bit_position(position + 1)
+    byte = F.call_function("div", bit, F.lit(8))
+    word = F.get(F.col("_words"), F.call_function("div", byte, F.lit(8)).cast("int"))
+    # Words have their first byte highest, and the bits of a byte from the lowest on.
+    listed = F.call_function("shiftright", word, ((7 - byte % 8) * 8 + bit % 8).cast("int")).bitwiseAND(1) == 1
+    parts = []
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        within, rows = F.lit(True), particles
+        if low is not None:
+            within, rows = within & (F.col("bucket") > low), rows.filter(position >= low * BUCKET)
+        if high is not None:
+            within, rows = within & (F.col("bucket") <= high), rows.filter(position < high * BUCKET)
+        words = F.broadcast(bitmap.filter(within).select(F.col("bucket").alias("_bucket"), _words(F.col("bits")).alias("_words")))
+        parts.append(rows.join(words, F.bitmap_bucket_number(position + 1) == F.col("_bucket")).filter(listed).select(*particles.columns))
+    return reduce(DataFrame.union, parts)
 
 
 def subset_summary(particles: DataFrame, selected: DataFrame) -> DataFrame:

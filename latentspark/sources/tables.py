@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from latentspark.schemas import LATENTS, VOLUMES, require_columns
 
@@ -17,6 +21,30 @@ def read_latents(spark: SparkSession, path: str) -> DataFrame:
     return require_columns(table, LATENTS)
 
 
+def write_by_position(df: DataFrame, path: str, buckets: int) -> None:
+    """Store rows by position, so that stores with equally many buckets join without a shuffle.
+
+    The rows are shuffled once, here. Every bucket is one file, sorted.
+    """
+    spark = df.sparkSession
+    name = f"by_position_{uuid.uuid4().hex}"
+    df.repartition(buckets, "position").write.format("parquet").mode("overwrite").bucketBy(buckets, "position").sortBy(
+        "position").option("path", path).saveAsTable(name)
+    # Only the files stay; a reader declares them again. Names with an underscore are no data.
+    spark.sql(f"DROP TABLE {name}")
+    spark.createDataFrame([(buckets, df.schema.json())], "buckets int, schema string").write.mode("overwrite").parquet(f"{path}/_layout")
+
+
+def read_by_position(spark: SparkSession, path: str) -> DataFrame:
+    """A store by position, with its buckets known to the planner."""
+    layout = spark.read.parquet(f"{path}/_layout").first()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in StructType.fromJson(json.loads(layout["schema"])).fields)
+    name = f"by_position_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (position) SORTED BY (position) "
+              f"INTO {layout['buckets']} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def write_volume_set(df: DataFrame, path: str, apix: float, comment: str = VOLUME_SET_COMMENT) -> None:
     """Replace the volume set at ``path``; pixel size and comment go on every row."""
     require_columns(df, VOLUMES)

@@ -1,5 +1,7 @@
 """Small hand-written tables, one per rule of behaviour."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from latentspark.functions import scalars
 from latentspark.operators import particles as sets
 from latentspark.operators import position, rules, runs, voxels
 from latentspark.plans import jobs
+from latentspark.sources import epochs, tables
 
 
 def rows(df):
@@ -284,3 +287,57 @@ def test_unset_parameters_have_the_defaults_of_the_kind(spark):
     assert rules.ignored_settings(table).count() == 0
     assert [r["run_id"] for r in rules.dimension_of_type(table).collect()] == [2]
     assert [r["run_id"] for r in rules.broken_continuation(table).collect()] == [3]
+
+
+def test_bitmap_subset_does_not_shuffle_particles(spark):
+    particles = spark.range(0, 300_000, 1, 4).select(F.col("id").alias("position"), F.lit("image").alias("image"))
+    rng = random.Random(1)
+    wanted = {rng.randrange(400_000) for _ in range(5000)} | {0, 7, 8, 63, 64, 32_767, 32_768, 65_535, 65_536, 299_999}
+    listed = spark.createDataFrame([(p,) for p in [*wanted, *list(wanted)[:100], -1, -32_768, None, 10**15]], "position bigint")
+    for limit in (sets.BROADCAST_BYTES, 3 * sets.BITMAP_ROW_BYTES, 1):
+        out = sets.subset(particles, listed, limit)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "SinglePartition" not in plan
+        assert sorted(r.position for r in out.collect()) == sorted(p for p in wanted if p < 300_000)
+        assert out.columns == ["position", "image"]
+    stats = sets.bitmap_stats(sets.position_bitmap(listed)).first()
+    assert stats.positions == len(wanted) + 1
+    assert tuple(sets.bitmap_stats(sets.position_bitmap(listed.limit(0))).first()) == (0, None)
+
+
+def test_stored_latents_join_without_exchange(spark, tmp_path):
+    particles = spark.range(2000).select(F.col("id").alias("position"), F.lit("p").alias("file"))
+    latents = spark.range(500, 3000).select(F.col("id").alias("position"), F.array(F.col("id") * 1.0).alias("z"))
+    tables.write_by_position(particles, str(tmp_path / "p"), 4)
+    tables.write_by_position(latents, str(tmp_path / "z"), 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = sets.attach_latents(tables.read_by_position(spark, str(tmp_path / "p")), tables.read_by_position(spark, str(tmp_path / "z")))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        assert sorted((r.position, r.z) for r in out.collect()) == [(i, [float(i)]) for i in range(500, 2000)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_only_the_latest_epoch_is_read(spark, tmp_path):
+    latents = spark.sql("SELECT r AS run_id, e AS epoch, p AS position, array(e * 1D) AS z FROM (SELECT explode(sequence(1L, 2L)) AS r), "
+                        "(SELECT explode(array(0, 1, 2, 9, 10, NULL)) AS e), (SELECT explode(sequence(0L, 4L)) AS p)")
+    epochs.write_epoch_latents(latents, str(tmp_path / "z"))
+    rows = [(1, "weights", 9), (1, "weights", 2), (1, "z", 9), (1, "z", 10), (1, "z", None), (2, "weights", 1), (2, "z", 1), (3, "weights", 0)]
+    artifacts = spark.createDataFrame(rows, "run_id bigint, artifact string, epoch int")
+    table = epochs.read_epoch_latents(spark, str(tmp_path / "z"))
+    last = epochs.epoch_latents(table, artifacts)
+    assert "dynamicpruningexpression" in last._jdf.queryExecution().executedPlan().toString()
+    found = last.withColumn("file", F.input_file_name()).collect()
+    assert sorted((r.run_id, r.epoch, r.position) for r in found) == [(r, e, p) for r, e in ((1, 9), (2, 1)) for p in range(5)]
+    scan = [n for n in last._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in n or "Scan parquet" in n]
+    assert any("dynamicpruning" in n for n in scan)
+    chosen = epochs.epoch_latents(table, artifacts, "selection", 2).collect()
+    assert {(r.run_id, r.epoch) for r in chosen} == {(2, 1)}
+    final = epochs.epoch_latents(table, artifacts, "final")
+    assert {(r.run_id, r.epoch) for r in final.collect()} == {(1, None)}
+    assert "isnull(epoch" in final._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        epochs.epoch_latents(table, artifacts, "first")
