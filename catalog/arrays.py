@@ -144,3 +144,28 @@ def volume_pca_distances(spark, sf):
     apart = F.sqrt(F.sum((F.col("a") - F.col("b")) * (F.col("a") - F.col("b"))))
     return a.join(b, "component").filter("first < second").groupBy("first", "second").agg(
         r6(apart).alias("dist"))
+
+
+@query("volume_pca_norms", f"""{VOLUMES}, {VOXELS_SQL}, c AS (
+        SELECT vol_id, v - avg(v) OVER (PARTITION BY z, y, x) AS v FROM voxels)
+    SELECT vol_id, round(sum(v * v), 5) + 0.0 AS squares FROM c GROUP BY vol_id""")
+def volume_pca_norms(spark, sf):
+    """Over as many components as voxels, a volume's scores keep its squared distance from the mean."""
+    slabs = voxels.volume_slabs(view(spark, sf, "volumes"), 16)
+    return voxels.slab_pca(slabs, None, 64).groupBy("vol_id").agg(
+        (F.round(F.sum(F.col("score") * F.col("score")), 5) + F.lit(0.0)).alias("squares"))
+
+
+@query("slab_mask", f"""{VOLUMES}, {VOXELS_SQL}, {LIMITS_SQL}
+    SELECT DISTINCT z, y, x FROM voxels JOIN limits USING (vol_id) WHERE v >= threshold""")
+def slab_mask(spark, sf):
+    """The automatic mask from volume arrays, without a row per voxel and volume."""
+    return voxels.slab_coordinates(voxels.slab_mask(view(spark, sf, "volumes"), 0.0, 16), 4, 16)
+
+
+@query("dilate_mask_far", f"""{VOLUMES}, {VOXELS_SQL}, mask AS (SELECT DISTINCT z, y, x FROM voxels WHERE v >= 0.49),
+    all_places AS (SELECT DISTINCT z, y, x FROM voxels)
+    SELECT DISTINCT p.z, p.y, p.x FROM all_places p JOIN mask m
+      ON (p.z - m.z) * (p.z - m.z) + (p.y - m.y) * (p.y - m.y) + (p.x - m.x) * (p.x - m.x) <= 9""")
+def dilate_mask_far(spark, sf):
+    return voxels.dilate_mask(voxels.threshold_mask(_voxels(spark, sf), 0.49), 3, 4)

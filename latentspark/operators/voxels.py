@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +13,7 @@ from latentspark.session import broadcast_if_small, cut_lineage
 AUTO_THRESHOLD_BELOW = 0.001
 
 VOXEL = ["z", "y", "x"]
+SLAB_VOXELS = 1 << 14
 
 
 def volumes_to_voxels(df: DataFrame, box: int, column: str = "volume") -> DataFrame:
@@ -49,39 +48,70 @@ def threshold_mask(voxels: DataFrame, threshold: float = 0.0) -> DataFrame:
     return dense.select(*VOXEL).distinct()
 
 
-def _moved(mask: DataFrame, reach: int, box: int) -> DataFrame:
-    """Coordinates within ``reach`` of the mask's, inside the box; with repeats."""
-    steps = F.sequence(F.lit(-reach), F.lit(reach))
-    shifted = (
-        mask.select(*VOXEL, F.explode(steps).alias("dz"))
-        .select("*", F.explode(steps).alias("dy"))
-        .filter(F.expr(f"dz * dz + dy * dy <= {reach * reach}"))
-        .select("*", F.explode(steps).alias("dx"))
-        .filter(F.expr(f"dz * dz + dy * dy + dx * dx <= {reach * reach}"))
-        .select(*[(F.col(c) + F.col(f"d{c}")).cast("int").alias(c) for c in VOXEL])
-    )
-    return shifted.filter(F.expr(" AND ".join(f"{c} BETWEEN 0 AND {box - 1}" for c in VOXEL)))
+def _nearest_squares(f: np.ndarray) -> np.ndarray:
+    """``min over p of f[p] + (q - p)^2`` along the last axis, by the lower envelope of the parabolas.
 
-
-def mask_surface(mask: DataFrame, box: int) -> DataFrame:
-    """Mask voxels with at least one face neighbour that is inside the box but not in the mask."""
-    touched = _moved(mask, 1, box).groupBy(*VOXEL).agg(F.count("*").alias("seen"))
-    inside = sum((F.when(F.col(c) > 0, 1).otherwise(0) + F.when(F.col(c) < box - 1, 1).otherwise(0)
-                  for c in VOXEL), F.lit(1))
-    whole = touched.filter(F.col("seen") == inside)
-    return mask.join(whole.select(*VOXEL), VOXEL, "left_anti")
+    Every row is one line; ``inf`` is a place without a parabola. The work grows with the length of the lines only.
+    """
+    lines, n = f.shape
+    at = np.zeros((lines, n), np.int64)          # places of the parabolas of the envelope so far
+    start = np.full((lines, n + 1), np.inf)      # from where each is the lowest
+    last = np.full(lines, -1)
+    rows = np.arange(lines)
+    for q in range(n):
+        todo = rows[np.isfinite(f[:, q])]
+        while len(todo):
+            empty = last[todo] < 0
+            p = at[todo, np.maximum(last[todo], 0)]
+            with np.errstate(invalid="ignore", divide="ignore"):
+                cross = np.where(empty, -np.inf, (f[todo, q] + q * q - f[todo, p] - p * p) / (2.0 * (q - p)))
+            keeps = empty | (cross > start[todo, np.maximum(last[todo], 0)])
+            done, under = todo[keeps], todo[~keeps]
+            last[done] += 1
+            at[done, last[done]] = q
+            start[done, last[done]] = cross[keeps]
+            start[done, last[done] + 1] = np.inf
+            last[under] -= 1  # the one before lies above the new one everywhere
+            todo = under
+    out, k, some = np.full((lines, n), np.inf), np.zeros(lines, np.int64), rows[last >= 0]
+    for q in range(n):
+        while len(move := some[start[some, k[some] + 1] < q]):
+            k[move] += 1
+        p = at[some, k[some]]
+        out[some, q] = (q - p) ** 2 + f[some, p]
+    return out
 
 
 def dilate_mask(mask: DataFrame, n: int, box: int) -> DataFrame:
     """Mask grown by a ball of radius ``n``.
 
-    The nearest mask voxel of any outside point lies on the surface, so only
-    surface voxels are spread out.
+    The squared distance to the nearest mask voxel is found axis by axis, as lower envelopes of parabolas: in a task
+    per plane along x and y, then, after one shuffle of lines, along z. The work does not grow with the ball. A plane
+    has ``box * box`` numbers.
     """
     if n <= 0:
         return mask.distinct()
-    mask = mask.select(*VOXEL).distinct()
-    return mask.unionByName(_moved(mask_surface(mask, box), n, box)).distinct()
+
+    def plane(key, rows):
+        near = np.full((box, box), np.inf)
+        near[rows.column("y").to_numpy(), rows.column("x").to_numpy()] = 0.0
+        near = _nearest_squares(_nearest_squares(near).T).T
+        # Lines of a plane that are too far for any z are left out.
+        kept = np.flatnonzero((near <= n * n).any(axis=1))
+        return pa.table({"z": pa.array([key[0].as_py()] * len(kept), pa.int32()), "y": pa.array(kept, pa.int32()),
+                         "near": pa.array(list(near[kept]), pa.list_(pa.float64()))})
+
+    def column(key, rows):
+        near = np.full((box, box), np.inf)
+        if rows.num_rows:
+            near[rows.column("z").to_numpy()] = np.array(rows.column("near").to_pylist())
+        x, z = np.nonzero(_nearest_squares(near.T) <= n * n)
+        return pa.table({"z": pa.array(z, pa.int32()), "y": pa.array([key[0].as_py()] * len(z), pa.int32()), "x": pa.array(x, pa.int32())})
+
+    coordinates = mask.select(*[F.col(c).cast("int").alias(c) for c in VOXEL]).filter(
+        F.expr(" AND ".join(f"{c} BETWEEN 0 AND {box - 1}" for c in VOXEL))).distinct()
+    lines = coordinates.groupBy("z").applyInArrow(plane, "z int, y int, near array<double>")
+    return lines.groupBy("y").applyInArrow(column, "z int, y int, x int")
 
 
 def apply_mask(voxels: DataFrame, mask: DataFrame) -> DataFrame:
@@ -90,43 +120,149 @@ def apply_mask(voxels: DataFrame, mask: DataFrame) -> DataFrame:
     return voxels.join(kept, VOXEL, "left_semi")
 
 
-def volume_pca(voxels: DataFrame, mask: DataFrame | None = None, dim: int = 20) -> DataFrame:
-    """Scores of each volume on the top components, ``(vol_id, component, score, explained)``.
+def volume_slabs(volumes: DataFrame, voxels: int = SLAB_VOXELS, column: str = "volume") -> DataFrame:
+    """``vol_id, slab, values``: row-major volume arrays cut into runs of ``voxels`` values.
 
-    The largest singular values of the voxels-by-volumes matrix are found by products
-    that stay on the executors; the driver holds ``dim`` vectors of one number per
-    volume. A voxel missing from a volume counts as 0. Components beyond the rank of
-    the data have score 0.
+    A task holds one slab of all volumes, so ``voxels`` times their number should stay at a few million.
     """
+    count = F.ceil(F.size(column) / F.lit(voxels)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice(F.col(column), i * voxels + 1, F.lit(voxels)))
+    return volumes.filter(F.size(column) > 0).select(
+        F.col("vol_id").cast("int").alias("vol_id"), F.posexplode(cut).alias("slab", "values"))
+
+
+def slab_threshold(volumes: DataFrame, threshold: float = 0.0, column: str = "volume") -> DataFrame:
+    """``vol_id, threshold`` from volume arrays: no row per voxel."""
+    value = F.array_max(F.filter(column, lambda v: v.isNotNull())) / 2.0 if threshold < AUTO_THRESHOLD_BELOW else F.lit(float(threshold))
+    return volumes.select("vol_id", value.cast("double").alias("threshold"))
+
+
+def slab_mask(volumes: DataFrame, threshold: float = 0.0, voxels: int = SLAB_VOXELS, column: str = "volume") -> DataFrame:
+    """``slab, kept``: for every voxel of a slab whether any volume is at or above its threshold there."""
+    limits = slab_threshold(volumes, threshold, column).select(F.col("vol_id").cast("int").alias("vol_id"), "threshold")
+    marked = volumes.join(limits, "vol_id").withColumn(column, F.transform(column, lambda v: v >= F.col("threshold")))
+    slabs = volume_slabs(marked, voxels, column)
+
+    def union(key, rows):
+        marks = [np.asarray(v.values.fill_null(False)) for v in rows.column("values")]
+        kept = np.zeros(max(map(len, marks)), bool)
+        for m in marks:
+            kept[:len(m)] |= m
+        return pa.table({"slab": pa.array([key[0].as_py()], pa.int32()), "kept": pa.array([kept], pa.list_(pa.bool_()))})
+
+    return slabs.groupBy("slab").applyInArrow(union, "slab int, kept array<boolean>")
+
+
+def mask_slabs(mask: DataFrame, box: int, voxels: int = SLAB_VOXELS) -> DataFrame:
+    """Coordinates as ``slab, kept``, the form of ``slab_mask``; slabs without a voxel are missing."""
+    place = (F.col("z") * box + F.col("y")).cast("bigint") * box + F.col("x")
+    at = mask.select(F.floor(place / F.lit(voxels)).cast("int").alias("slab"), (place % voxels).cast("int").alias("at"))
+    listed = at.distinct().groupBy("slab").agg(F.collect_list("at").alias("at"))
+    size = F.least(F.lit(voxels), F.lit(box ** 3) - F.col("slab") * voxels).cast("int")
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for at, size in zip(batch.column("at").to_pylist(), batch.column("size").to_pylist()):
+                kept = np.zeros(size, bool)
+                kept[at] = True
+                rows.append(kept)
+            yield pa.RecordBatch.from_pydict({"slab": batch.column("slab"), "kept": pa.array(rows, pa.list_(pa.bool_()))})
+
+    return listed.select("slab", "at", size.alias("size")).mapInArrow(run, "slab int, kept array<boolean>")
+
+
+def slab_coordinates(mask: DataFrame, box: int, voxels: int = SLAB_VOXELS) -> DataFrame:
+    """Coordinates ``z, y, x`` of a slab mask."""
+    rows = mask.select("slab", F.posexplode("kept").alias("at", "on")).filter("on")
+    place = F.col("slab").cast("bigint") * voxels + F.col("at")
+    return rows.select(F.floor(place / F.lit(box * box)).cast("int").alias("z"),
+                       (F.floor(place / F.lit(box)) % box).cast("int").alias("y"), (place % box).cast("int").alias("x"))
+
+
+def _stacked(rows: pa.Table, ids: np.ndarray) -> np.ndarray:
+    """Volumes by voxels of one slab, less each voxel's mean; what is missing counts as 0."""
+    parts = [np.nan_to_num(np.asarray(v.values.fill_null(0.0), float)) for v in rows.column("values")]
+    out = np.zeros((len(ids), max(map(len, parts))))
+    for at, values in zip(np.searchsorted(ids, rows.column("vol_id").to_numpy()), parts):
+        out[at, :len(values)] = values
+    return out - out.mean(axis=0)
+
+
+def slab_pca(slabs: DataFrame, mask: DataFrame | None = None, dim: int = 20, *, extra: int = 44, rounds: int = 30,
+             tolerance: float = 1e-11, seed: int = 1) -> DataFrame:
+    """Scores of each volume on the top components, ``(vol_id, component, score, explained)``, from slabs.
+
+    Randomised subspace iteration. A task holds a slab of all volumes; a round multiplies it with the ``dim + extra``
+    directions at hand, which the driver keeps as one row of numbers per volume, and sums over slabs by volume. The
+    first directions come from products with random numbers that every slab makes for itself. Rounds end when the
+    sums of squares of the wanted components change by less than ``tolerance`` of the whole. Slabs are
+    written once; no row is made per voxel. Components beyond the rank of the data have score 0.
+    """
+    spark = slabs.sparkSession
     if mask is not None:
-        voxels = apply_mask(voxels, mask)
-    ids = [r["vol_id"] for r in voxels.select("vol_id").distinct().orderBy("vol_id").collect()]
-    spark = voxels.sparkSession
+        kept = broadcast_if_small(mask)
+        slabs = slabs.join(kept, "slab").select("vol_id", "slab", F.transform(F.filter(
+            F.arrays_zip("values", "kept"), lambda x: x["kept"]), lambda x: x["values"]).alias("values")).filter(F.size("values") > 0)
+    slabs = cut_lineage(slabs.select(F.col("vol_id").cast("int"), F.col("slab").cast("int"), F.col("values").cast("array<double>")).repartition("slab"))
+    ids = np.array([r["vol_id"] for r in slabs.select("vol_id").distinct().orderBy("vol_id").collect()], np.int64)
     if len(ids) < 2:
         return spark.createDataFrame([], "vol_id int, component int, score double, explained double")
-    # One row per voxel holding its value in every volume, less their mean.
-    by_volume = F.sort_array(F.collect_list(F.struct("vol_id", "v")))
-    found = F.map_from_entries("m")
-    filled = F.when(F.size("m") == len(ids), F.col("m.v")).otherwise(F.transform(
-        F.lit(ids).cast("array<int>"), lambda i: F.coalesce(F.try_element_at(found, i), F.lit(0.0))))
-    centred = cut_lineage(
-        voxels.select(*VOXEL, F.col("vol_id").cast("int").alias("vol_id"), F.col("v").cast("double"))
-        .groupBy(*VOXEL).agg(by_volume.alias("m"), (F.sum("v") / len(ids)).alias("mean"))
-        .select(F.transform(filled, lambda x: x - F.col("mean")).alias("f"))
-    )
-    squares = F.aggregate("f", F.lit(0.0), lambda total, x: total + x * x)
-    total = centred.agg(F.sum(squares)).first()[0] or 0.0
-    k = min(dim, len(ids))
-    values, vectors = np.zeros(k), np.zeros((len(ids), k))
-    if total > 0.0:
-        rows = MLUtils.convertVectorColumnsFromML(centred.select(array_to_vector("f").alias("f")), "f")
-        found = RowMatrix(rows).computeSVD(k)
-        rank = len(found.s)
-        values[:rank], vectors[:, :rank] = found.s.toArray() ** 2, found.V.toArray()
-    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(k)])
+    width, k = min(len(ids), dim + extra), min(dim, len(ids))
+
+    def products(directions):
+        """Products of all slabs with the directions, one row per volume, and the whole sum of squares."""
+        def one(key, rows):
+            a = _stacked(rows, ids)
+            if directions is None:
+                found = a @ np.random.default_rng([seed, key[0].as_py()]).standard_normal((a.shape[1], width))
+            else:
+                found = a @ (a.T @ directions.value)
+            return pa.table({"row": pa.array(range(len(ids) + 1), pa.int32()),
+                             "v": pa.array([*found, np.full(width, (a * a).sum())], pa.list_(pa.float64()))})
+
+        rows = slabs.groupBy("slab").applyInArrow(one, "row int, v array<double>")
+        # Sums by place; a row has a few dozen numbers.
+        sums = rows.groupBy("row").agg(*[F.sum(F.get("v", F.lit(i))).alias(f"v{i}") for i in range(width)]).orderBy("row").collect()
+        whole = np.array([r[1:] for r in sums], float)
+        return whole[:-1], float(whole[-1, 0])
+
+    found, total = products(None)
+    values, vectors, before = np.zeros(width), np.zeros((len(ids), width)), None
+    for _ in range(rounds if total > 0 else 0):
+        q = np.linalg.qr(found)[0]
+        held = spark.sparkContext.broadcast(q)
+        found, total = products(held)
+        held.unpersist()
+        small = q.T @ found
+        values, turned = np.linalg.eigh((small + small.T) / 2)
+        order = np.argsort(-values)
+        values, vectors = np.maximum(values[order], 0.0), q @ turned[:, order]
+        if before is not None and np.abs(values[:k] - before[:k]).max() <= tolerance * total:
+            break
+        before = values
+    return _scores(spark, ids, values, vectors, total, k)
+
+
+def _scores(spark, ids, values: np.ndarray, vectors: np.ndarray, total: float, k: int) -> DataFrame:
+    vectors, values = vectors[:, :k], values[:k]
+    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])])
     scores = vectors * np.where(signs == 0, 1.0, signs) * np.sqrt(values)
-    total = max(total, 1e-300)
-    return spark.createDataFrame(
-        [(int(v), c, float(scores[i, c]), float(values[c] / total))
-         for i, v in enumerate(ids) for c in range(k)],
-        "vol_id int, component int, score double, explained double")
+    return spark.createDataFrame(pa.table({
+        "vol_id": pa.array(np.repeat(ids, k), pa.int32()), "component": pa.array(np.tile(np.arange(k), len(ids)), pa.int32()),
+        "score": scores.ravel(), "explained": np.tile(values / max(total, 1e-300), len(ids))}))
+
+
+def volume_pca(voxels: DataFrame, mask: DataFrame | None = None, dim: int = 20) -> DataFrame:
+    """The same from voxel rows ``vol_id, z, y, x, v``: rows are gathered into slabs of a plane's line first.
+
+    A voxel missing from a volume counts as 0. Who has volume arrays calls ``volume_slabs`` and ``slab_pca``.
+    """
+    if mask is not None:
+        voxels = apply_mask(voxels, mask)
+    box = (voxels.agg(F.max("x")).first()[0] or 0) + 1
+    line = voxels.groupBy(F.col("vol_id").cast("int").alias("vol_id"), "z", "y").agg(
+        F.collect_list(F.struct(F.col("x").cast("int").alias("x"), F.col("v").cast("double").alias("v"))).alias("m"))
+    found = F.map_from_entries("m")
+    values = F.transform(F.sequence(F.lit(0), F.lit(box - 1)), lambda x: F.coalesce(F.try_element_at(found, x.cast("int")), F.lit(0.0)))
+    return slab_pca(line.select("vol_id", (F.col("z") * 32_768 + F.col("y")).cast("int").alias("slab"), values.alias("values")), None, dim)

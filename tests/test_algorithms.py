@@ -331,6 +331,55 @@ def test_dilation_equals_brute_force(spark, n):
     assert got == want
 
 
+@pytest.mark.parametrize("n", [1, 5, 20])
+def test_dilation_by_distances(spark, n):
+    """The grown ball equals all places within reach, however far it reaches."""
+    box = 24
+    on = np.argwhere(RNG.random((box, box, box)) < 0.0004)
+    df = spark.createDataFrame([tuple(map(int, c)) for c in on] + [(int(on[0][0]), int(on[0][1]), int(on[0][2]))], "z int, y int, x int")
+    places = np.indices((box, box, box)).reshape(3, -1).T
+    near = ((places[:, None] - on[None]) ** 2).sum(-1).min(1)
+    got = [tuple(r) for r in voxels.dilate_mask(df, n, box).collect()]
+    assert len(got) == len(set(got)) and set(got) == set(map(tuple, places[near <= n * n].tolist()))
+    assert voxels.dilate_mask(df.limit(0), n, box).count() == 0
+
+
+def test_lower_envelope():
+    for _ in range(30):
+        f = np.where(RNG.random((5, 17)) < 0.6, np.inf, RNG.integers(0, 200, (5, 17)).astype(float))
+        q = np.arange(17)
+        assert np.array_equal(voxels._nearest_squares(f), (f[:, None, :] + (q[:, None] - q) ** 2).min(-1))
+
+
+def test_slab_pca(spark):
+    """Slabs of uneven length, a mask, missing values; the leading components of a decaying spectrum."""
+    scale = 0.7 ** np.arange(40)
+    data = RNG.normal(size=(40, 40)) * scale @ np.linalg.qr(RNG.normal(size=(64, 40)))[0].T
+    df = spark.createDataFrame([(v, [float(x) for x in row]) for v, row in enumerate(data)], "vol_id int, volume array<double>")
+    kept = RNG.random(64) < 0.7
+    rows = [(i // 16, i // 4 % 4, i % 4) for i in np.flatnonzero(kept).tolist()]
+    mask = voxels.mask_slabs(spark.createDataFrame(rows, "z int, y int, x int"), 4, 27)
+    assert {tuple(r) for r in voxels.slab_coordinates(mask, 4, 27).collect()} == set(rows)
+    for chosen, part in ((None, data), (mask, data[:, kept])):
+        u, s, _ = np.linalg.svd(part - part.mean(axis=0), full_matrices=False)
+        out = voxels.slab_pca(voxels.volume_slabs(df, 27), chosen, 6)
+        plan = voxels.volume_slabs(df, 27)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and out.count() == 240
+        for r in out.collect():
+            axis = u[:, r.component] * np.sign(u[np.abs(u[:, r.component]).argmax(), r.component])
+            assert r.score == pytest.approx(axis[r.vol_id] * s[r.component], abs=1e-5)
+            assert r.explained == pytest.approx(s[r.component] ** 2 / (s ** 2).sum(), abs=1e-9)
+    assert voxels.slab_pca(voxels.volume_slabs(df.limit(1), 27)).count() == 0
+
+
+def test_slab_mask_equals_voxel_mask(spark):
+    df = spark.createDataFrame([(v, [float(x) for x in RNG.normal(size=27)]) for v in range(5)], "vol_id int, volume array<double>")
+    for threshold in (0.0, 0.8):
+        wanted = voxels.threshold_mask(voxels.volumes_to_voxels(df, 3), threshold)
+        found = voxels.slab_coordinates(voxels.slab_mask(df, threshold, 10), 3, 10)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+
+
 def test_volume_pca_with_missing_voxels(spark):
     data = RNG.normal(size=(6, 27))
     data[2, 5] = 0.0
