@@ -24,17 +24,20 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, train: Column, rows: int, max_bytes: int) -> DataFrame:
-    """At most ``rows`` labelled documents as ``text, y``, chosen by hash of the id.
+    """At most ``rows`` labelled documents of at most ``max_bytes`` each as ``text, y, at``, chosen by hash of the id.
 
-    Texts over ``max_bytes`` are left out of the sample (scoring has no such bound). Several
-    labels of one id count by their mean. Null ids, texts and labels teach nothing.
+    So the sample has ``rows * max_bytes`` bytes at most. Longer texts are left out of it (scoring has no such
+    bound). Of documents that share an id one is taken, the first by hash of the text. Several labels of one id
+    count by their mean. Null ids, texts and labels teach nothing.
     """
     wanted = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & train)
               .groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     texts = documents.select("doc_id", "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes))
     # The right side has at most `rows` rows of two numbers.
-    return texts.join(F.broadcast(wanted), "doc_id").select("text", "y", F.xxhash64("doc_id", "text").alias("at"))
+    found = texts.join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "y").agg(
+        F.min(F.struct(F.xxhash64("text").alias("at"), "text")).alias("x"))
+    return found.select("x.text", "y", F.xxhash64("doc_id", "x.at").alias("at"))
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -24,7 +24,7 @@ from latentspark.llm.words import CLASSES, blocks, hash_spans, mix, owners, span
 
 BITS = 20
 SAMPLE_ROWS = 6000
-SAMPLE_BYTES = 200_000
+SAMPLE_BYTES = 32_768
 _REPEAT, _CAPITALS, _PAIR = np.uint64(1), np.uint64(2), np.uint64(0xD6E8FEB86659FD93)
 _UPPER = np.zeros(256, np.uint8)
 _UPPER[ord("A"):ord("Z") + 1] = 1

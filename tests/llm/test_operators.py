@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 
 from latentspark.llm import (byte_bpe, decontaminate, exact_dedup, licenses, line_dedup, quality, simhash, token_files,
                              toxicity, url_filter)
+from latentspark.llm.common import labelled_sample
 from latentspark.llm.queries import ORACLES, QUERIES, byte_bpe_digests
 from latentspark.session import working_dir
 
@@ -158,7 +159,7 @@ def _semi_global(item, text):
     return min(row)
 
 
-def test_leaks(spark):
+def test_leaks(spark, monkeypatch):
     rng = random.Random(4)
     pool = [f"w{i}" for i in range(300)]
     items = [(i, " ".join(rng.choice(pool) for _ in range(rng.randint(12, 40)))) for i in range(12)]
@@ -175,21 +176,24 @@ def test_leaks(spark):
     bench = spark.createDataFrame([*items, (90, None), (91, ""), (None, "!!")], "item_id bigint, text string")
     found = decontaminate.find_leaks(frame(spark, docs + ODD), bench).collect()
     got = {(r.doc_id, r.item_id): r.distance for r in found}
-    assert set(got) <= set(wanted) and len(got) >= 0.95 * len(wanted)
-    assert all(got[k] >= d for k, d in wanted.items() if k in got)
-    assert {k for k, d in wanted.items() if d == 0} <= set(got)
+    assert got == wanted
+    with monkeypatch.context() as patch:
+        patch.setattr(decontaminate, "BLOCK_BYTES", 200)
+        small = decontaminate.find_leaks(frame(spark, docs + ODD), spark.createDataFrame([*items, *items[:3]], "item_id bigint, text string"))
+        assert sorted(map(tuple, small.collect()), key=str) == sorted(map(tuple, found), key=str)
     assert decontaminate.find_leaks(frame(spark, docs), bench.limit(0)).count() == 0
     assert decontaminate.find_leaks(frame(spark, []), bench).count() == 0
 
 
-@pytest.mark.parametrize("m", [4, 9, 10, 60, 100, 200, 400])
-def test_leaks_at_the_largest_distance(m):
-    """Every leak is found, by deletions, insertions, replacements or all of them."""
+@pytest.mark.parametrize("m", [4, 9, 10, 20, 60, 100, 200, 400])
+@pytest.mark.parametrize("pieces", [True, False])
+def test_leaks_at_the_largest_distance(m, pieces):
+    """Every leak is found, by deletions, insertions, replacements or all of them; the samples alone find most."""
     rng, allowed = random.Random(m), m // 5
     items = [np.array([rng.getrandbits(62) for _ in range(m)], np.uint64) for _ in range(3)]
-    index = decontaminate.Index(list(enumerate(items)), decontaminate.EDITS, decontaminate.WALKS,
-                                decontaminate.SAMPLES, decontaminate.BITS)
-    for k in range(40):
+    index = decontaminate.Index(list(enumerate(items)), decontaminate.EDITS, decontaminate.lsh_plan([m]), pieces)
+    hits = [[], [], [], []]
+    for k in range(80):
         words = items[k % 3].tolist()
         places = sorted(rng.sample(range(m), allowed), reverse=True)
         for p in places:
@@ -198,7 +202,8 @@ def test_leaks_at_the_largest_distance(m):
         noise = [rng.getrandbits(62) for _ in range(k % 7)]
         text = np.array(noise + words + noise[:3], np.uint64)
         found = [x for x in index.search(text, np.array([0, len(text)])) if x[4] == k % 3]
-        assert found and min(x[3] for x in found) <= allowed
+        hits[k % 4].append(bool(found) and min(x[3] for x in found) <= allowed)
+    assert all(all(h) if pieces else np.mean(h) >= 0.9 for h in hits), [np.mean(h) for h in hits]
 
 
 def test_licenses(spark):
@@ -291,22 +296,117 @@ def test_url_filter(spark):
     assert url_filter.judge(pages.limit(0), url_filter.RULES, listed.limit(0)).count() == 0
 
 
-def test_counterfactual_penalty():
-    rng = np.random.default_rng(5)
-    group, slur = toxicity.word_hash("muslim"), toxicity.word_hash("idiot")
-    sets, y = [], []
-    for i in range(400):
-        words = set(rng.integers(0, 1 << 60, 20).tolist()) | ({int(slur)} if i % 4 == 0 else set())
-        if i % 4 == 0 and i % 8 or i % 40 == 1:
-            words.add(int(group))
-        sets.append(np.array(sorted(words), np.uint64))
-        y.append(float(i % 4 == 0))
-    weight = {}
-    for penalty in (0.0, 20.0):
-        model = toxicity.fit(sets, np.array(y), swap_penalty=penalty, noise=0.5)
-        weight[penalty] = dict(zip(model.keys.tolist(), model.weights)).get(int(group), 0.0)
-        assert dict(zip(model.keys.tolist(), model.weights))[int(slur)] > 1
-    assert abs(weight[20.0]) <= abs(weight[0.0])
+def _confounded(n=1200):
+    """Toxic by a slur; one group is named in most toxic texts, both in some clean ones."""
+    rng, texts, y = random.Random(5), [], []
+    pool = [f"word{i}" for i in range(300)]
+    for i in range(n):
+        toxic = i % 4 == 0
+        sentences = [" ".join(rng.choices(pool, k=6)) for _ in range(3)]
+        if toxic and rng.random() < 0.8:
+            sentences[1] += " idiot"
+        if rng.random() < (0.7 if toxic else 0.05):
+            sentences[0] = f"the muslim {sentences[0]}"
+        if rng.random() < 0.1:
+            sentences[2] = f"A Christian {sentences[2]}"
+        texts.append(". ".join(sentences) + ".")
+        y.append(int(toxic))
+    return texts, y
+
+
+def test_counterfactual_penalty(spark):
+    """Scores of swapped sentences move together; the ranking stays."""
+    texts, y = _confounded()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame(list(enumerate(y)), "doc_id bigint, toxic int")
+    neutral = [(f"the muslim word{i} word{i + 1}", f"the christian word{i} word{i + 1}") for i in range(100)]
+    gap, auc = {}, {}
+    for penalty in (0.0, toxicity.SWAP_PENALTY):
+        model = toxicity.train(docs, labels, F.lit(True), swap_penalty=penalty)
+        held = spark.sparkContext.broadcast(tuple(model))
+        pairs = spark.createDataFrame(neutral, "a string, b string").select(
+            toxicity.score(F.col("a"), held).alias("a"), toxicity.score(F.col("b"), held).alias("b")).toPandas()
+        gap[penalty] = (pairs.a - pairs.b).abs().mean()
+        scored = docs.select(toxicity.score(F.col("text"), held).alias("s")).toPandas().s
+        hit = np.array(y) == 1
+        auc[penalty] = (scored.rank()[hit].sum() - hit.sum() * (hit.sum() + 1) / 2) / (hit.sum() * (~hit).sum())
+        assert int(toxicity.word_hash("muslim")) in model.keys.tolist()
+    assert gap[0.0] > 0.2 and gap[toxicity.SWAP_PENALTY] < gap[0.0] / 4, gap
+    assert auc[toxicity.SWAP_PENALTY] > auc[0.0] - 0.1 and auc[toxicity.SWAP_PENALTY] > 0.8, auc
+
+
+def test_penalty_changes_the_registered_model(spark):
+    documents, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    made = [toxicity.train(documents, labels, F.lit(True), swap_penalty=p) for p in (0.0, toxicity.SWAP_PENALTY)]
+    named = {int(toxicity.word_hash(w)) for g in toxicity.IDENTITY_TERMS for w in g}
+    assert all(named & set(m.keys.tolist()) for m in made)
+    assert not np.array_equal(made[0].weights, made[1].weights)
+
+
+def test_sentences_that_name_groups():
+    text = "She left. He and the man stayed!\nnothing here? old"
+    data = np.frombuffer(text.encode(), np.uint8)
+    words, named = toxicity.sentences_of(data, np.array([0, len(data)]))[0]
+    h = {w: int(toxicity.word_hash(w)) for w in "she left he and the man stayed nothing here old".split()}
+    assert words.tolist() == sorted(h.values())
+    assert [set(n.tolist()) for n in named] == [{h[w] for w in s.split()} for s in ("she left", "he and the man stayed", "old")]
+
+
+def test_sample_is_one_row_per_id(spark):
+    docs = spark.createDataFrame([(7, f"text {i}") for i in range(3000)] + [(8, "other"), (None, "x"), (9, None), (10, "y" * 500)],
+                                 "doc_id bigint, text string").withColumn("y", F.lit(5))
+    labels = spark.createDataFrame([(7, 1), (7, 1), (7, 0), (8, 0), (9, 1), (10, 1), (None, 1), (11, None)], "doc_id bigint, toxic int")
+    rows = labelled_sample(docs, labels, "toxic", F.lit(True), 10, 400).collect()
+    assert sorted((r.text[:4], r.y) for r in rows) == [("othe", 0), ("text", 1)]
+
+
+@pytest.mark.parametrize("name,modulus,value,label", [("op4_toxicity", 4, 2, "toxic"), ("op7_quality", 5, 0, "quality")])
+def test_score_contract(spark, name, modulus, value, label, tmp_path):
+    """Folds by crc32, the threshold, and scores that do not follow held-out labels."""
+    rows = QUERIES[name](spark, SF_DIR).collect()
+    documents = duckdb.connect().execute(f"SELECT doc_id FROM '{SF_DIR}/documents.parquet'").fetchall()
+    assert sorted(r.doc_id for r in rows) == sorted(i for i, in documents)
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % modulus == value)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+    for t in ("documents", "labels"):
+        df = spark.read.parquet(f"{SF_DIR}/{t}.parquet")
+        if t == "labels":
+            held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == value
+            df = df.withColumn(label, F.when(held, 1 - F.col(label)).otherwise(F.col(label)))
+        df.write.parquet(f"{tmp_path}/{t}.parquet")
+    assert {(r.doc_id, r.score) for r in QUERIES[name](spark, str(tmp_path)).collect()} == {(r.doc_id, r.score) for r in rows}
+
+
+def test_features_and_leader_by_hand():
+    """Shares of words and pairs, and one FTRL step after the other, computed plainly."""
+    data = np.frombuffer(b"The the cat CAT sat", np.uint8)
+    where, buckets, words = quality.features(data, np.array([0, len(data)]), 20)
+    # Five words, four pairs (two of them repeats) and one word in capitals.
+    assert len(buckets) == 10 and words.tolist() == [5] and len(set(buckets.tolist())) == 7
+    rng = np.random.default_rng(0)
+    rows = [(np.array([i % 5, 5 + i % 3]), rng.random(2), int(i % 5 == 0)) for i in range(40)]
+    model = quality.follow_leader(rows, 3, passes=2)
+    z, n, bz, bn, bias = [0.0] * 8, [0.0] * 8, 0.0, 0.0, 0.0
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= 0.005 else -(z[i] - np.sign(z[i]) * 0.005) / ((1.0 + n[i] ** 0.5) / 2.0 + 0.01)
+
+    order, positive = np.random.default_rng(7), sum(y for *_, y in rows)
+    for _ in range(2):
+        for k in order.permutation(len(rows)):
+            at, x, y = rows[k]
+            w = [weight(i) for i in at]
+            p = 1 / (1 + np.exp(-(sum(a * b for a, b in zip(w, x)) + bias)))
+            error = (p - y) * (len(rows) / (2 * positive) if y else len(rows) / (2 * (len(rows) - positive)))
+            for i, v, own in zip(at, x, w):
+                g = error * v
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / 2.0 * own
+                n[i] += g * g
+            bz += error - ((bn + error * error) ** 0.5 - bn ** 0.5) / 2.0 * bias
+            bn += error * error
+            bias = -bz / ((1.0 + bn ** 0.5) / 2.0 + 0.01)
+    assert np.allclose(model.weights, [weight(i) for i in range(8)], atol=1e-6) and np.isclose(model.bias, bias)
 
 
 @pytest.mark.parametrize("module,label,least", [(toxicity, "toxic", 0.85), (quality, "quality", 0.97)])
