@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.fixtures import CENTRES_CTE, ctes, label_centres, particles, table, view
 from catalog.registry import query, r6, sql6
 from latentspark.functions import vectors
-from latentspark.operators import centres, components, density, hierarchy, neighbours, traversal
+from latentspark.operators import centres, components, density, hierarchy, neighbours, runs, traversal
 from latentspark.operators import landscape as states_of
 from latentspark.operators import particles as sets
 from latentspark.operators import position as order
 from latentspark.plans import jobs
-from latentspark.session import cut_lineage
+from latentspark.session import cut_lineage, working_dir
+from latentspark.sources import epochs
 
 LATENTS = ctes("latents")
 CENTRED = f"{LATENTS}, {CENTRES_CTE}"
@@ -545,3 +548,29 @@ def landscape_from_volumes(spark, sf):
 def analyze(spark, sf):
     found = jobs.analyze(view(spark, sf, "latents"), 64, epoch=19, k=10)
     return found.volumes.select("vol_id", "file", F.size("z").alias("zdim"))
+
+
+_LAST_OF_2 = """e AS (SELECT max(epoch) AS epoch FROM run_artifacts WHERE artifact = 'weights' AND run_id = 2)"""
+
+
+@query("analyze_run", f"""{ctes('run_artifacts')}, {_LAST_OF_2}
+    SELECT vol_id, concat('analyze.', epoch, '/kmeans5/vol_00', vol_id, '.mrc') AS file, 3e0 AS apix, 'k-means volumes' AS comment,
+           CAST(2 AS INT) AS zdim, TRUE AS paired, CAST(7 AS BIGINT) AS child, (SELECT max(o_custkey) FROM orders) AS parent, 'source' AS kind
+    FROM e, (SELECT CAST(unnest(range(5)) AS INT) AS vol_id) v""")
+def analyze_run(spark, sf):
+    """Rules, the last epoch's latents, z text paired with volumes, a published set and a lineage that is told twice."""
+    path = f"{working_dir(spark)}/catalog-{uuid.uuid4().hex}"
+    epochs.write_epoch_latents(view(spark, sf, "run_latents"), f"{path}/z")
+    table_of_runs = table(spark, sf, "orders").agg(F.max("o_custkey").alias("input_set")).selectExpr(
+        "2L AS run_id", "'train' AS kind", "CAST(NULL AS STRING) AS abinitio_type", "FALSE AS do_continue", "CAST(NULL AS BIGINT) AS continue_run",
+        "input_set", "2 AS zdim", "20 AS num_epochs", "128 AS box", "1.5D AS apix", "TRUE AS do_downsample", "64 AS vol_box",
+        "FALSE AS do_landscape", "TRUE AS auto_mask", "CAST(NULL AS INT) AS mask_box", "'last' AS epoch_choice", "1 AS epoch_number")
+    found = spark.range(5).select(F.lit(2).cast("bigint").alias("run_id"), F.col("id").cast("int").alias("vol_id"))
+    log = runs.lineage_log(spark, f"{path}/lineage")
+    for _ in range(2):
+        done = jobs.analyze_run(table_of_runs, 2, view(spark, sf, "run_artifacts"), epochs.read_epoch_latents(spark, f"{path}/z"), found,
+                                f"{path}/out", k=5, set_id=7, lineage=log)
+    points = done.analysis.volumes.select(F.col("vol_id").alias("own"), F.col("z").alias("own_z"))
+    rows = done.volumes.join(points, F.col("vol_id") == F.col("own")).select(
+        "vol_id", "file", "apix", "comment", F.size("z").alias("zdim"), (F.col("z") == F.col("own_z")).alias("paired"))
+    return rows.crossJoin(F.broadcast(log.read().limit(2)))

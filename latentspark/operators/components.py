@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from latentspark.functions.vectors import dot, literal_vector
 from latentspark.operators.centres import centre_particles, kmeans
-from latentspark.operators.density import quantiles
+from latentspark.operators.density import quantiles, quantiles_of
 from latentspark.session import broadcast_if_small
 
 
@@ -69,9 +69,9 @@ def pc_traversal(
     projected = project(latents, model)
     mean = np.array(model.mean)
     rows = []
+    found = quantiles_of(projected, [f"pc{i}" for i in range(len(model.axes))], qs)
     for i, axis in enumerate(model.axes):
-        ends = quantiles(projected, f"pc{i}", qs)
-        for step, t in enumerate(equal_steps(*ends, n)):
+        for step, t in enumerate(equal_steps(*found[f"pc{i}"], n)):
             z = mean + t * np.array(axis)
             rows.append((len(rows), i, step, float(t), [float(v) for v in z]))
     return _with_nearest(latents, rows)

@@ -87,6 +87,70 @@ def _values_at(
     return found
 
 
+def quantiles_of(
+    df: DataFrame, columns: Sequence[str], qs: Sequence[float], *, sort_rows: int = SORT_ROWS, accuracy: int = 10_000
+) -> dict[str, list[float]]:
+    """Exact quantiles of several columns in two passes, however many columns there are.
+
+    The first pass keeps a mergeable rank summary of every column, which brackets each wanted rank within a stated
+    number of ranks. The second counts what lies below each bracket and the values inside it; the value of the
+    rank follows. Small inputs are sorted in one pass. NULL, NaN and infinities are treated as in ``quantiles``.
+    """
+    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    finite = {i: F.when(~F.isnan(f"c{i}") & (F.abs(f"c{i}") != float("inf")), F.col(f"c{i}")) for i in range(len(columns))}
+    margin = 2.0 / accuracy
+    asked = sorted({min(1.0, max(0.0, q + d)) for q in qs for d in (-margin, margin)} | {0.0, 1.0})
+    first = values.agg(*[x for i in range(len(columns)) for x in (
+        F.count(f"c{i}").alias(f"n{i}"), F.count_if(F.col(f"c{i}") == float("-inf")).alias(f"low{i}"), F.count(finite[i]).alias(f"finite{i}"),
+        F.count_if(F.col(f"c{i}") == float("inf")).alias(f"high{i}"),
+        F.percentile_approx(finite[i], F.array(*map(F.lit, asked)), F.lit(accuracy)).alias(f"at{i}"),
+        F.min(finite[i]).alias(f"min{i}"), F.max(finite[i]).alias(f"max{i}"))]).first()
+    if max(first[f"n{i}"] for i in range(len(columns))) <= sort_rows:
+        wanted = F.array(*[F.lit(float(q)) for q in qs])
+        row = values.agg(*[F.percentile(f"c{i}", wanted).alias(f"q{i}") for i in range(len(columns))]).first()
+        return {c: list(row[f"q{i}"] or []) for i, c in enumerate(columns)}
+    # Brackets (column, rank among the finite values, low, high).
+    brackets, places = [], {}
+    for i, c in enumerate(columns):
+        n, below, inner = first[f"n{i}"], first[f"low{i}"], first[f"finite{i}"]
+        places[c] = [q * (n - 1) for q in qs] if n else []
+        for rank in sorted({r - below for p in places[c] for r in (math.floor(p), math.ceil(p)) if below <= r < below + inner}):
+            share = rank / max(1, inner - 1)
+            low = max((v for q, v in zip(asked, first[f"at{i}"]) if q <= share - margin / 2), default=first[f"min{i}"])
+            high = min((v for q, v in zip(asked, first[f"at{i}"]) if q >= share + margin / 2), default=first[f"max{i}"])
+            brackets.append((i, rank, low, high))
+    found = _inside(values, brackets)
+    if any((i, rank) not in found for i, rank, _, _ in brackets):  # a summary worse than it states
+        return {c: quantiles(df, c, qs, sort_rows=sort_rows) for c in columns}
+    result = {}
+    for i, c in enumerate(columns):
+        below, inner, above = first[f"low{i}"], first[f"finite{i}"], first[f"high{i}"]
+
+        def at(r: int) -> float:
+            return -math.inf if r < below else found[i, r - below] if r < below + inner else math.inf if r < below + inner + above else math.nan
+
+        result[c] = []
+        for p in places[c]:
+            a, b, share = at(math.floor(p)), at(math.ceil(p)), p - math.floor(p)
+            result[c].append(a if share == 0 or a == b else (1 - share) * a + share * b)
+    return result
+
+
+def _inside(values: DataFrame, brackets: Sequence[tuple[int, int, float, float]]) -> dict[tuple[int, int], float]:
+    """Values at the ranks of ``(column, rank, low, high)``, from one pass over the rows."""
+    if not brackets:
+        return {}
+    hits = [F.when(F.col(f"c{i}") < low, F.struct(F.lit(k).alias("k"), F.lit(None).cast("double").alias("v"))).when(
+        F.col(f"c{i}").between(low, high), F.struct(F.lit(k).alias("k"), F.col(f"c{i}").alias("v")))
+        for k, (i, _, low, high) in enumerate(brackets)]
+    rows = values.select(F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("x")).groupBy("x.k", "x.v").agg(F.count("*").alias("n"))
+    # What lies below a bracket is one row, with no value, which comes first.
+    upto = Window.partitionBy("k").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    rank = F.element_at(F.array(*[F.lit(r).cast("bigint") for _, r, _, _ in brackets]), F.col("k") + 1)
+    placed = rows.withColumn("upto", F.sum("n").over(upto)).where((F.col("upto") - F.col("n") <= rank) & (F.col("upto") > rank) & F.col("v").isNotNull())
+    return {(brackets[r["k"]][0], brackets[r["k"]][1]): r["v"] for r in placed.select("k", "v").collect()}
+
+
 def latent_distribution(
     latents: DataFrame, qs: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0), **options
 ) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latentspark.functions.scalars import clamp
+from latentspark.schemas import LINEAGE
 from latentspark.session import cut_lineage, has_rows
+from latentspark.sources.log import TableLog
 
 # Defaults of the run parameters, by kind of run.
 DEFAULTS = {
@@ -144,6 +146,17 @@ def record_lineage(lineage: DataFrame, edges: DataFrame) -> DataFrame:
     return lineage.unionByName(edges.select("child", "parent", checked.alias("kind")))
 
 
+def lineage_log(spark: SparkSession, path: str) -> TableLog:
+    """The stored lineage: edges ``child, parent, kind`` that jobs append."""
+    return TableLog(spark, path, LINEAGE)
+
+
+def store_lineage(log: TableLog, edges: DataFrame, key: str) -> bool:
+    """Append checked edges; a job that runs again under its key adds nothing."""
+    empty = log.spark.createDataFrame([], LINEAGE)
+    return log.append(record_lineage(empty, edges), key)
+
+
 def ancestors(lineage: DataFrame, of: DataFrame | None = None, *, every: bool = False) -> DataFrame:
     """All data sets a set derives from, with the shortest number of edges.
 

@@ -7,9 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from latentspark.schemas import LATENTS, VOLUMES, require_columns
+from latentspark.sources.log import TableLog
 
 VOLUME_SET_COMMENT = "k-means volumes"
 
@@ -45,15 +46,21 @@ def read_by_position(spark: SparkSession, path: str) -> DataFrame:
     return spark.table(name)
 
 
-def write_volume_set(df: DataFrame, path: str, apix: float, comment: str = VOLUME_SET_COMMENT) -> None:
-    """Replace the volume set at ``path``; pixel size and comment go on every row."""
+VOLUME_SET = StructType(VOLUMES.fields + [StructField("apix", DoubleType()), StructField("comment", StringType())])
+
+
+def write_volume_set(df: DataFrame, path: str, apix: float, comment: str = VOLUME_SET_COMMENT, *, key: str | None = None) -> None:
+    """Replace the volume set at ``path`` by one commit; pixel size and comment go on every row.
+
+    Readers see the old set or the new one. With a ``key`` the same write done again changes nothing.
+    """
     require_columns(df, VOLUMES)
-    df.select("vol_id", "file", "z", F.lit(float(apix)).alias("apix"), F.lit(comment).alias("comment")
-              ).write.mode("overwrite").parquet(path)
+    rows = df.select("vol_id", "file", "z", F.lit(float(apix)).alias("apix"), F.lit(comment).alias("comment"))
+    TableLog(df.sparkSession, path, VOLUME_SET).replace(rows, key or uuid.uuid4().hex)
 
 
 def read_volume_set(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return TableLog(spark, path, VOLUME_SET).read()
 
 
 def write_state_lists(particle_states: DataFrame, path: str) -> None:

@@ -14,6 +14,10 @@ from latentspark.plans import jobs
 RNG = np.random.default_rng(5)
 
 
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
 def table(spark, matrix):
     rows = [(i, [float(v) for v in row]) for i, row in enumerate(matrix)]
     return spark.createDataFrame(rows, "position bigint, z array<double>")
@@ -462,3 +466,29 @@ def test_quantiles_of_odd_values_are_alike_at_every_size(spark, odd):
     qs = [0.0, 0.25, 0.5, 0.75, 1.0]
     small, large = density.quantiles(df, "v", qs), density.quantiles(df, "v", qs, sort_rows=20)
     assert large == pytest.approx(small, nan_ok=True)
+
+
+@pytest.mark.parametrize("linkage, block_bytes", [("average", 1 << 20), ("ward", 100)])
+def test_cluster_tree_in_tables(spark, linkage, block_bytes, monkeypatch):
+    """State in tables gives the merges and states that the state at the driver gives."""
+    x = RNG.normal(size=(8, 2))
+    points = spark.createDataFrame([(3 * i + 1, [float(v) for v in row]) for i, row in enumerate(x)], "centre_id int, z array<double>")
+    local, states = hierarchy.merge_tree(points, linkage).collect(), rows(hierarchy.agglomerate(points, linkage, 4))
+    monkeypatch.setattr(hierarchy, "LOCAL_POINTS", 3)
+    monkeypatch.setattr(hierarchy._merge_tables, "__defaults__", (block_bytes,))
+    found = hierarchy.merge_tree(points, linkage).collect()
+    assert sorted((r.a, r.b) for r in found) == sorted((r.a, r.b) for r in local)
+    assert np.allclose(sorted(r.height for r in found), sorted(r.height for r in local))
+    assert rows(hierarchy.agglomerate(points, linkage, 4)) == states
+
+
+@pytest.mark.parametrize("sort_rows", [10**6, 10])
+def test_quantiles_of_several_columns(spark, sort_rows):
+    a, b = RNG.normal(size=3000), np.round(RNG.normal(size=3000), 1)
+    b[:5], b[5:9], b[9:12] = np.nan, np.inf, -np.inf
+    df = spark.createDataFrame([(float(p), float(q), None if i % 3 else 1.0) for i, (p, q) in enumerate(zip(a, b))], "a double, b double, c double")
+    qs = [0.0, 0.001, 0.01, 0.25, 0.5, 0.99, 1.0]
+    found = density.quantiles_of(df, ["a", "b", "c"], qs, sort_rows=sort_rows, accuracy=100)
+    for c in "abc":
+        assert np.array_equal(found[c], density.quantiles(df, c, qs), equal_nan=True), c
+    assert density.quantiles_of(df.limit(0), ["a"], qs, sort_rows=sort_rows) == {"a": []}

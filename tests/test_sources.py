@@ -2,10 +2,12 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from latentspark.operators import particles, position
+from latentspark.operators import particles, position, runs
+from latentspark.plans import jobs
 from latentspark.session import build_session, working_dir
-from latentspark.sources import artifacts, star, tables, text
+from latentspark.sources import artifacts, epochs, log, star, tables, text
 
 STAR = """
 # version 30001
@@ -232,3 +234,63 @@ def test_star_records_that_look_like_headers(spark, tmp_path, first):
         "data_particles\n\nloop_\n_rlnMicrographName #1\n_rlnAngleRot\n" + "\n".join(f"{first} {i}" for i in range(6)) + "\n")
     out = star.read_star(spark, str(tmp_path / "p.star")).orderBy("position").collect()
     assert [(r["_rlnMicrographName"], r["_rlnAngleRot"]) for r in out] == [(first, float(i)) for i in range(6)]
+
+
+def test_log_commits_once_and_whole(spark, tmp_path):
+    """A key counts once, a taken number is passed over, a killed write changes nothing, a replacement hides what was."""
+    table = log.TableLog(spark, str(tmp_path / "t"), StructType.fromDDL("a int, b string"))
+    rows = lambda: sorted(map(tuple, table.read().collect()))
+    df = lambda *a: spark.createDataFrame([(i, f"r{i}") for i in a], "a int, b string")
+    assert rows() == [] and table.append(df(1, 2), "one") and not table.append(df(9), "one")
+    df(5).write.parquet(str(tmp_path / "t/data/left-over"))  # written, never committed
+    assert rows() == [(1, "r1"), (2, "r2")]
+    assert not table._rename(str(tmp_path / "t/commits/000000000000.json"), str(tmp_path / "t/commits/000000000000.json"))
+    assert table.append(df(3), "two") and rows() == [(1, "r1"), (2, "r2"), (3, "r3")]
+    assert table.replace(df(4), "three") and rows() == [(4, "r4")] and table.append(df(5), "four")
+    assert rows() == [(4, "r4"), (5, "r5")] and [c["key"] for c in table.commits()] == ["one", "two", "three", "four"]
+    with pytest.raises(TypeError):
+        table.append(df(1).drop("b"), "five")
+    bad = df(7).withColumn("b", F.raise_error(F.lit("killed")).cast("string"))
+    with pytest.raises(Exception):
+        table.append(bad, "six")
+    assert rows() == [(4, "r4"), (5, "r5")]
+
+
+def test_jobs_tell_the_lineage(spark, tmp_path):
+    lineage = runs.lineage_log(spark, str(tmp_path / "lineage"))
+    particles_of = spark.range(6).select(F.col("id").alias("position"))
+    index = spark.createDataFrame([(1,), (4,)], "position bigint")
+    for _ in range(2):
+        out = jobs.subset_particles(particles_of, index, strict=True, origin=jobs.Origin(lineage, 2, 1))
+        assert out.count() == 2
+        jobs.preprocess(particles_of, 64, size=64, origin=jobs.Origin(lineage, 1, 0))
+    assert sorted(map(tuple, lineage.read().collect())) == [(1, 0, "transform"), (2, 1, "transform")]
+    found = runs.ancestors(lineage.read(), spark.createDataFrame([(2,)], "child bigint")).collect()
+    assert {(r.ancestor, r.depth) for r in found} == {(1, 1), (0, 2)}
+    for bad, message in (([(6,)], "past the end"), ([(0,)] * 7, "longer")):
+        with pytest.raises(ValueError, match=message):
+            jobs.subset_particles(particles_of, spark.createDataFrame(bad, "position bigint"), strict=True)
+    with pytest.raises(Exception):
+        runs.store_lineage(lineage, spark.createDataFrame([(1, 2, "guess")], "child bigint, parent bigint, kind string"), "x")
+    assert lineage.read().count() == 2
+
+
+def test_analysis_refuses_and_publishes_nothing(spark, tmp_path):
+    rows = [(i, [float(i), float(i % 3)]) for i in range(30)]
+    z = spark.createDataFrame(rows, "position bigint, z array<double>").withColumns({"run_id": F.lit(1).cast("bigint"), "epoch": F.lit(4)})
+    epochs.write_epoch_latents(z.unionByName(z.withColumn("epoch", F.lit(None).cast("int"))), str(tmp_path / "z"))
+    artifacts_of = spark.createDataFrame([(1, "weights", 4), (1, "z", 4), (1, "z", None)], "run_id bigint, artifact string, epoch int")
+    run = spark.sql("""SELECT 1L AS run_id, 'train' AS kind, CAST(NULL AS STRING) AS abinitio_type, FALSE AS do_continue, CAST(NULL AS BIGINT) AS continue_run,
+        5L AS input_set, 2 AS zdim, 20 AS num_epochs, 64 AS box, 2D AS apix, FALSE AS do_downsample, 32 AS vol_box, FALSE AS do_landscape,
+        TRUE AS auto_mask, CAST(NULL AS INT) AS mask_box, 'last' AS epoch_choice, 1 AS epoch_number""")
+    found = spark.range(3).select(F.lit(1).cast("bigint").alias("run_id"), F.col("id").cast("int").alias("vol_id"))
+    table, out = epochs.read_epoch_latents(spark, str(tmp_path / "z")), str(tmp_path / "out")
+    with pytest.raises(ValueError, match="volume box exceeds"):
+        jobs.analyze_run(run.withColumns({"do_downsample": F.lit(True), "vol_box": F.lit(128)}), 1, artifacts_of, table, found, out, k=3)
+    with pytest.raises(ValueError, match="volume 3 is missing"):
+        jobs.analyze_run(run, 1, artifacts_of, table, found, out, k=4)
+    assert not (tmp_path / "out").exists()
+    for which in ("last", "final"):
+        done = jobs.analyze_run(run, 1, artifacts_of, table, found, f"{out}-{which}", which=which, k=3)
+        assert done.folder.endswith("analyze.4") and done.volumes.count() == 3 and done.warnings.count() == 0
+        assert {r.apix for r in done.volumes.collect()} == {2.0}
