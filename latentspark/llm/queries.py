@@ -108,12 +108,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict on every page's URL; listed are the canonical URLs of pages on known bad hosts."""
+    """Verdict on every page's URL; listed are canonical URLs that pages give under several addresses."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    host = url_filter.host_of(F.col("url"))
-    listed = pages.where(host.rlike(url_filter.LISTED_HOSTS)).select(
-        url_filter.canonical(host, url_filter.path_of(F.col("url"))).alias("canonical"))
-    return url_filter.judge(pages, url_filter.RULES, listed).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter.judge(pages, url_filter.RULES, url_filter.several_addresses(pages)).select(
+        "page_id", "host", "path", "rule", "verdict")
 
 
 @query

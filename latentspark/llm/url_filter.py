@@ -7,7 +7,7 @@ Without a fitting rule a URL is blocked if its canonical form is listed: a split
 
 Null URLs, and those without ``://``, have empty host and path and no rule; they are allowed unless
 the empty canonical form is listed. Repeated rows are judged alike, an empty table or list is valid.
-Other columns pass through; only the output names are taken.
+Other columns pass through, whatever their names; only the output names are taken.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from latentspark.llm.common import fresh
+
 BITS_PER_KEY = 12
 BROADCAST_BYTES = 32 << 20
 _BLOCK_BYTES = 96        # of one filter row, generously
@@ -58,37 +60,49 @@ def bloom_filter(listed: DataFrame, key: str, blocks: int) -> DataFrame:
     return words.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(8)])
 
 
+def several_addresses(pages: DataFrame, url_col: str = "url") -> DataFrame:
+    """``canonical`` URLs that pages give in more than one way: by another scheme, query, fragment or ``www.``.
+
+    The list that the query uses: the same page under several addresses. It takes other rows to tell, so a URL
+    alone does not say whether it is listed. URLs without a host are not listed.
+    """
+    url = F.col(f"`{url_col}`")
+    named = pages.select(canonical(host_of(url), path_of(url)).alias("canonical"), url.alias("url")).where("canonical <> ''")
+    return named.groupBy("canonical").agg(F.min("url").alias("first"), F.max("url").alias("last")).where("first <> last").select("canonical")
+
+
 def judge(pages: DataFrame, rules, listed: DataFrame, url_col: str = "url") -> DataFrame:
     """``pages`` with ``host, path, rule, verdict``; ``listed`` has one column, ``canonical``."""
     listed = listed.select("canonical").where(F.col("canonical").isNotNull()).distinct()
     count = listed.count()
     blocks = max(1, -(-count * BITS_PER_KEY // 256))
+    host, path = host_of(F.col(f"`{url_col}`")), path_of(F.col(f"`{url_col}`"))
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    seen = pages.select(*kept, host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    seen = seen.withColumn("__rule", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn(
-        "__url", canonical(F.col("host"), F.col("path")))
-    keyed = seen.select("*", F.struct(*_bits(F.col("__url"), blocks)).alias("__key"))
-    bloom = bloom_filter(listed, "canonical", blocks).select(F.struct("*").alias("__bloom"))
+    key, bloom, ruled, url, maybe, hit, at = fresh(pages.select(*[F.col(f"`{c}`") for c in kept], host.alias("host"), path.alias("path")),
+                                                   "key", "bloom", "ruled", "link", "maybe", "hit", "at")
+    seen = pages.select(*[F.col(f"`{c}`") for c in kept], host.alias("host"), path.alias("path"))
+    seen = seen.withColumn(ruled, fitting_rule(F.col("host"), F.col("path"), rules)).withColumn(
+        url, canonical(F.col("host"), F.col("path")))
+    keyed = seen.withColumn(key, F.struct(*_bits(F.col(url), blocks)))
+    words = bloom_filter(listed, "canonical", blocks).select(F.col("block").alias(at), F.struct(*[f"w{i}" for i in range(8)]).alias(bloom))
     if blocks * _BLOCK_BYTES <= BROADCAST_BYTES:
-        bloom = F.broadcast(bloom)
-    tested = keyed.join(bloom, F.col("__key.block") == F.col("__bloom.block"), "left")
+        words = F.broadcast(words)
+    tested = keyed.join(words, F.col(f"{key}.block") == F.col(at), "left")
     possible = F.lit(True)
     for i in range(8):
-        possible = possible & (F.col(f"__bloom.w{i}").bitwiseAND(F.col(f"__key.w{i}")) != 0)
+        possible = possible & (F.col(f"{bloom}.w{i}").bitwiseAND(F.col(f"{key}.w{i}")) != 0)
     # A rule decides before the list, so only URLs without one need the join.
-    tested = tested.withColumn("__maybe", F.coalesce(possible, F.lit(False)) & F.col("__rule").isNull())
-    hits = listed.select(F.col("canonical").alias("__hit"))
-    maybe = tested.where("__maybe").join(hits.hint("shuffle_hash"), F.col("__url") == F.col("__hit"), "left")
-    rest = tested.where(~F.col("__maybe")).withColumn("__hit", F.lit(None).cast("string"))
-    verdict = F.coalesce(F.col("__rule.verdict"), F.when(F.col("__hit").isNotNull(), "block").otherwise("allow"))
-    columns = [*kept, "host", "path", F.col("__rule.rule").alias("rule"), verdict.alias("verdict")]
-    return maybe.select(*columns).union(rest.select(*columns))
+    tested = tested.withColumn(maybe, F.coalesce(possible, F.lit(False)) & F.col(ruled).isNull())
+    hits = listed.select(F.col("canonical").alias(hit))
+    found = tested.where(F.col(maybe)).join(hits, F.col(url) == F.col(hit), "left")
+    rest = tested.where(~F.col(maybe)).withColumn(hit, F.lit(None).cast("string"))
+    verdict = F.coalesce(F.col(f"{ruled}.verdict"), F.when(F.col(hit).isNotNull(), "block").otherwise("allow"))
+    columns = [*[F.col(f"`{c}`") for c in kept], "host", "path", F.col(f"{ruled}.rule").alias("rule"), verdict.alias("verdict")]
+    return found.select(*columns).union(rest.select(*columns))
 
 
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
-# Hosts whose pages make up the list of the query.
-LISTED_HOSTS = r"(^|\.)(adult-x|cheap-pills|free-bets|spam-farm)\."
 
 SQL = rf"""
 WITH p AS (
@@ -102,7 +116,7 @@ c AS (SELECT *, regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$'
            WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
            WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
            WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule FROM p),
-listed AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '{LISTED_HOSTS}'))
+listed AS (SELECT canonical FROM c WHERE canonical <> '' GROUP BY canonical HAVING count(DISTINCT url) > 1)
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
             WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict FROM c"""

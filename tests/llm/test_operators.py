@@ -286,7 +286,11 @@ def test_maximal_runs(spark):
 def test_url_filter(spark):
     rows = [(1, None), (2, "no scheme"), (3, "http://Sub.Example.com/en/x?q"), (4, "https://www.example.com/en/"), (5, "http://a.net/es/1#t"),
             (6, "http://bad.org/p/"), (7, "http://www.bad.org/p?utm=1"), (8, "http://good.org/p"), (9, "http://a.com"), (10, "")]
-    pages = spark.createDataFrame(rows, "page_id bigint, url string").withColumns({"host": F.lit(1), "canonical": F.lit(2)})
+    pages = spark.createDataFrame(rows, "page_id bigint, url string").withColumns({"host": F.lit(1), "canonical": F.lit(2)}).withColumns(
+        {c: F.lit(f"own {c}") for c in ("__hit", "__bloom", "__rule", "__maybe", "key", "bloom", "ruled", "link", "maybe", "hit", "at", "block")})
+    assert {r.canonical for r in url_filter.several_addresses(pages).collect()} == {"bad.org/p"}
+    assert all(r.hit == "own hit" and r.__getitem__("__rule") == "own __rule" for r in url_filter.judge(
+        pages, url_filter.RULES, spark.createDataFrame([("bad.org/p",)], "canonical string")).collect())
     listed = spark.createDataFrame([("bad.org/p",), (None,), ("bad.org/p",)], "canonical string")
     found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, url_filter.RULES, listed).collect()}
     assert found[1] == found[2] == found[10] == ("", "", None, "allow")
