@@ -6,14 +6,16 @@ its words is within ``floor(edits * m)`` word edits (insert, delete, replace) of
 From every word of a document a window of m words starts, for every item length m. A leak implies that at
 least ``m`` less the allowed edits of the window's words occur in items of that length, so other windows
 are skipped without loss. The rest are embedded by random walks: at step j the walk writes the current
-word and moves on or stays, by a random bit of (j, word); edit distance becomes Hamming distance. Each of
-``WALKS`` walks is sampled ``SAMPLES`` times at ``BITS`` steps; windows that agree with an item in one
-sample are candidates, whose edit distance to the text around is then computed in full.
+word and moves on or stays, by a random bit of (j, word); edit distance becomes Hamming distance. Walks are
+sampled at a few steps at a time; windows that agree with an item in all steps of one sample are candidates, whose edit
+distance to the text around is then computed in full. How many walks and samples an item gets depends on its
+length: ``lsh_plan`` simulates deletions, insertions and replacements at the largest allowed distance and
+takes the cheapest choice that finds ``TARGET`` of each.
 
-The samples miss some leaks, the more the longer the item, so an item is also cut into one piece more than
-its allowed edits: a leak holds one of the pieces unchanged, and every place of a piece gives a candidate.
-So no leak within the allowed distance is missed. Items are taken in blocks of bounded size, each block against all
-documents; no document is cut.
+What the samples miss is found by pieces: an item is also cut into one piece more than its allowed edits, so a leak
+holds one of the pieces unchanged, and every place of a piece gives a candidate. So no leak within the
+allowed distance is missed. Items are taken in blocks of about ``BLOCK_BYTES``, each block against all documents; rows
+of one item id are in one block, so the result does not depend on its size. No document is cut.
 
 Null and empty texts leak nothing; items without words are leaked by nothing. Null ids are values. Repeated
 rows give repeated results. Empty tables give none. Further columns are ignored.
@@ -31,9 +33,10 @@ from pyspark.sql import functions as F
 from latentspark.llm.words import CLASSES, blocks, hash_spans, owners, spans, text_bytes
 
 EDITS = 0.2
-WALKS, SAMPLES, BITS = 2, 28, 3
+TARGET = 0.9             # share of leaks at the largest distance that the samples alone find
 BLOCK_BYTES = 8 << 20    # of item texts that are searched together
 _ROWS = 4096
+_WINDOWS = 16_384        # embedded together
 _HITS = 512
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _TEXT = 1 << 21          # bytes of text searched together
@@ -83,34 +86,94 @@ def best_match(item: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return best // scale, width + 1 - best % scale, end
 
 
+def _class_of(m: int) -> int:
+    """Lengths share a plan up to the next of 8, 12, 16, 24, 32, 48, …"""
+    top = 8
+    while top < m:
+        top = top * 3 // 2 if top & (top - 1) == 0 else top * 4 // 3
+    return top
+
+
+def simulated_agreement(m: int, edits: float, walks: int, trials: int = 40, seed: int = 5) -> dict[str, np.ndarray]:
+    """Share of equal steps of an item's and its leak's walks, by kind of edit: a row per trial, a column per walk."""
+    rng, count = np.random.default_rng([seed, m]), int(edits * m + 1e-9)
+    unknown, end = m, m + 1
+    item = np.tile(np.arange(m), (trials, 1))
+    out = {}
+    for kind in ("delete", "insert", "replace"):
+        window = np.full((trials, m), unknown)
+        for t in range(trials):
+            at = np.sort(rng.choice(m, count, replace=False))
+            if kind == "delete":
+                kept = np.delete(np.arange(m), at)
+            elif kind == "insert":
+                kept = np.insert(np.arange(m), at, unknown)[:m]
+            else:
+                kept = np.arange(m)
+                kept[at] = unknown
+            window[t, :len(kept)] = kept
+        share = np.empty((trials, walks))
+        for w in range(walks):
+            bits = rng.integers(0, 1 << 64, ((2 * m >> 6) + 1, end + 1), np.uint64)
+            bits[:, end] = 0
+            share[:, w] = (embed(item, bits, 2 * m) == embed(window, bits, 2 * m)).mean(0)
+        out[kind] = share
+    return out
+
+
+def lsh_plan(lengths, edits: float = EDITS, target: float = TARGET) -> dict[int, tuple[int, int, int]]:
+    """``walks, samples, bits`` by class of length: the cheapest whose simulated recall is ``target`` for every kind of edit."""
+    plan = {}
+    for top in sorted({_class_of(m) for m in lengths}):
+        shares = simulated_agreement(top, edits, 8).values()
+        best = None
+        for walks in (2, 3, 4, 6, 8):
+            for bits in (3, 2):
+                for samples in (14, 28, 42, 56, 84, 112, 168):
+                    missed = [((1 - share[:, :walks] ** bits) ** samples).prod(axis=1).mean() for share in shares]
+                    # Two steps of a sample tell less than three, so they give more candidates to verify.
+                    cost = walks * (2 * top + samples * bits) * (1 if bits == 3 else 2)
+                    found = (max(missed) > 1 - target, max(missed) if max(missed) > 1 - target else cost)
+                    if best is None or found < best[0]:
+                        best = found, (walks, samples, bits)
+        plan[top] = best[1]
+    return plan
+
+
 class Index:
     """Searchable items: word numbers, lengths, embeddings' samples."""
 
-    def __init__(self, items: list[tuple[int | None, np.ndarray]], edits: float, walks: int, samples: int, bits: int,
-                 seed: int = 11):
+    def __init__(self, items: list[tuple[int | None, np.ndarray]], edits: float, plan: dict[int, tuple[int, int, int]],
+                 pieces: bool = True, seed: int = 11):
         items = [(i, h) for i, h in items if len(h)]
         self.edits = edits
         self.vocabulary = np.unique(np.concatenate([h for _, h in items])) if items else np.zeros(0, np.uint64)
         self.unknown = len(self.vocabulary)
         end = self.unknown + 1
         rng = np.random.default_rng(seed)
-        self.salt = rng.integers(0, 1 << 64, (bits, end + 1), np.uint64)
+        self.salt = rng.integers(0, 1 << 64, (3, end + 1), np.uint64)
         self.value = np.random.default_rng(seed + 1).integers(0, 1 << 64, end + 1, np.uint64)
-        longest = max((len(h) for _, h in items), default=1)
-        steps = 2 * longest
-        self.bits = [rng.integers(0, 1 << 64, ((steps >> 6) + 1, end + 1), np.uint64) for _ in range(walks)]
-        for random in self.bits:
-            random[:, end] = 0
+        self.bits: list[np.ndarray] = []
+        for w in range(max((walks for walks, _, _ in plan.values()), default=0) if items else 0):
+            longest = max((len(h) for _, h in items if plan[_class_of(len(h))][0] > w), default=1)
+            self.bits.append(rng.integers(0, 1 << 64, ((2 * longest >> 6) + 1, end + 1), np.uint64))
+            self.bits[-1][:, end] = 0
         self.classes = {}
         for m in sorted({len(h) for _, h in items}):
+            walks, samples, bits = plan[_class_of(m)]
             own = [(i, np.searchsorted(self.vocabulary, h)) for i, h in items if len(h) == m]
             matrix = np.array([h for _, h in own])
-            common = np.zeros((len(own), end + 1), bool)
-            common[np.arange(len(own))[:, None], matrix] = True
+            held = np.zeros(end + 1, bool)  # words of any item of the length
+            held[matrix] = True
             columns = [rng.integers(0, 2 * m, (samples, bits)) for _ in range(walks)]
-            keys = [self._keys(embed(matrix, b, 2 * m), c) for b, c in zip(self.bits, columns)]
-            self.classes[m] = ([i for i, _ in own], matrix, common, columns, keys)
-        self.pieces = self._pieces()
+            keys = []
+            for b, c in zip(self.bits, columns):
+                key = self._keys(embed(matrix, b, 2 * m), c).ravel()
+                order = np.argsort(key, kind="stable")
+                keys.append((key[order], order % len(own)))
+            self.classes[m] = ([i for i, _ in own], matrix, held, columns, keys)
+        self.pieces = self._pieces() if pieces else {}
+        self.marks = np.zeros(end + 1, bool)
 
     def _pieces(self) -> dict[int, tuple[np.ndarray, np.ndarray]]:
         """By length: sorted hashes of the items' pieces, and each one's item length, item and place.
@@ -167,8 +230,8 @@ class Index:
         return {m: np.concatenate(parts) for m, parts in found.items()}
 
     def _keys(self, embedded: np.ndarray, columns: np.ndarray) -> np.ndarray:
-        """Hash of the words at each sample's steps: a row per sample."""
-        key = np.zeros((len(columns), embedded.shape[1]), np.uint64)
+        """Hash of the words at each sample's steps, and of the sample's number: a row per sample."""
+        key = np.repeat((np.arange(1, len(columns) + 1, dtype=np.uint64) * _STEP)[:, None], embedded.shape[1], axis=1)
         for k in range(columns.shape[1]):
             for row, step in zip(key, columns[:, k]):
                 row += self.salt[k].take(embedded[step])
@@ -185,54 +248,58 @@ class Index:
         # Between texts stand as many end marks as the longest item has words, so that no window joins two.
         gap = max(self.classes)
         owner = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
-        number = np.full(len(h) + gap * len(cuts), self.unknown + 1)
+        number = np.full(len(h) + gap * len(cuts), self.unknown + 1, np.int32)
         number[np.arange(len(h)) + gap * (owner + 1)] = np.where(self.vocabulary[at] == h, at, self.unknown)
         begins = cuts + gap * np.arange(1, len(cuts) + 1)
         total = np.concatenate(([0], np.cumsum(number < self.unknown, dtype=np.int32)))
         found, held = [], self._held(number, total)
-        for m, (ids, matrix, common, columns, keys) in self.classes.items():
+        for m, (ids, matrix, held_words, columns, keys) in self.classes.items():
             allowed = self._allowed(m)
             starts = np.flatnonzero(total[m:] - total[:-m] >= m - allowed)
             windows = np.lib.stride_tricks.sliding_window_view(number, m)
             pairs = [held[m]] if m in held else []
-            for i in range(0, len(starts), _ROWS):
-                s = starts[i:i + _ROWS]
+            for i in range(0, len(starts), _WINDOWS):
+                s = starts[i:i + _WINDOWS]
                 window = windows[s]
-                likely = common.any(0)[window].sum(1) >= m - allowed
+                likely = held_words[window].sum(1) >= m - allowed
                 s, window = s[likely], window[likely]
                 if len(s):
                     pairs.append(self._candidates(s, window, m, columns, keys))
             if pairs:
-                found += self._verified(np.unique(np.concatenate(pairs), axis=0), number, begins, ids, matrix, common, m, allowed)
+                found += self._verified(np.unique(np.concatenate(pairs), axis=0), number, begins, ids, matrix, m, allowed)
         return found
 
     def _candidates(self, s, window, m, columns, keys) -> np.ndarray:
         """Rows (item, window start) that agree in a sample of some walk."""
         pairs = [np.zeros((0, 2), np.int64)]
-        for bits, chosen, wanted in zip(self.bits, columns, keys):
-            got = self._keys(embed(window, bits, int(chosen.max()) + 1), chosen)
-            for k in range(len(got)):
-                order = np.argsort(wanted[k], kind="stable")
-                ranked = wanted[k, order]
-                low, high = np.searchsorted(ranked, got[k]), np.searchsorted(ranked, got[k], side="right")
-                count = high - low
-                if count.any():
-                    row = np.repeat(np.arange(len(s)), count)
-                    rank = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + low[row]
-                    pairs.append(np.stack((order[rank], s[row]), axis=1))
+        for bits, chosen, (wanted, item) in zip(self.bits, columns, keys):
+            got = self._keys(embed(window, bits, int(chosen.max()) + 1), chosen).ravel()
+            low = np.searchsorted(wanted, got)
+            hit = np.flatnonzero(wanted[np.minimum(low, len(wanted) - 1)] == got)
+            if len(hit):
+                count = np.searchsorted(wanted, got[hit], side="right") - low[hit]
+                rank = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low[hit], count)
+                pairs.append(np.stack((item[rank], s[np.repeat(hit, count) % len(s)]), axis=1))
         return np.unique(np.concatenate(pairs), axis=0)
 
-    def _verified(self, pairs, number, begins, ids, matrix, common, m, allowed):
+    def _verified(self, pairs, number, begins, ids, matrix, m, allowed):
         """Leaks among the candidates, after those that share too few words with the item."""
         found = []
         for item in np.unique(pairs[:, 0]):
             s = pairs[pairs[:, 0] == item, 1]
-            for i in range(0, len(s), _ROWS):
-                part = s[i:i + _ROWS]
-                part = part[common[item][number[part[:, None] + np.arange(m)]].sum(1) >= m - allowed]
-                if not len(part):
-                    continue
-                text = number[np.clip(part[:, None] - allowed + np.arange(m + 2 * allowed), 0, len(number) - 1)]
+            self.marks[matrix[item]] = True
+            own = np.concatenate([part[self.marks[number[part[:, None] + np.arange(m)]].sum(1) >= m - allowed]
+                                  for part in (s[i:i + _ROWS] for i in range(0, len(s), _ROWS))])
+            self.marks[matrix[item]] = False
+            # Windows near each other are verified as one stretch of text.
+            begin = []
+            for one in own.tolist():
+                if not begin or one > begin[-1] + 2 * allowed:
+                    begin.append(one)
+            own = np.array(begin, np.int64)
+            for i in range(0, len(own), _ROWS):
+                part = own[i:i + _ROWS]
+                text = number[np.clip(part[:, None] - allowed + np.arange(m + 4 * allowed), 0, len(number) - 1)]
                 distance, first, last = best_match(matrix[item], text)
                 ok = distance <= allowed
                 a, b = (part - allowed + first)[ok], (part - allowed + last)[ok]
@@ -242,14 +309,14 @@ class Index:
         return found
 
 
-def _search_texts(text, index_items, edits, walks, samples, bits):
+def _search_texts(text, index_items, edits, plan):
     kind = "array<struct<item_id:bigint,distance:int,first_word:bigint,end_word:bigint,item_words:int>>"
     made = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("first_word", pa.int64()),
                                ("end_word", pa.int64()), ("item_words", pa.int32())]))
 
     @F.arrow_udf(kind)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = Index([(i, np.frombuffer(h, np.uint64)) for i, h in index_items.value], edits, walks, samples, bits)
+        index = Index([(i, np.frombuffer(h, np.uint64)) for i, h in index_items.value], edits, plan)
         for batch in batches:
             data, offsets = text_bytes(batch)
             out: list[dict] = [{} for _ in range(len(batch))]
@@ -265,28 +332,27 @@ def _search_texts(text, index_items, edits, walks, samples, bits):
     return run(text)
 
 
-def _searches(benchmark: DataFrame, text, edits: float, walks: int, samples: int, bits: int) -> Iterator:
+def _searches(benchmark: DataFrame, text, edits: float) -> Iterator:
     """A column of the leaks in ``text`` for every block of items."""
     spark = benchmark.sparkSession
     items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // BLOCK_BYTES))
     for part in range(parts):
-        block = items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).toArrow()
+        block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).toArrow()
         data, offsets = text_bytes(block["text"].combine_chunks()) if block.num_rows else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
         own, h = words_of(data, offsets)
         cuts = np.searchsorted(own, np.arange(block.num_rows + 1))
         held = spark.sparkContext.broadcast([
             (i, h[a:b].tobytes()) for i, a, b in zip(block["item_id"].to_pylist(), cuts[:-1], cuts[1:])])
-        yield _search_texts(text, held, edits, walks, samples, bits)
+        yield _search_texts(text, held, edits, lsh_plan(np.unique(np.diff(cuts)[np.diff(cuts) > 0]).tolist(), edits))
 
 
-def find_leaks(documents: DataFrame, benchmark: DataFrame, edits: float = EDITS, walks: int = WALKS,
-               samples: int = SAMPLES, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_leaks(documents: DataFrame, benchmark: DataFrame, edits: float = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, distance, first_word, end_word, item_words``: the best match of each leaked item."""
     texts = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     result = None
-    for leaks in _searches(benchmark, F.col("text"), edits, walks, samples, bits):
+    for leaks in _searches(benchmark, F.col("text"), edits):
         found = texts.select("doc_id", F.explode(leaks).alias("leak"))
         found = found.select("doc_id", "leak.*")
         result = found if result is None else result.union(found)
@@ -295,6 +361,6 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, edits: float = EDITS,
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows whose own text leaks no item."""
-    for leaks in _searches(benchmark, F.col(text_col), EDITS, WALKS, SAMPLES, BITS):
+    for leaks in _searches(benchmark, F.col(text_col), EDITS):
         documents = documents.where(F.size(leaks) == 0)
     return documents
