@@ -8,7 +8,8 @@ A merge changes three leaves (the pair, the swallowed neighbour and the one befo
 all of them.
 
 Null and empty texts have no ids. Repeated rows encode alike. Texts of any length are encoded whole,
-a run of pieces at a time.
+a run of pieces at a time. A piece is what the pattern does not cut: one unbroken run of letters of a megabyte
+takes a task some minutes (about 0.2 ms a byte) and 60 bytes of memory a byte.
 """
 
 from __future__ import annotations

@@ -3,7 +3,8 @@
 A text (white space runs made one space, null as empty) is cut into blocks of ``block_bytes``. The
 distinct blocks are sorted and numbered; then each pair of adjacent numbers is a new item that is
 sorted and numbered in turn, until a document has one number left. Equal blocks, and only those,
-share a number, so equal numbers at the same level mean equal texts: nothing rests on a hash.
+share a number, so equal numbers at the same level mean equal texts. A row is known by its id and the 64-bit hash
+of its text: only two different texts of one id with equal hashes would be taken for each other.
 
 A block whose 64-bit hash occurs once in the table occurs once itself, so its document equals no
 other and needs no number; only the other documents' blocks are sorted.

@@ -5,7 +5,9 @@ with a stretch of text, equal beginnings and ends are matched first; then the wo
 both become anchors, the longest increasing subsequence of their places is kept, and the gaps between are
 aligned in the same way. Coverage is the share of the template's words that are matched; a stretch with at
 least ``coverage`` is a match, if it also holds the words that tell the license from others (``MARKS``: version, ND,
-NC, SA and the like) without a gap and none that make it another (``OTHERS``).
+NC, SA and the like) without a gap and none that make it another (``OTHERS``). A short notice with a word of
+``DENIALS`` just before it or in it ("not licensed under …") is no match. Known are the notices of ``TEMPLATES``
+and identifier lines of ``IDENTIFIERS``; full license texts are found by the notices that they hold.
 
 Where to look: a match leaves out at most ``1 - coverage`` of the template's words, so it contains one of
 any larger set of them; of the longest words such a set is taken, and only stretches around its words are
@@ -81,6 +83,14 @@ TEMPLATES = {
     "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
     "CC-BY-NC-4.0-short": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "EPL-1.0": "Licensed under the Eclipse Public License v1.0.",
+    "EPL-2.0": "Made available under the terms of the Eclipse Public License 2.0",
+    "EPL-2.0-short": "Licensed under the Eclipse Public License v2.0.",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "LGPL-2.0-or-later": _gnu("library", "Library General", "2"),
+    "CC-BY-SA-3.0": "This work is licensed under a Creative Commons Attribution-Share Alike 3.0 Unported License.",
+    "CC-BY-3.0": "This work is licensed under a Creative Commons Attribution 3.0 Unported License.",
 }
 _KINDS = {"NC": "NonCommercial", "ND": "NoDerivatives", "NC-SA": "NonCommercial-ShareAlike", "NC-ND": "NonCommercial-NoDerivatives"}
 for _short, _long in _KINDS.items():
@@ -109,9 +119,27 @@ MARKS = {
     "CC-BY-SA-4.0-short": ["CC BY SA 4.0"],
 } | {f"CC-BY-{s}-4.0": [f"Creative Commons Attribution {w} 4.0"] for s, w in _KINDS.items()} | {
     f"CC-BY-{s}-4.0-short": [f"CC BY {s} 4.0"] for s in _KINDS}
+MARKS |= {
+    "EPL-1.0": ["Eclipse Public License v1.0"], "EPL-2.0": ["Eclipse Public License 2.0"],
+    "EPL-2.0-short": ["Eclipse Public License v2.0"], "BSL-1.0": ["Boost Software License version 1.0"],
+    "Unlicense": ["free and unencumbered software"],
+    "LGPL-2.0-or-later": ["GNU Library General Public License", "version 2 of the License", "any later version"],
+    "CC-BY-SA-3.0": ["Creative Commons Attribution Share Alike 3.0"], "CC-BY-3.0": ["Creative Commons Attribution 3.0"]}
+# Names in identifier lines; all words of the name must stand after the label.
+IDENTIFIERS = (
+    "MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "CC0-1.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+    "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only",
+    "AGPL-3.0-or-later", "MPL-2.0", "EPL-1.0", "EPL-2.0", "BSL-1.0", "Unlicense", "Zlib", "CC-BY-4.0", "CC-BY-SA-4.0")
+for _name in IDENTIFIERS:
+    TEMPLATES[f"{_name}-identifier"] = f"SPDX-License-Identifier: {_name}"
+    MARKS[f"{_name}-identifier"] = [f"SPDX License Identifier {_name}"]
 # Words that make it another license if they stand in the stretch or in the few words after it.
-OTHERS = {"BSD-2-Clause": ["Neither the name"], "GPL-3.0-only": ["or later", "or any later", "any later version"]}
+OTHERS = {"BSD-2-Clause": ["Neither the name"], "GPL-3.0-only": ["or later", "or any later", "any later version"],
+          "MIT-identifier": ["Identifier MIT 0"]}
 _AFTER = 12
+# A short notice says nothing if one of these stands among the few words before it or in it.
+DENIALS = ("not", "never", "no", "neither", "cannot")
+_SHORT, _BEFORE = 16, 3
 _WORDS = np.where(CLASSES == 1, 1, 0).astype(np.uint8)
 
 
@@ -177,6 +205,7 @@ def _stands(phrase: list[int], words: list[int]) -> bool:
 class Templates:
     def __init__(self, texts: dict[str, str], coverage: float):
         self.coverage = coverage
+        self.denials = {h for w in DENIALS for h in _hashes(w)}
         self.items = []
         for name, text in texts.items():
             data = np.frombuffer(text.encode(), np.uint8)
@@ -215,7 +244,8 @@ class Templates:
                 if best[0] >= self.coverage:
                     _, a, b = best
                     held, after = words[a:b].tolist(), words[a:b + _AFTER].tolist()
-                    if all(_stands(x, held) for x in marks) and not any(_stands(x, after) for x in others):
+                    denied = m <= _SHORT and any(w in self.denials for w in words[max(0, a - _BEFORE):b].tolist())
+                    if not denied and all(_stands(x, held) for x in marks) and not any(_stands(x, after) for x in others):
                         own.append(best)
                 i = j
             taken: list[tuple[float, int, int]] = []

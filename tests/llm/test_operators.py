@@ -426,3 +426,42 @@ def test_held_out_ranking(spark, module, label, least):
     assert len(odd) == len(ODD) and all(0 <= r.s <= 1 for r in odd)
     bare = module.train(docs.limit(0), labels.limit(0), F.lit(True), label)
     assert frame(spark, []).select(module.score(F.col("text"), spark.sparkContext.broadcast(tuple(bare))).alias("s")).count() == 0
+
+
+def test_more_notices(spark):
+    told = {
+        "Licensed under the Eclipse Public License v1.0": ["EPL-1.0"], "Distributed under the Boost Software License, Version 1.0.": ["BSL-1.0"],
+        "This is free and unencumbered software released into the public domain.": ["Unlicense"],
+        "This work is licensed under a Creative Commons Attribution-Share Alike 3.0 Unported License.": ["CC-BY-SA-3.0"],
+        licenses.TEMPLATES["LGPL-2.0-or-later"]: ["LGPL-2.0-or-later"], "// SPDX-License-Identifier: GPL-2.0-or-later": ["GPL-2.0-or-later-identifier"],
+        "# SPDX-License-Identifier: MIT": ["MIT-identifier"], "SPDX-License-Identifier: MIT-0": [], "SPDX-License-Identifier: CC-BY-SA-4.0": ["CC-BY-SA-4.0-identifier"],
+        "not licensed under the MIT License": [], "This file is never released under the MIT License.": [], "Released under the MIT License.": ["MIT"],
+        "no text. Here we say: it was Released under the MIT License.": ["MIT"]}
+    rows = list(enumerate(told))
+    found = {r.doc_id: [m.license for m in r.m] for r in spark.createDataFrame(rows, "doc_id bigint, text string").select(
+        "doc_id", licenses.matches(F.col("text")).alias("m")).collect()}
+    assert {t: found[i] for i, t in rows} == told
+
+
+def test_scan_finds_what_alignment_of_every_window_finds(spark):
+    """Brute force: every template against every window of its own length and a little more."""
+    rng = random.Random(6)
+    names = ["MIT", "Apache-2.0", "GPL-3.0-only", "BSL-1.0", "CC-BY-4.0-short", "CC-BY-SA-4.0-short", "Unlicense"]
+    templates = {n: licenses.TEMPLATES[n] for n in names}
+    rows = []
+    for k in range(120):
+        words = re.findall(r"[A-Za-z0-9]+", templates[rng.choice(names)])
+        for _ in range(rng.randint(0, 2)):
+            del words[rng.randrange(len(words))]
+        rows.append((k, " ".join([f"w{rng.randrange(50)}" for _ in range(rng.randint(0, 9))] + words + [f"v{rng.randrange(50)}" for _ in range(9)])))
+    known, wanted = licenses.Templates(templates, 0.8), {}
+    for k, text in rows:
+        words = licenses._hashes(text)
+        wanted[k] = {name for name, template, _, marks, others in known.items for i in range(len(words))
+                     for part in [words[i:i + len(template) + 1]]
+                     for pairs in [licenses.align(template, part)] if len(pairs) >= 0.8 * len(template) - 1e-9
+                     for held in [part[pairs[0][1]:pairs[-1][1] + 1]] if all(licenses._stands(x, held) for x in marks)
+                     and not any(licenses._stands(x, part[pairs[0][1]:] + words[i + len(part):][:12]) for x in others)}
+    found = {r.doc_id: {m.license for m in r.m} for r in spark.createDataFrame(rows, "doc_id bigint, text string").select(
+        "doc_id", licenses.matches(F.col("text"), templates).alias("m")).collect()}
+    assert found == wanted and sum(map(bool, wanted.values())) > 40
