@@ -4,22 +4,11 @@
 STACK_FILE = "particles.%d.mrcs"
 STACK_CHUNK_FILE = "particles.%d.%d.mrcs"
 LATENT_EPOCH_FILE = "z.%d.pkl"
-LATENT_FINAL_FILE = "z.pkl"
-WEIGHTS_EPOCH_FILE = "weights.%d.pkl"
 WEIGHTS_FINAL_FILE = "weights.pkl"
 ANALYSIS_DIR = "analyze.%d"
-LANDSCAPE_DIR = "landscape.%d"
 VOLUME_FILE = "vol_%03d.mrc"
 KMEANS_VOLUME_FILE = "kmeans%d/vol_%03d.mrc"
-KMEANS_Z_FILE = "kmeans%d/z_values.txt"
-KMEANS_CENTRES_FILE = "kmeans%d/centers_ind.txt"
-COMPONENT_VOLUME_FILE = "pc%d/vol_%03d.mrc"
-PATH_FILE = "graph_traversal/path.txt"
-PATH_Z_FILE = "graph_traversal/z.path.txt"
-CLUSTERING_DIR = "clustering_L2_%s_%d"
 
 EPOCH_CHOICES = {0: "last", 1: "selection"}
-DISPLAY_CHOICES = {0: "slices", 1: "chimera"}
-ABINITIO_CHOICES = {0: "homogeneous", 1: "heterogeneous"}
 LINKAGE_CHOICES = {0: "average", 1: "ward"}
 # End of fixed values.

@@ -33,9 +33,6 @@ LATENTS = T.StructType([
     T.StructField("position", T.LongType()),
     T.StructField("z", VECTOR),
 ])
-FLEX_PARTICLES = T.StructType(
-    PARTICLES.fields + [T.StructField("z", VECTOR), T.StructField("prog", T.StringType())]
-)
 VOLUMES = T.StructType([
     T.StructField("vol_id", T.IntegerType()),
     T.StructField("file", T.StringType()),
@@ -45,28 +42,11 @@ CENTRES = T.StructType([
     T.StructField("centre_id", T.IntegerType()),
     T.StructField("z", VECTOR),
 ])
-PATH = T.StructType([
-    T.StructField("leg", T.IntegerType()),
-    T.StructField("step", T.IntegerType()),
-    T.StructField("position", T.LongType()),
-])
-ARTIFACTS = T.StructType([
-    T.StructField("run_id", T.LongType()),
-    T.StructField("artifact", T.StringType()),
-    T.StructField("epoch", T.IntegerType()),
-    T.StructField("path", T.StringType()),
-])
 LINEAGE = T.StructType([
     T.StructField("child", T.LongType()),
     T.StructField("parent", T.LongType()),
     T.StructField("kind", T.StringType()),
 ])
-FINDINGS = T.StructType([
-    T.StructField("run_id", T.LongType()),
-    T.StructField("level", T.StringType()),
-    T.StructField("rule", T.StringType()),
-    T.StructField("message", T.StringType()),
-])
 
 
 def require_columns(df: DataFrame, schema: T.StructType, *, optional: tuple[str, ...] = ()) -> DataFrame:

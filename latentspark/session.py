@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringTy
 BROADCAST_BYTES = 64 << 20
 
 _local_dirs: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def build_session(master: str | None = None, app: str = "latentspark", **conf) -> SparkSession:
@@ -65,9 +66,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{working_dir(spark)}/latentspark-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.setdefault(spark.conf.get("spark.app.id", "local"), []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession) -> int:
+    """Delete the tables that ``cut_lineage`` wrote in this session; frames made from them can be read no more.
+
+    A long-lived session calls this between jobs, so that shared storage does not fill.
+    """
+    paths = _written.pop(spark.conf.get("spark.app.id", "local"), [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
+
+
 def has_rows(df: DataFrame) -> bool:
     return len(df.limit(1).collect()) > 0
 

@@ -1,11 +1,14 @@
 """Files in and out."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from latentspark.operators import particles, position, runs
 from latentspark.plans import jobs
+from latentspark import session
 from latentspark.session import build_session, working_dir
 from latentspark.sources import artifacts, epochs, log, star, tables, text
 
@@ -294,3 +297,11 @@ def test_analysis_refuses_and_publishes_nothing(spark, tmp_path):
         done = jobs.analyze_run(run, 1, artifacts_of, table, found, f"{out}-{which}", which=which, k=3)
         assert done.folder.endswith("analyze.4") and done.volumes.count() == 3 and done.warnings.count() == 0
         assert {r.apix for r in done.volumes.collect()} == {2.0}
+
+
+def test_working_tables_are_deleted_on_request(spark):
+    session.drop_tables(spark)
+    kept = session.cut_lineage(spark.range(3))
+    path = session._written[spark.conf.get("spark.app.id")][-1]
+    assert kept.count() == 3 and os.path.isdir(path)
+    assert session.drop_tables(spark) == 1 and not os.path.exists(path) and session.drop_tables(spark) == 0
