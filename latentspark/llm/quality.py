@@ -25,6 +25,7 @@ from latentspark.llm.words import CLASSES, blocks, hash_spans, mix, owners, span
 BITS = 20
 SAMPLE_ROWS = 6000
 SAMPLE_BYTES = 32_768
+_SCORED = 1 << 20        # bytes of text scored together, which take about 40 bytes each
 _REPEAT, _CAPITALS, _PAIR = np.uint64(1), np.uint64(2), np.uint64(0xD6E8FEB86659FD93)
 _UPPER = np.zeros(256, np.uint8)
 _UPPER[ord("A"):ord("Z") + 1] = 1
@@ -118,7 +119,7 @@ def score(text: Column, model_of) -> Column:
         for batch in batches:
             data, offsets = text_bytes(batch)
             out = np.zeros(len(batch))
-            for i, j in blocks(offsets):
+            for i, j in blocks(offsets, _SCORED):
                 part = data[offsets[i]:offsets[j]]
                 where, keys, words = features(part, offsets[i:j + 1] - offsets[i], bits)
                 dot = np.bincount(where, weights[keys], minlength=j - i) / np.maximum(words, 1)
