@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
-_SPARK = {"VECTOR": "ARRAY<DOUBLE>", "[[": "array(", "]]": ")"}
-_DUCK = {"VECTOR": "DOUBLE[]", "[[": "[", "]]": "]"}
+_SPARK = {"VECTOR": "ARRAY<DOUBLE>", "[[": "array(", "]]": ")", "FIRST_EIGHT": "slice(embedding, 1, 8)"}
+_DUCK = {"VECTOR": "DOUBLE[]", "[[": "[", "]]": "]", "FIRST_EIGHT": "embedding[1:8]"}
 
 VIEWS = {
     # Particles: ids are not consecutive; errors have no coordinate, clicks no transform.
@@ -34,6 +34,7 @@ VIEWS = {
         FROM events""",
     "index_list": "SELECT l_partkey AS position FROM lineitem",
     "latents": "SELECT vec_id AS position, label, CAST(embedding AS VECTOR) AS z FROM embeddings",
+    "latents8": "SELECT vec_id AS position, CAST(FIRST_EIGHT AS VECTOR) AS z FROM embeddings",
     "particle_latents": """
         SELECT event_id AS position, [[value / 100e0, user_id / 50e0, hour(ts) / 8e0]] AS z
         FROM events""",

@@ -432,6 +432,13 @@ def knn_join_pivots(spark, sf):
         "position", "neighbour", r6("dist").alias("dist"))
 
 
+@query("knn_join_eight", f"""{ctes('latents8')}, {KNN_SQL.replace('latents', 'latents8')}
+    SELECT position, neighbour, {sql6('dist')} AS dist FROM near""")
+def knn_join_eight(spark, sf):
+    return neighbours.knn_join(view(spark, sf, "latents8"), 10, block_rows=60, one_cell_rows=50).select(
+        "position", "neighbour", r6("dist").alias("dist"))
+
+
 @query("knn_join_particles")
 def knn_join_particles(spark, sf):
     return neighbours.knn_join(view(spark, sf, "particle_latents"), 5)

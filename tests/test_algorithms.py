@@ -55,6 +55,26 @@ def test_knn_join_is_exact(spark, make, block_rows, one_cell_rows):
         assert r["dist"] == pytest.approx(np.linalg.norm(x[r["position"]] - x[r["neighbour"]]), abs=1e-12)
 
 
+def test_knn_sends_vectors_once_per_tile(spark):
+    x = RNG.normal(size=(2_000, 8))
+    report = {}
+    out = neighbours.knn_join(table(spark, x), 5, one_cell_rows=50, report=report).collect()
+    assert {(r["position"], r["neighbour"]) for r in out} == brute_knn(x, 5)
+    assert report["vectors"] == 2_000 and report["near"] <= 2_000 * neighbours.NEAR_TILES
+    # Some 44 cells in at most 32 tiles: a point goes to fewer tiles than there are cells within reach.
+    assert report["near"] + report["rest"] < 25 * 2_000
+
+
+def test_tiles_hold_whole_blocks_within_the_limit():
+    pivots, sizes = RNG.normal(size=(90, 3)), RNG.integers(1, 40, 90)
+    sizes[7] = 500
+    tile = neighbours._tiles(pivots, sizes, 100)
+    total = np.bincount(tile, sizes)
+    assert (total[total > 100] == 500).all() and sorted(set(tile)) == list(range(len(total)))
+    same = neighbours._tiles(np.zeros((6, 2)), np.full(6, 10), 20)
+    assert np.bincount(same).max() <= 2
+
+
 def test_knn_of_nothing(spark):
     assert neighbours.knn_join(table(spark, np.empty((0, 2))), 3).count() == 0
 
