@@ -142,6 +142,51 @@ def sketch(spark, sf):
     return centres.sketch(latents, 40).select("centre_id", F.size("z").alias("zdim"))
 
 
+# A coreset of about 2,000 rows, seeds from all rows, and what three rounds on either cost.
+CORESET_SQL = """facts AS (
+        SELECT count(*) AS n, avg(z[1]) AS a, avg(z[2]) AS b, avg(z[3]) AS c,
+               (var_samp(z[1]) + var_samp(z[2]) + var_samp(z[3])) * (count(*) - 1) AS spread FROM particle_latents),
+    chances AS (SELECT position, z, least(1e0, 2000 * (0.5e0 / n + 0.5e0 * (
+                    (z[1]-a)*(z[1]-a) + (z[2]-b)*(z[2]-b) + (z[3]-c)*(z[3]-c)) / spread)) AS chance
+                FROM particle_latents, facts),
+    coreset AS (SELECT position, z, 1 / chance AS weight FROM chances
+                WHERE CAST(concat('0x', substr(md5(concat('1:', position)), 1, 12)) AS BIGINT) / 281474976710656e0 < chance)"""
+
+
+def _weighted_lloyd_sql(k: int, rounds: int) -> str:
+    parts = [f"""c0 AS (SELECT CAST(i AS INT) AS centre_id, z
+        FROM (SELECT unnest(range({k})) AS i) s JOIN particle_latents l
+          ON l.position = i * (SELECT count(*) FROM particle_latents) // {k})"""]
+    for r in range(1, rounds + 1):
+        parts.append(f"""a{r} AS (SELECT l.position, any_value(l.z) AS z, any_value(l.weight) AS weight,
+                arg_min(c.centre_id, list_distance(l.z, c.z)) AS centre_id FROM coreset l, c{r - 1} c GROUP BY 1),
+        m{r} AS (SELECT centre_id, [sum(weight * z[1]) / sum(weight), sum(weight * z[2]) / sum(weight),
+                                    sum(weight * z[3]) / sum(weight)] AS z FROM a{r} GROUP BY 1),
+        c{r} AS (SELECT c.centre_id, coalesce(m.z, c.z) AS z FROM c{r - 1} c LEFT JOIN m{r} m USING (centre_id))""")
+    return ", ".join(parts)
+
+
+def _coreset(spark, sf):
+    return centres.coreset(view(spark, sf, "particle_latents"), 2_000)
+
+
+@query("coreset", f"""{ctes('particle_latents')}, {CORESET_SQL}
+    SELECT position, {sql6('weight')} AS weight FROM coreset""")
+def coreset(spark, sf):
+    return _coreset(spark, sf).select("position", r6("weight").alias("weight"))
+
+
+@query("coreset_lloyd", f"""{ctes('particle_latents')}, {CORESET_SQL}, {_weighted_lloyd_sql(8, 3)}
+    SELECT centre_id, CAST(i - 1 AS INT) AS dim, {sql6('v')} AS v
+    FROM (SELECT centre_id, generate_subscripts(z, 1) AS i, unnest(z) AS v FROM c3) d""")
+def coreset_lloyd(spark, sf):
+    """Lloyd on the coreset, from seeds of the whole table."""
+    seeds = centres.spaced_seeds(view(spark, sf, "particle_latents"), 8)
+    out = centres.kmeans_lloyd(cut_lineage(_coreset(spark, sf)), seeds, 3)
+    return out.select("centre_id", F.posexplode("z").alias("dim", "v")).select(
+        "centre_id", "dim", r6("v").alias("v"))
+
+
 @query("particle_states", f"""{CENTRED}, {NEAREST_SQL}, {STATES_SQL}
     SELECT position, centre_id, state FROM assigned JOIN states USING (centre_id)""")
 def particle_states(spark, sf):

@@ -10,11 +10,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from latentspark.functions.matrices import from_matrix, nearest_k, to_matrix
+from latentspark.functions.vectors import literal_vector, squared_distance
 from latentspark.schemas import CENTRES
 from latentspark.session import broadcast_if_small, cut_lineage
 
@@ -22,6 +24,9 @@ from latentspark.session import broadcast_if_small, cut_lineage
 MAX_CENTRE_BYTES = 64 * 1024 * 1024
 # Blocks of centres that one pass over the particles compares.
 _CHAIN = 4
+# Expected rows of a coreset: at least this many, and this many for each centre.
+CORESET_ROWS = 50_000
+CORESET_ROWS_PER_CENTRE = 200
 
 
 @dataclass(frozen=True)
@@ -173,9 +178,12 @@ def kmeans_lloyd(latents: DataFrame, seeds: DataFrame, rounds: int) -> DataFrame
 
     Each task adds up its own rows per centre, so one row per centre and task is
     shuffled whatever the cluster sizes. A centre without particles stays put. Centres
-    that are too many for one block stay a table.
+    that are too many for one block stay a table. Rows count by their ``weight`` if
+    there is such a column.
     """
     spark = latents.sparkSession
+    if "weight" not in latents.columns:
+        latents = latents.withColumn("weight", F.lit(1.0))
     stored, blocks = store_centres(seeds)
     if blocks > 1:
         for _ in range(rounds):
@@ -184,7 +192,7 @@ def kmeans_lloyd(latents: DataFrame, seeds: DataFrame, rounds: int) -> DataFrame
     table = next(centre_blocks(stored), None)
     if table is None:
         raise ValueError("no seeds")
-    kept = latents.select("z").persist(StorageLevel.MEMORY_AND_DISK)
+    kept = latents.select("z", "weight").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for _ in range(rounds):
             table = _lloyd_round(kept, table)
@@ -195,11 +203,10 @@ def kmeans_lloyd(latents: DataFrame, seeds: DataFrame, rounds: int) -> DataFrame
 
 def _lloyd_table(latents: DataFrame, centres: DataFrame) -> DataFrame:
     """One round with the centres as a table; sums are added up before the shuffle."""
-    near = _assigned(latents, centre_blocks(centres))
-    if "z" not in near.columns:
-        near = near.join(latents.select("position", "z"), "position")
-    means = near.select("centre_id", F.posexplode("z").alias("i", "v")).groupBy("centre_id", "i").agg(
-        F.avg("v").alias("mean"))
+    near = _assigned(latents, centre_blocks(centres)).select("position", "centre_id").join(
+        latents.select("position", "z", "weight"), "position")
+    means = near.select("centre_id", "weight", F.posexplode("z").alias("i", "v")).groupBy("centre_id", "i").agg(
+        (F.sum(F.col("weight") * F.col("v")) / F.sum("weight")).alias("mean"))
     moved = means.groupBy("centre_id").agg(F.sort_array(F.collect_list(F.struct("i", "mean"))).alias("m"))
     return centres.join(moved, "centre_id", "left").select("centre_id", F.coalesce("m.mean", "z").alias("z"))
 
@@ -209,42 +216,74 @@ def _lloyd_round(latents: DataFrame, table: CentreTable) -> CentreTable:
     index = np.arange(len(z))
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, count = np.zeros(z.shape), np.zeros(len(z), dtype=np.int64)
+        total, count = np.zeros(z.shape), np.zeros(len(z))
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            x = to_matrix(batch.column("z"))
+            x, weight = to_matrix(batch.column("z")), batch.column("weight").to_numpy()
             for rows, centre, _ in nearest_k(x, z, index, 1):
-                count += np.bincount(centre, minlength=len(z))
+                count += np.bincount(centre, weight[rows], len(z))
                 for d in range(z.shape[1]):
-                    total[:, d] += np.bincount(centre, x[rows, d], len(z))
+                    total[:, d] += np.bincount(centre, weight[rows] * x[rows, d], len(z))
         used = np.flatnonzero(count)
         if len(used):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used.astype(np.int32)), pa.array(count[used]), from_matrix(total[used])],
                 names=["c", "n", "s"])
 
-    partial = latents.mapInArrow(add_up, "c int, n bigint, s array<double>")
+    partial = latents.mapInArrow(add_up, "c int, n double, s array<double>")
     means = partial.select("c", "n", F.posexplode("s").alias("i", "v")).groupBy("c", "i").agg(
         (F.sum("v") / F.sum("n")).alias("mean"))
-    moved = z.copy()
-    for row in means.collect():
-        moved[row["c"], row["i"]] = row["mean"]
+    moved, found = z.copy(), means.toArrow()  # as many numbers as the centres have
+    moved[found["c"].to_numpy(), found["i"].to_numpy()] = found["mean"].to_numpy()
     return CentreTable(table.ids, moved)
 
 
 def kmeans(latents: DataFrame, k: int = 20, seed: int = 1, max_rounds: int = 20) -> DataFrame:
-    """MLlib k-means (k-means|| start), ``max_rounds`` rounds at most; centres numbered in coordinate order."""
-    prepared = latents.select(array_to_vector("z").alias("features"))
-    model = KMeans(k=k, seed=seed, maxIter=max_rounds).fit(prepared)
+    """MLlib k-means (k-means|| start), ``max_rounds`` rounds at most; centres numbered in coordinate order.
+
+    Rows count by their ``weight`` if there is such a column.
+    """
+    weight = ["weight"] if "weight" in latents.columns else []
+    prepared = latents.select(array_to_vector("z").alias("features"), *weight)
+    model = KMeans(k=k, seed=seed, maxIter=max_rounds, **({"weightCol": "weight"} if weight else {})).fit(prepared)
     centres = sorted(tuple(float(v) for v in c) for c in model.clusterCenters())
     return latents.sparkSession.createDataFrame(
         [(i, list(c)) for i, c in enumerate(centres)], CENTRES)
 
 
-def sketch(latents: DataFrame, n: int = 500, seed: int = 1) -> DataFrame:
-    """Representative points of the latent space: ``n`` k-means centres."""
-    return kmeans(latents, n, seed)
+def coreset(latents: DataFrame, size: int, seed: int = 1) -> DataFrame:
+    """A weighted sample ``(position, z, weight)`` of about ``size`` rows that stands for all rows in k-means.
+
+    A row is kept with a probability that is half even and half by its squared distance from
+    the mean, up to 1, and weighs the inverse, so weighted sums are unbiased for any
+    centres. The draw is a hash of ``seed`` and ``position``: a task run again keeps the same
+    rows. One pass finds mean and spread, one filters; nothing is shuffled. Positions must be
+    unique and vectors finite. Without rows the sample is empty; equal vectors are drawn evenly;
+    if ``size`` is twice the table's rows or more, every row stays and weighs 1.
+    """
+    latents = latents.select("position", "z")
+    if latents.isEmpty():
+        return latents.withColumn("weight", F.lit(1.0))
+    found = latents.select(Summarizer.metrics("count", "mean", "variance").summary(
+        array_to_vector("z")).alias("s")).first()["s"]
+    n, spread = found["count"], float(found["variance"].toArray().sum()) * (found["count"] - 1)
+    share = F.lit(0.5 / n) if spread == 0 else (
+        F.lit(0.5 / n) + 0.5 * squared_distance(F.col("z"), literal_vector(found["mean"].toArray())) / spread)
+    chance = F.least(F.lit(1.0), F.lit(float(size)) * share)
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("position").cast("string")))
+    draw = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / float(2 ** 48)
+    return latents.withColumn("weight", 1.0 / chance).filter(draw * F.col("weight") < 1.0)
+
+
+def sketch(latents: DataFrame, n: int = 500, seed: int = 1, size: int | None = None) -> DataFrame:
+    """Representative points of the latent space: ``n`` k-means centres of a weighted coreset.
+
+    The coreset has about ``size`` rows, by default ``CORESET_ROWS`` or, if more,
+    ``CORESET_ROWS_PER_CENTRE`` for each centre; the rounds of k-means read only that.
+    """
+    size = size or max(CORESET_ROWS, CORESET_ROWS_PER_CENTRE * n)
+    return kmeans(cut_lineage(coreset(latents, size, seed)), n, seed)
 
 
 def particle_states(assigned: DataFrame, states: DataFrame) -> DataFrame:

@@ -267,6 +267,46 @@ def test_unreachable_leg_is_one_empty_row(spark):
     assert [tuple(r) for r in out] == [(0, 0, None, None), (1, 0, 3, 0.0), (1, 1, 2, 0.0)]
 
 
+def _cost(x, found):
+    z = np.array([r["z"] for r in found.collect()])
+    return float((((x[:, None, :] - z[None, :, :]) ** 2).sum(axis=2)).min(axis=1).sum())
+
+
+def test_coreset_costs_about_as_much_as_all_rows(spark):
+    x = np.vstack([RNG.normal(size=(4_000, 3)) + c for c in ([0, 0, 0], [6, 0, 0], [0, 9, 0])] + [RNG.normal(size=(40, 3)) + 40])
+    latents = table(spark, x)
+    sample = centres.coreset(latents, 1_000).cache()
+    rows = sample.collect()
+    assert 850 < len(rows) < 1_150
+    assert sum(r["weight"] for r in rows) == pytest.approx(len(x), rel=0.1)
+    assert sum(r["position"] >= 12_000 for r in rows) >= 30  # far rows are sure to be seen
+    seeds = centres.spaced_seeds(latents, 8)
+    full, small = (_cost(x, centres.kmeans_lloyd(t, seeds, 5)) for t in (latents, sample))
+    assert small < 1.1 * full
+    assert {r["position"] for r in centres.coreset(latents.repartition(7), 1_000).collect()} == {r["position"] for r in rows}
+
+
+def test_coreset_of_odd_tables(spark):
+    assert centres.coreset(table(spark, np.empty((0, 2))), 10).count() == 0
+    assert [r["weight"] for r in centres.coreset(table(spark, np.ones((1, 2))), 10).collect()] == [1.0]
+    same = centres.coreset(table(spark, np.ones((600, 2))), 100).collect()
+    assert {round(r["weight"], 6) for r in same} == {12.0} and 20 < len(same) < 90
+    x = RNG.normal(size=(50, 2))
+    assert [r["weight"] for r in centres.coreset(table(spark, x), 100).collect()] == [1.0] * 50
+
+
+def test_weighted_lloyd_equals_repeated_rows(spark, monkeypatch):
+    x, w = RNG.normal(size=(60, 2)), RNG.integers(1, 5, 60)
+    plain = table(spark, np.repeat(x, w, axis=0))
+    weighted = spark.createDataFrame(
+        [(i, v.tolist(), float(n)) for i, (v, n) in enumerate(zip(x, w))], "position bigint, z array<double>, weight double")
+    seeds = centre_table(spark, x[:4])
+    want = [r["z"] for r in centres.kmeans_lloyd(plain, seeds, 3).orderBy("centre_id").collect()]
+    assert np.allclose([r["z"] for r in centres.kmeans_lloyd(weighted, seeds, 3).orderBy("centre_id").collect()], want)
+    monkeypatch.setattr(centres, "MAX_CENTRE_BYTES", 32)
+    assert np.allclose([r["z"] for r in centres.kmeans_lloyd(weighted, seeds, 3).orderBy("centre_id").collect()], want)
+
+
 def test_pca_equals_dense_eigendecomposition(spark):
     x = RNG.normal(size=(200, 5)) @ np.diag([5, 3, 2, 1, 0.5]) + 7.0
     model = components.pca(table(spark, x), 3)
