@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from latentspark.llm.words import CLASSES, blocks, hash_spans, owners, spans, text_bytes
@@ -332,6 +332,17 @@ def _search_texts(text, index_items, edits, plan):
     return run(text)
 
 
+def _hashed(text: Column) -> Column:
+    """The word hashes of every text, one after another."""
+    @F.arrow_udf("binary")
+    def run(batch: pa.Array) -> pa.Array:
+        data, offsets = text_bytes(batch)
+        own, h = words_of(data, offsets)
+        cuts = np.searchsorted(own, np.arange(len(batch) + 1))
+        return pa.array([h[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())
+    return run(text)
+
+
 def _searches(benchmark: DataFrame, text, edits: float) -> Iterator:
     """A column of the leaks in ``text`` for every block of items."""
     spark = benchmark.sparkSession
@@ -339,13 +350,10 @@ def _searches(benchmark: DataFrame, text, edits: float) -> Iterator:
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // BLOCK_BYTES))
     for part in range(parts):
-        block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).toArrow()
-        data, offsets = text_bytes(block["text"].combine_chunks()) if block.num_rows else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
-        own, h = words_of(data, offsets)
-        cuts = np.searchsorted(own, np.arange(block.num_rows + 1))
-        held = spark.sparkContext.broadcast([
-            (i, h[a:b].tobytes()) for i, a, b in zip(block["item_id"].to_pylist(), cuts[:-1], cuts[1:])])
-        yield _search_texts(text, held, edits, lsh_plan(np.unique(np.diff(cuts)[np.diff(cuts) > 0]).tolist(), edits))
+        block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).select("item_id", _hashed(F.col("text")).alias("h")).toArrow()
+        hashes = block["h"].to_pylist()
+        held = spark.sparkContext.broadcast(list(zip(block["item_id"].to_pylist(), hashes)))
+        yield _search_texts(text, held, edits, lsh_plan({len(h) // 8 for h in hashes if h}, edits))
 
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame, edits: float = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

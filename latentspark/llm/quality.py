@@ -88,6 +88,7 @@ def follow_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, pas
     for _ in range(passes):
         for i in order.permutation(len(rows)):
             at, x, y = rows[i]
+            at, x = np.asarray(at, np.int64), np.asarray(x, np.float64)
             w = solve(z[at], n[at])
             p = 1 / (1 + np.exp(-np.clip(w @ x + bias, -35, 35)))
             error = (p - y) * weigh[y]
@@ -97,18 +98,34 @@ def follow_leader(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, pas
             bias_z += error - (np.sqrt(bias_n + error * error) - np.sqrt(bias_n)) / alpha * bias
             bias_n += error * error
             bias = -bias_z / ((beta + np.sqrt(bias_n)) / alpha + l2)
-    return Model(solve(z, n).astype(np.float32), float(bias), bits)
+    weights, seen = np.zeros(1 << bits, np.float32), np.flatnonzero(n)
+    weights[seen] = solve(z[seen], n[seen])
+    return Model(weights, float(bias), bits)
 
 
 def train(documents: DataFrame, labels: DataFrame, train_rows: Column, label: str = "quality", bits: int = BITS,
           rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES) -> Model:
-    """Fit on at most ``rows`` labelled documents of at most ``max_bytes`` (the documented bound)."""
+    """Fit on at most ``rows`` labelled documents of at most ``max_bytes`` (the documented bound).
+
+    The sample does not come to the driver: a task fits, and the weights other than zero come back.
+    """
     sample = labelled_sample(documents, labels, label, train_rows, rows, max_bytes)
-    found = sample.select("y", "at", _sparse(F.col("text"), bits).alias("f")).select(
-        "y", "at", "f.buckets", "f.shares").toArrow().sort_by("at")
-    examples = [(np.asarray(b.values, np.int64), np.asarray(s.values, np.float64), int(y))
-                for b, s, y in zip(found["buckets"], found["shares"], found["y"].to_pylist())]
-    return follow_leader(examples, bits)
+    found = sample.select("y", "at", _sparse(F.col("text"), bits).alias("f")).select("y", "at", "f.buckets", "f.shares")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        examples = sorted((row for batch in batches for row in zip(
+            batch["at"].to_pylist(), batch["buckets"], batch["shares"], batch["y"].to_pylist())), key=lambda row: row[0])
+        model = follow_leader([(b.values.to_numpy(), s.values.to_numpy(), y) for _, b, s, y in examples], bits)
+        kept = np.flatnonzero(model.weights)
+        yield pa.RecordBatch.from_pydict({"buckets": [kept.astype(np.int32)], "weights": [model.weights[kept]], "bias": [model.bias]},
+                                         pa.schema([("buckets", pa.list_(pa.int32())), ("weights", pa.list_(pa.float32())), ("bias", pa.float64())]))
+
+    fitted = found.repartition(1).mapInArrow(fit, "buckets array<int>, weights array<float>, bias double").toArrow()
+    weights, bias = np.zeros(1 << bits, np.float32), 0.0
+    if fitted.num_rows:
+        weights[fitted["buckets"][0].values.to_numpy()] = fitted["weights"][0].values.to_numpy()
+        bias = fitted["bias"][0].as_py()
+    return Model(weights, bias, bits)
 
 
 def score(text: Column, model_of) -> Column:

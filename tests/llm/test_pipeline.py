@@ -3,7 +3,9 @@
 import random
 
 import corpus_pipeline
-from latentspark.llm import simhash
+import numpy as np
+from latentspark.llm import quality, simhash, words
+from latentspark.llm.common import table
 from pyspark.sql import functions as F
 
 
@@ -91,3 +93,31 @@ def test_repeated_and_null_ids(spark, tmp_path):
     clean = corpus_pipeline.without_benchmark(
         spark, spark.createDataFrame(rows, "doc_id bigint, text string"), str(tmp_path)).collect()
     assert sorted(map(tuple, clean), key=str) == sorted([(7, b), (7, b), (None, c), (8, None), (9, "")], key=str)
+
+
+def test_driver_holds_neither_sample_nor_item_texts(spark, tmp_path, monkeypatch):
+    """The classifier is fitted and items are hashed in tasks; the weights are those of a fit over the sample, in its order."""
+    rng = random.Random(11)
+    texts = {i: " ".join(f"{'good' if i % 2 else 'bad'}{int(rng.random() ** 3 * 4000)}" for _ in range(1500)) for i in range(120)}
+    docs = spark.createDataFrame([*texts.items()], "doc_id bigint, text string")
+    spark.createDataFrame([(i, i % 2, 0) for i in texts], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, texts[1][:300]), (2, None)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    labels, rows = table(spark, str(tmp_path), "labels"), []
+    order = quality.labelled_sample(docs, labels, "quality", F.lit(True), 6000, 32_768).orderBy("at").collect()
+    for r in order:
+        data = np.frombuffer(r.text.encode(), np.uint8)
+        _, keys, count = quality.features(data, np.array([0, len(data)]), quality.BITS)
+        found, counts = np.unique(keys, return_counts=True)
+        rows.append((found, (counts / count[0]).astype(np.float32).astype(float), r.y))
+    wanted, frame, taken = quality.follow_leader(rows, quality.BITS), type(docs), []
+    monkeypatch.setattr(frame, "toArrow", lambda self, to=frame.toArrow: taken.append(to(self)) or taken[-1])
+    monkeypatch.setattr(words, "_tables", {})
+    model = quality.train(docs, labels, F.lit(True))
+    assert len(order) == 120 and np.count_nonzero(wanted.weights)
+    assert (model.weights == wanted.weights).all() and model.bias == wanted.bias
+    # A number and a bucket for each weight other than zero, and not for each text's features.
+    assert sum(t.nbytes for t in taken) < 100 + 8 * np.count_nonzero(wanted.weights) < sum(8 * len(at) for at, *_ in rows) / 4
+    assert {r.doc_id for r in corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).collect()} == {*texts} - {1}
+    assert not words._tables and all("text" not in t.column_names for t in taken)
+    empty = quality.train(docs, labels, F.lit(False))
+    assert not empty.weights.any() and empty.bias == 0
