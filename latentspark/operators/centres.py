@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,14 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from latentspark.functions.matrices import from_matrix, nearest_k, to_matrix
+from latentspark.functions.search import Best, Sent, Tree, gathered
 from latentspark.functions.vectors import literal_vector, squared_distance
 from latentspark.schemas import CENTRES
 from latentspark.session import broadcast_if_small, cut_lineage
 
 # Bytes of centres that are sent to every task at a time.
 MAX_CENTRE_BYTES = 64 * 1024 * 1024
-# Blocks of centres that one pass over the particles compares.
-_CHAIN = 4
 # Expected rows of a coreset: at least this many, and this many for each centre.
 CORESET_ROWS = 50_000
 CORESET_ROWS_PER_CENTRE = 200
@@ -65,55 +63,24 @@ def assign_nearest(latents: DataFrame, centres: DataFrame) -> DataFrame:
     """Nearest centre of each particle as ``(position, centre_id, dist)``; ties go
     to the lowest centre id.
 
-    Centres go to every task, a larger table block by block with the best so far
-    carried along; the particles are not shuffled.
+    Centres go to every task as trees of boxes, a larger table block by block, so a particle
+    is compared with the centres near it only; the particles are not shuffled.
     """
-    return _assigned(latents, centre_blocks(centres)).select("position", "centre_id", "dist")
+    return _assigned(latents, centre_blocks(centres))
 
 
 def _assigned(latents: DataFrame, tables: Iterator[CentreTable]) -> DataFrame:
-    """``position, centre_id, dist``, and with several tables ``z`` as well."""
-    first, second = next(tables, None), next(tables, None)
-    if first is not None and second is None:
-        return _assign(latents, first)
-    best = latents.select(
-        "position", "z", F.lit(2 ** 31 - 1).alias("centre_id"), F.lit(float("inf")).alias("dist"))
-    for i, table in enumerate(chain([t for t in (first, second) if t is not None], tables)):
-        best = _improve(best if i % _CHAIN or i == 0 else cut_lineage(best), table)
-    return best.where(F.col("dist") < float("inf"))
-
-
-def _improve(best: DataFrame, table: CentreTable) -> DataFrame:
-    ids, z = table.ids, table.z
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            centre = batch.column("centre_id").to_numpy().copy()
-            dist = batch.column("dist").to_numpy().copy()
-            for rows, near, apart in nearest_k(to_matrix(batch.column("z")), z, ids, 1):
-                better = (apart < dist[rows]) | ((apart == dist[rows]) & (near < centre[rows]))
-                centre[rows[better]], dist[rows[better]] = near[better], apart[better]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("position"), batch.column("z"), pa.array(centre, pa.int32()), pa.array(dist)],
-                names=["position", "z", "centre_id", "dist"])
-
-    return best.mapInArrow(compare, "position bigint, z array<double>, centre_id int, dist double")
-
-
-def _assign(latents: DataFrame, table: CentreTable) -> DataFrame:
-    ids, z = table.ids, table.z
+    trees = Sent(latents.sparkSession, (Tree(table.z, table.ids) for table in tables))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            position = batch.column("position")
-            for rows, centre, dist in nearest_k(to_matrix(batch.column("z")), z, ids, 1):
-                yield pa.RecordBatch.from_arrays(
-                    [position.take(pa.array(rows)), pa.array(centre, pa.int32()), pa.array(dist)],
-                    names=["position", "centre_id", "dist"])
+        for part in gathered(batches):
+            z, best = to_matrix(part["z"]), Best(part.num_rows, 1)
+            for tree in trees:
+                tree.search(z, best)
+            rows, centre, dist = best.found()
+            yield from pa.table({
+                "position": part["position"].take(pa.array(rows)), "centre_id": pa.array(centre, pa.int32()),
+                "dist": dist}).to_batches()
 
     return latents.select("position", "z").mapInArrow(
         assign, "position bigint, centre_id int, dist double")

@@ -99,6 +99,65 @@ def test_assign_nearest_takes_the_lowest_of_equal_centres(spark):
     assert sorted((r["position"], r["centre_id"]) for r in out.collect()) == [(0, 1), (1, 0), (2, 0), (3, 3)]
 
 
+def compared(monkeypatch):
+    """Counts the pairs of rows that trees compare, in this process."""
+    from latentspark.functions import search
+
+    pairs, plain = [], search.Tree._compare
+    monkeypatch.setattr(search.Tree, "_compare", lambda self, x, right, slack, limit, own, rows, best: (
+        pairs.append(len(x) * len(own)), plain(self, x, right, slack, limit, own, rows, best))[1])
+    return pairs
+
+
+@pytest.mark.parametrize("d, k, offset", [(1, 3, 0.0), (3, 1, 0.0), (3, 6, 1e5), (8, 4, 0.0), (24, 4, 0.0), (24, 3, 1e4)])
+def test_tree_is_exact(d, k, offset):
+    """Ties, copies, several trees, small differences far from the origin (single precision screens from 16 on)."""
+    from latentspark.functions.search import Best, Tree
+
+    y, x = RNG.normal(size=(900, d)) + offset, RNG.normal(size=(150, d)) + offset
+    y[:200], y[200:250], x[:20] = y[0], np.round(y[200:250], 1), y[0]
+    ids, best = RNG.permutation(900), Best(150, k)
+    for part in (slice(0, 300), slice(300, 301), slice(301, 900)):
+        Tree.unpacked(Tree(y[part], ids[part], 20).packed()).search(x, best)
+    for i, row in enumerate(x):
+        dist = np.sqrt(((y - row) ** 2).sum(axis=1))
+        order = np.lexsort((ids, dist))[:k]
+        assert best.ids[i].tolist() == ids[order].tolist() and best.dist[i].tolist() == dist[order].tolist()
+
+
+def test_tree_with_odd_rows():
+    from latentspark.functions.search import Best, Tree
+
+    y, best = np.array([[0.0], [np.inf], [5.0]]), Best(3, 2)
+    Tree(y, np.arange(3)).search(np.array([[1.0], [np.nan], [np.inf]]), best)
+    assert [v.tolist() for v in best.found()] == [[0, 0], [0, 2], [1.0, 4.0]]
+    Tree(np.empty((0, 1)), np.arange(0)).search(np.zeros((3, 1)), best)
+    Tree(np.array([[np.nan]]), np.arange(1)).search(np.zeros((3, 1)), best)
+    assert len(best.found()[0]) == 2
+
+
+def test_assign_nearest_compares_near_centres_only(monkeypatch):
+    """The pairs that are compared do not grow with particles times centres."""
+    from latentspark.functions.search import Best, Tree
+
+    pairs, share = compared(monkeypatch), []
+    for n in (2_000, 32_000):
+        pairs.clear()
+        Tree(RNG.normal(size=(n, 3)), np.arange(n)).search(RNG.normal(size=(n, 3)), Best(n, 1))
+        share.append(sum(pairs) / n)
+    assert share[1] < 2.5 * share[0] and share[1] < 32_000 / 8
+
+
+def test_assign_nearest_of_many_centres_is_exact(spark):
+    x, c = crowded(400), RNG.normal(size=(3_000, 3))
+    c[7] = c[2_000]
+    dist = np.sqrt(((x[:, None] - c[None]) ** 2).sum(axis=2))
+    out = centres.assign_nearest(table(spark, x).repartition(3), centre_table(spark, c)).collect()
+    assert {(r["position"], r["centre_id"], r["dist"]) for r in out} == {
+        (i, int(row.argmin()), float(row.min())) for i, row in enumerate(dist)}
+    assert len(out) == 400
+
+
 def test_large_centre_tables_take_the_block_path(spark, monkeypatch):
     x, c = crowded(), RNG.normal(size=(40, 3))
     small = centres.assign_nearest(table(spark, x), centre_table(spark, c)).orderBy("position").collect()
