@@ -97,6 +97,18 @@ def test_knn_leaves_out_vectors_with_missing_components(spark):
         assert {(r["position"], r["neighbour"]) for r in out} == brute_knn(x, 3)
 
 
+def test_blocked_nearest_takes_the_best_of_all_blocks(spark, monkeypatch):
+    x, y = RNG.normal(size=(150, 3)), RNG.normal(size=(200, 3))
+    y[150:] = y[:50]
+    dist = np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2))
+    wanted = {(i, int(j)) for i, row in enumerate(dist) for j in np.lexsort((np.arange(200), row))[:3]}
+    for size in (1 << 20, 1_000):
+        monkeypatch.setattr(neighbours, "MAX_POINT_BYTES", size)
+        out = neighbours.blocked_nearest(table(spark, x), table(spark, y), 3)
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["position"], r["neighbour"]) for r in out.collect()) == sorted(wanted)
+
+
 def test_tiles_hold_whole_blocks_within_the_limit():
     pivots, sizes = RNG.normal(size=(90, 3)), RNG.integers(1, 40, 90)
     sizes[7] = 500
