@@ -88,6 +88,17 @@ def test_knn_writes_little_for_small_blocks(spark, monkeypatch):
     assert size() - before < 10 * x.nbytes
 
 
+def test_knn_sends_points_to_near_tiles_only(spark, monkeypatch):
+    """In three dimensions, with copies: most points are done in their own tile."""
+    x, report = np.vstack([RNG.random(size=(4_000, 3)), np.zeros((60, 3))]), {}
+    x[4_030:] = x[:30]
+    monkeypatch.setattr(neighbours, "MAX_POINT_BYTES", 4_096)
+    monkeypatch.setattr(neighbours, "TILE_BYTES", 1 << 14)
+    out = neighbours.knn_join(table(spark, x), 4, one_cell_rows=50, report=report).collect()
+    assert {(r["position"], r["neighbour"]) for r in out} == brute_knn(x, 4) and len(out) == 4 * len(x)
+    assert 0 < report["rest"] < 4_000
+
+
 def test_knn_leaves_out_vectors_with_missing_components(spark):
     x = RNG.normal(size=(80, 2))
     rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)] + [(80, [None, 1.0]), (81, [float("nan"), 0.0])]
@@ -97,6 +108,19 @@ def test_knn_leaves_out_vectors_with_missing_components(spark):
         assert {(r["position"], r["neighbour"]) for r in out} == brute_knn(x, 3)
 
 
+def test_neighbours_are_searched_near_the_point(monkeypatch):
+    """The pairs that are compared do not grow with the square of the rows."""
+    from latentspark.functions.search import Best, Tree
+
+    pairs, share = compared(monkeypatch), []
+    for n in (2_000, 32_000):
+        pairs.clear()
+        x = RNG.random(size=(n, 3))
+        Tree(x, np.arange(n)).search(x, Best(n, 6))
+        share.append(sum(pairs) / n)
+    assert share[1] < 2.5 * share[0]
+
+
 def test_blocked_nearest_takes_the_best_of_all_blocks(spark, monkeypatch):
     x, y = RNG.normal(size=(150, 3)), RNG.normal(size=(200, 3))
     y[150:] = y[:50]
