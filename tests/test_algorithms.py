@@ -99,6 +99,16 @@ def test_knn_sends_points_to_near_tiles_only(spark, monkeypatch):
     assert 0 < report["rest"] < 4_000
 
 
+@pytest.mark.parametrize("near, listed", [(100, 32), (100, 2), (0, 2)], ids=["tiles", "everywhere", "chunks"])
+@pytest.mark.parametrize("make", [lambda: RNG.normal(size=(400, 8)), crowded, lambda: np.round(RNG.normal(size=(400, 2)), 1)],
+                         ids=["even", "crowded", "lattice"])
+def test_knn_of_every_kind_is_exact(spark, monkeypatch, make, near, listed):
+    x = make()
+    small_tiles(monkeypatch, near, listed)
+    out = neighbours.knn_join(table(spark, x), 4, one_cell_rows=50).collect()
+    assert {(r["position"], r["neighbour"]) for r in out} == brute_knn(x, 4) and len(out) == 4 * len(x)
+
+
 def test_knn_leaves_out_vectors_with_missing_components(spark):
     x = RNG.normal(size=(80, 2))
     rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)] + [(80, [None, 1.0]), (81, [float("nan"), 0.0])]
