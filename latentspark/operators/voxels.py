@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from latentspark.functions.matrices import from_matrix, to_matrix
 from latentspark.session import broadcast_if_small, cut_lineage
 
 # Fixed value: a threshold below it means "choose automatically".
@@ -14,6 +15,11 @@ AUTO_THRESHOLD_BELOW = 0.001
 
 VOXEL = ["z", "y", "x"]
 SLAB_VOXELS = 1 << 14
+# Numbers of the directions that the driver holds at most, one row per volume; beyond that one row per voxel if
+# those are within the second limit. Numbers of whole volumes in one task call.
+VOLUME_NUMBERS = 1 << 20
+VOXEL_NUMBERS = 1 << 23
+ROW_NUMBERS = 1 << 20
 
 
 def volumes_to_voxels(df: DataFrame, box: int, column: str = "volume") -> DataFrame:
@@ -198,17 +204,25 @@ def slab_pca(slabs: DataFrame, mask: DataFrame | None = None, dim: int = 20, *,
     first directions come from products with random numbers that every slab makes for itself. Rounds end when the
     sums of squares of the wanted components change by less than ``tolerance`` of the whole. Slabs are
     written once; no row is made per voxel. Components beyond the rank of the data have score 0.
+
+    With more than ``VOLUME_NUMBERS`` of these numbers, of many volumes, the directions have a row per voxel instead
+    and a task holds some whole volumes, as long as they are within ``VOXEL_NUMBERS``.
     """
     spark = slabs.sparkSession
     if mask is not None:
         kept = broadcast_if_small(mask)
         slabs = slabs.join(kept, "slab").select("vol_id", "slab", F.transform(F.filter(
             F.arrays_zip("values", "kept"), lambda x: x["kept"]), lambda x: x["values"]).alias("values")).filter(F.size("values") > 0)
-    slabs = cut_lineage(slabs.select(F.col("vol_id").cast("int"), F.col("slab").cast("int"), F.col("values").cast("array<double>")).repartition("slab"))
-    ids = np.array([r["vol_id"] for r in slabs.select("vol_id").distinct().orderBy("vol_id").collect()], np.int64)
+    slabs = cut_lineage(slabs.select(F.col("vol_id").cast("int"), F.col("slab").cast("int"), F.col("values").cast("array<double>")))
+    places = slabs.groupBy("slab").agg(F.max(F.size("values")).alias("n")).orderBy("slab").toArrow()
+    volumes, voxels = slabs.select("vol_id").distinct().count(), int(places["n"].to_numpy().sum())
+    width = min(volumes, dim + extra)
+    if volumes * width > VOLUME_NUMBERS and voxels * min(width, voxels) <= VOXEL_NUMBERS:
+        return _pca_by_voxels(slabs, places, volumes, dim, extra, rounds, tolerance, seed)
+    ids = slabs.select("vol_id").distinct().orderBy("vol_id").toArrow()["vol_id"].to_numpy().astype(np.int64)
     if len(ids) < 2:
         return spark.createDataFrame([], "vol_id int, component int, score double, explained double")
-    width, k = min(len(ids), dim + extra), min(dim, len(ids))
+    k = min(dim, len(ids))
 
     def products(directions):
         """Products of all slabs with the directions, one row per volume, and the whole sum of squares."""
@@ -223,8 +237,7 @@ def slab_pca(slabs: DataFrame, mask: DataFrame | None = None, dim: int = 20, *,
 
         rows = slabs.groupBy("slab").applyInArrow(one, "row int, v array<double>")
         # Sums by place; a row has a few dozen numbers.
-        sums = rows.groupBy("row").agg(*[F.sum(F.get("v", F.lit(i))).alias(f"v{i}") for i in range(width)]).orderBy("row").collect()
-        whole = np.array([r[1:] for r in sums], float)
+        whole = _sums(rows, width)
         return whole[:-1], float(whole[-1, 0])
 
     found, total = products(None)
@@ -244,6 +257,114 @@ def slab_pca(slabs: DataFrame, mask: DataFrame | None = None, dim: int = 20, *,
     return _scores(spark, ids, values, vectors, total, k)
 
 
+def _sums(rows: DataFrame, width: int) -> np.ndarray:
+    """Sums of ``v`` by ``row``, in the order of the rows."""
+    found = rows.groupBy("row").agg(*[F.sum(F.get("v", F.lit(i))).alias(f"v{i}") for i in range(width)]).orderBy("row").toArrow()
+    return np.column_stack([c.to_numpy() for c in found.columns[1:]])
+
+
+def _whole_volumes(slabs: DataFrame, places: pa.Table, volumes: int) -> DataFrame:
+    """``vol_id, values``: each volume in one row, its slabs one after the other; what is missing is 0."""
+    slab, size = places["slab"].to_numpy(), places["n"].to_numpy().astype(np.int64)
+    first, voxels = np.cumsum(size) - size, int(size.sum())
+    groups = max(1, -(-volumes * voxels // ROW_NUMBERS))
+
+    def gather(rows: pa.Table) -> pa.Table:
+        ids, row = np.unique(rows["vol_id"].to_numpy(), return_inverse=True)
+        out, values = np.zeros((len(ids), voxels)), rows["values"].combine_chunks()
+        lengths, flat = values.value_lengths().to_numpy(), np.nan_to_num(np.asarray(values.flatten().fill_null(0.0), float))
+        start = np.repeat(row * voxels + first[np.searchsorted(slab, rows["slab"].to_numpy())] - np.cumsum(lengths) + lengths, lengths)
+        out.ravel()[start + np.arange(len(flat))] = flat
+        return pa.table({"vol_id": pa.array(ids, pa.int32()), "values": from_matrix(out)})
+
+    group = F.pmod(F.xxhash64("vol_id"), F.lit(groups)).alias("g")
+    return slabs.select(group, "vol_id", "slab", "values").groupBy("g").applyInArrow(gather, "vol_id int, values array<double>")
+
+
+def _pca_by_voxels(slabs: DataFrame, places: pa.Table, volumes: int, dim: int, extra: int, rounds: int, tolerance: float, seed: int) -> DataFrame:
+    """``slab_pca`` of many volumes: directions have a row per voxel, and sums of all tasks are added by voxel.
+
+    Nothing at the driver grows with the volumes; the scores are a last pass over them.
+    """
+    spark, voxels = slabs.sparkSession, int(places["n"].to_numpy().sum())
+    whole = cut_lineage(_whole_volumes(slabs, places, volumes))
+    width, k = min(volumes, voxels, dim + extra), min(dim, volumes)
+    schema = "row int, v array<double>"
+
+    def add_up(batches):
+        total = np.zeros(voxels)
+        for batch in batches:
+            if batch.num_rows:
+                total += to_matrix(batch.column("values")).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(voxels), pa.int32()), from_matrix(total[:, None])], names=["row", "v"])
+
+    mean = spark.sparkContext.broadcast(_sums(whole.mapInArrow(add_up, schema), 1)[:, 0] / volumes)
+
+    def products(directions):
+        """Products of all volumes' squares with the directions, one row per voxel, and the whole sum of squares."""
+        def one(batches):
+            out, squares = np.zeros((voxels + 1, width)), 0.0
+            for batch in batches:
+                if batch.num_rows:
+                    a = to_matrix(batch.column("values")) - mean.value
+                    out[:-1] += a.T @ (a @ directions.value)
+                    squares += (a * a).sum()
+            out[-1] = squares
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(voxels + 1), pa.int32()), from_matrix(out)], names=["row", "v"])
+
+        sums = _sums(whole.mapInArrow(one, schema), width)
+        return sums[:-1], float(sums[-1, 0])
+
+    found = np.random.default_rng(seed).standard_normal((voxels, width))
+    values, vectors, before = np.zeros(width), np.zeros((voxels, width)), None
+    for _ in range(rounds):
+        q = np.linalg.qr(found)[0]
+        held = spark.sparkContext.broadcast(q)
+        found, total = products(held)
+        held.unpersist()
+        small = q.T @ found
+        values, turned = np.linalg.eigh((small + small.T) / 2)
+        order = np.argsort(-values)
+        values, vectors = np.maximum(values[order], 0.0), q @ turned[:, order]
+        # Directions for all voxels need one round.
+        if total <= 0 or width == voxels or before is not None and np.abs(values[:k] - before[:k]).max() <= tolerance * total:
+            break
+        before = values
+    kept = min(k, width)
+    axes = spark.sparkContext.broadcast(vectors[:, :kept])
+
+    def largest(batches):
+        """Of each component the score that is farthest from 0, of the lowest volume."""
+        best, ids = np.zeros(kept), np.full(kept, np.iinfo(np.int32).max)
+        for batch in batches:
+            if batch.num_rows:
+                a, own = (to_matrix(batch.column("values")) - mean.value) @ axes.value, batch.column("vol_id").to_numpy()
+                order = np.argsort(own, kind="stable")
+                a, own = a[order], own[order]
+                at = np.abs(a).argmax(axis=0)
+                now = a[at, np.arange(kept)]
+                better = (np.abs(now) > np.abs(best)) | ((np.abs(now) == np.abs(best)) & (own[at] < ids))
+                best[better], ids[better] = now[better], own[at][better]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(kept), pa.int32()), pa.array(best), pa.array(ids, pa.int32())], names=["component", "score", "vol_id"])
+
+    tops = whole.mapInArrow(largest, "component int, score double, vol_id int").groupBy("component").agg(
+        F.max_by("score", F.struct(F.abs("score"), -F.col("vol_id"))).alias("score")).orderBy("component").toArrow()
+    signs = np.where(tops["score"].to_numpy() < 0, -1.0, 1.0)
+    explained = np.zeros(k)
+    explained[:kept] = values[:kept] / max(total, 1e-300)
+
+    def score(batches):
+        for batch in batches:
+            if batch.num_rows:
+                out = np.zeros((batch.num_rows, k))
+                out[:, :kept] = (to_matrix(batch.column("values")) - mean.value) @ axes.value * signs
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(batch.column("vol_id").to_numpy(), k), pa.int32()), pa.array(np.tile(np.arange(k), len(out)), pa.int32()),
+                    pa.array(out.ravel()), pa.array(np.tile(explained, len(out)))], names=["vol_id", "component", "score", "explained"])
+
+    return whole.mapInArrow(score, "vol_id int, component int, score double, explained double")
+
+
 def _scores(spark, ids, values: np.ndarray, vectors: np.ndarray, total: float, k: int) -> DataFrame:
     vectors, values = vectors[:, :k], values[:k]
     signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])])

@@ -615,6 +615,34 @@ def test_volume_pca_of_more_volumes_than_voxels(spark):
     assert {(r["score"], r["explained"]) for r in flat} == {(0.0, 0.0)}
 
 
+@pytest.mark.parametrize("shape", [(120, 8, 5), (60, 30, 7)], ids=["more-volumes", "wide"])
+def test_slab_pca_of_many_volumes(spark, monkeypatch, shape):
+    """Directions by voxel give what directions by volume give; uneven slabs, missing slabs and values."""
+    n, size, slab = shape
+    data = RNG.normal(size=(n, size)) * 0.8 ** np.arange(size) + 3.0
+    data[4, slab:2 * slab] = data[5, 1] = 0.0
+    data[7, -1] = 0.0
+    rows = [(v, i // slab, [float(x) for x in row[i:i + slab]]) for v, row in enumerate(data)
+            for i in range(0, size, slab) if (v, i) != (4, slab)]
+    rows = [(v, s, x[:-1] + [None] if (v, s) == (7, (size - 1) // slab) else x) for v, s, x in rows]
+    rows = [(v, s, [x[0], float("nan"), *x[2:]] if (v, s) == (5, 0) else x) for v, s, x in rows]
+    df = spark.createDataFrame(rows, "vol_id int, slab int, values array<double>")
+    u, s, _ = np.linalg.svd(data - data.mean(axis=0), full_matrices=False)
+    for dim in (3, 12):
+        few = {(r["vol_id"], r["component"]): r for r in voxels.slab_pca(df, None, dim).collect()}
+        with monkeypatch.context() as m:
+            m.setattr(voxels, "VOLUME_NUMBERS", 1)
+            m.setattr(voxels, "ROW_NUMBERS", 300)
+            many = voxels.slab_pca(df, None, dim).collect()
+        assert len(many) == len(few) == n * dim
+        for r in many:
+            c, other = r["component"], few[r["vol_id"], r["component"]]
+            assert r["score"] == pytest.approx(other["score"], abs=1e-5) and r["explained"] == pytest.approx(other["explained"], abs=1e-9)
+            if c < size:
+                axis = u[:, c] * np.sign(u[np.abs(u[:, c]).argmax(), c])
+                assert r["score"] == pytest.approx(axis[r["vol_id"]] * s[c], abs=1e-5)
+
+
 def test_landscape_splits_all_particles(spark):
     x = np.vstack([RNG.normal(size=(60, 3)) + 10 * i for i in range(3)])
     found = landscapes.landscape(table(spark, x), n=12, m=3, seed=3)
