@@ -643,6 +643,12 @@ def test_slab_pca_of_many_volumes(spark, monkeypatch, shape):
                 assert r["score"] == pytest.approx(axis[r["vol_id"]] * s[c], abs=1e-5)
 
 
+def test_slab_pca_of_many_equal_volumes(spark, monkeypatch):
+    monkeypatch.setattr(voxels, "VOLUME_NUMBERS", 1)
+    df = spark.createDataFrame([(v, 0, [2.0, 2.0]) for v in range(9)], "vol_id int, slab int, values array<double>")
+    assert {(r["score"], r["explained"]) for r in voxels.slab_pca(df, None, 2).collect()} == {(0.0, 0.0)}
+
+
 def test_landscape_splits_all_particles(spark):
     x = np.vstack([RNG.normal(size=(60, 3)) + 10 * i for i in range(3)])
     found = landscapes.landscape(table(spark, x), n=12, m=3, seed=3)
